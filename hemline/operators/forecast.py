@@ -14,11 +14,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -70,15 +71,19 @@ def numeric_columns(trends: list[str]) -> list[str]:
 
 
 def model_frame(
-    features: DataFrame, trends: list[str], steps: str = "unique", horizon: int = 1
+    features: DataFrame, trends: list[str], steps: str = "repeated", horizon: int = 1
 ) -> DataFrame:
     """Lagged signals, clipped target, warm-up row dropped, ``y0`` as the label.
 
-    All window columns share one partitioning and order, so they cost one exchange and sort.
+    All lags share one partitioning and order, so they cost one exchange and sort. ``steps`` as in
+    ``series``: "unique" when the table holds one row per series and date.
     """
-    lagged = series.exog_lags(features, [*CUSTOMER, *trends], LAGS, fill=MISSING, steps=steps)
-    targets = series.target_lag(series.clip_target(lagged), "y", 1, keep_lag=False)
-    return series.horizon_target(targets, "y", horizon)
+    signals = [*CUSTOMER, *trends]
+    frame = series.clip_target(features)
+    added = {**series.exog_lag_columns(frame, signals, LAGS, fill=MISSING), **series.target_lag_columns()}
+    lagged = series.shifted(frame, added, [*signals, "y"], steps=steps)
+    targets = series.drop_warm_up(lagged, keep_lag=False)
+    return series.horizon_target(targets, "y", horizon, steps=steps)
 
 
 def _filled(df: DataFrame, numeric: list[str]) -> DataFrame:
@@ -187,7 +192,11 @@ def train(
     prep = preparation or fit_preparation(frame, numeric, linear, embed)
     prepared = prep.transform(frame.filter(F.col("y0").isNotNull())).select("features", "y0")
     regressor = (tweedie_regressor if linear else tree_regressor)(params)
-    return DemandModel(prep, regressor.fit(written(prepared, "training")), dict(params or {}))
+    rows = written(prepared, "training").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return DemandModel(prep, regressor.fit(rows), dict(params or {}))
+    finally:
+        rows.unpersist()
 
 
 def register_predict(spark: SparkSession, model: DemandModel, name: str = "predict") -> Callable:
@@ -222,25 +231,18 @@ def split_by_date(frame: DataFrame, cut: str, date: str = "ds") -> tuple[DataFra
     )
 
 
-def steps_from_end(
-    df: DataFrame, key: str | list[str] = "unique_id", date: str = "ds", name: str = "back"
-) -> DataFrame:
-    """1 for the last row of a series, 2 for the one before it, and so on."""
-    keys = [key] if isinstance(key, str) else key
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(date))))
-
-
 def naive_rolling_rmse(
     scored: DataFrame,
     n_windows: int = N_WINDOWS,
     key: str | list[str] = "unique_id",
     y: str = "y",
     forecast: str = "forecast",
+    steps: str = "repeated",
 ) -> DataFrame:
     """RMSE per window of a forecast that uses past rows only: no refit, so one pass for all windows."""
     error = F.col(y) - F.col(forecast)
     return (
-        steps_from_end(scored, key, name="window")
+        series.steps_from_end(scored, key, name="window", steps=steps)
         .filter(F.col("window") <= n_windows)
         .groupBy("window")
         .agg(F.count(error).alias("n"), F.sqrt(F.avg(error * error)).alias("rmse"))
@@ -253,6 +255,7 @@ def rolling_origin(
     trials: list[dict],
     n_windows: int = N_WINDOWS,
     kind: str = "tweedie",
+    steps: str = "repeated",
 ) -> DataFrame:
     """Back-test: for window w, train on all but the last w rows of every series, test on the next row.
 
@@ -260,7 +263,7 @@ def rolling_origin(
     written once; a fit reads only vectors and labels.
     """
     spark = frame.sparkSession
-    ranked = steps_from_end(frame)
+    ranked = series.steps_from_end(frame, steps=steps)
     prep = fit_preparation(ranked, numeric, kind == "tweedie")
     data = written(prep.transform(ranked.filter("y0 IS NOT NULL")).select("features", "y0", "back"), "cv")
     make = tweedie_regressor if kind == "tweedie" else tree_regressor

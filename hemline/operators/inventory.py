@@ -29,22 +29,27 @@ def sales_for_ledger(silver_sales: DataFrame) -> DataFrame:
     )
 
 
+def _earliest() -> Column:
+    """Order of the opening row: dated before undated, then date, week, known and smaller quantity."""
+    return F.struct(
+        F.col("date").isNull().alias("undated"),
+        "date",
+        "week",
+        F.col("restock").isNull().alias("unknown"),
+        F.col("restock").alias("qty"),
+        "year",
+    )
+
+
 def initial_stock(sales: DataFrame) -> DataFrame:
     """One opening row per item and store: the one of the earliest date.
 
     ``sales`` needs external_code, retail, week, year, date, restock.
     """
-    earliest = F.min(F.struct(F.col("date").isNull().alias("undated"), "date", "week", "restock", "year"))
     return (
         sales.groupBy(*ITEM_STORE)
-        .agg(earliest.alias("first"))
-        .select(
-            *ITEM_STORE,
-            F.col("first.week").alias("week"),
-            F.col("first.date").alias("date"),
-            F.col("first.restock").alias("qty"),
-            F.col("first.year").alias("year"),
-        )
+        .agg(F.min(_earliest()).alias("first"))
+        .select(*ITEM_STORE, *[F.col(f"first.{c}").alias(c) for c in ("week", "date", "qty", "year")])
     )
 
 
@@ -56,44 +61,53 @@ def restock_log(sales: DataFrame, restock: DataFrame) -> DataFrame:
     return initial_stock(sales).unionByName(events)
 
 
-def _inflow(sales: DataFrame, restock: DataFrame, calendar: str) -> DataFrame:
-    opening = initial_stock(sales)
+def restock_union(sales: DataFrame, restock: DataFrame) -> DataFrame:
+    """Opening stock and restock events by week number and year."""
     events = restock.select(*ITEM_STORE, "week", "year", "qty")
-    if calendar == "iso":
-        opening = opening.withColumn("week_start", cal.week_start("date"))
-        events = events.withColumn("week_start", cal.iso_week_monday("year", "week"))
-    return opening.drop("date").unionByName(events)
+    return initial_stock(sales).drop("date").unionByName(events)
 
 
 def _match_keys(calendar: str) -> list[str]:
     if calendar not in ("parity", "iso"):
         raise ValueError(f"calendar must be 'parity' or 'iso', not {calendar!r}")
-    return [*ITEM_STORE, "week_start"] if calendar == "iso" else [*ITEM_STORE, "week", "year"]
+    return ["week_start"] if calendar == "iso" else ["week", "year"]
 
 
 def first_match(sales: DataFrame, restock: DataFrame, calendar: str = "parity") -> DataFrame:
-    """One row per item, store and date with the smallest restock quantity that matches it.
+    """One row per item, store and date with the smallest inflow that matches it.
 
     Ties on the quantity are broken by week and then by the smaller sales figure. Equal to joining all
-    sales rows with all restock rows of the key and keeping ``row_number() = 1``, but the smallest
-    quantity of a key and the smallest sales of a date are taken before the join.
+    sales rows with opening stock and restock events and keeping ``row_number() = 1``, with three steps
+    taken early: the smallest event of a key and the smallest sales of a date are found before the join,
+    and the opening stock is read off the sorted series instead of from a second pass over the sales.
     """
     keys = _match_keys(calendar)
+    events = restock
+    if calendar == "iso":
+        events = events.withColumn("week_start", cal.iso_week_monday("year", "week"))
     smallest = (
-        _inflow(sales, restock, calendar)
-        .groupBy(*keys)
-        .agg(F.min(F.coalesce(F.col("qty"), F.lit(0))).alias("qty"))
+        events.groupBy(*ITEM_STORE, *keys)
+        .agg(F.min(F.coalesce(F.col("qty"), F.lit(0))).alias("event_qty"))
+        .repartition(*ITEM_STORE)
+    )
+    per_date = (
+        sales.groupBy(*ITEM_STORE, "week", "year", "date")
+        .agg(F.min("sales").alias("sales"), F.min("restock").alias("restock"))
+        .repartition(*ITEM_STORE)
+        .withColumn("first", F.min(_earliest()).over(Window.partitionBy(*ITEM_STORE)))
     )
-    rows = sales.groupBy(*ITEM_STORE, "week", "year", "date").agg(F.min("sales").alias("sales"))
+    opening_week = (F.col("first.week") == F.col("week")) & (F.col("first.year") == F.col("year"))
     if calendar == "iso":
-        rows = rows.withColumn("week_start", cal.week_start("date"))
-    by_series = rows.repartition(*ITEM_STORE)
-    joined = by_series.join(smallest.repartition(*ITEM_STORE), keys, "left").fillna(0, subset=["qty"])
+        per_date = per_date.withColumn("week_start", cal.week_start("date"))
+        opening_week = cal.week_start("first.date") == F.col("week_start")
+    opening = F.when(opening_week, F.coalesce(F.col("first.qty"), F.lit(0)))
     order = Window.partitionBy(*ITEM_STORE, "date").orderBy(
         F.asc("qty"), F.asc_nulls_last("week"), F.asc_nulls_last("sales")
     )
     return (
-        joined.withColumn("row", F.row_number().over(order))
+        per_date.join(smallest, [*ITEM_STORE, *keys], "left")
+        .withColumn("qty", F.coalesce(F.least(F.col("event_qty"), opening), F.lit(0)))
+        .withColumn("row", F.row_number().over(order))
         .filter(F.col("row") == 1)
         .select(*ITEM_STORE, "week", "year", "date", "sales", "qty", "row")
     )

@@ -1,11 +1,12 @@
 """Exact ranks, running counts and quantiles without a global sort.
 
-Values are first counted per group with a map-side aggregate. Cut points over the counted values split
-the value range into chunks; running counts are built inside each (group, chunk) and shifted by the
-totals of the chunks before it. Cut points are taken over all groups together, so one cell holds about
-1/n_chunks of the counted values whatever group they belong to: a single group with all the rows is
-spread as well as many small ones. The cut points (n_chunks - 1 numbers) are the only data the driver
-sees; they steer the balance of the work and never the result.
+Values are first counted per group with a map-side aggregate and the counts written once, so the source
+is read a single time. When there are more counted values than one task should sort, cut points over
+them split the value range into chunks; running counts are built inside each (group, chunk) and shifted
+by the totals of the chunks before it. Cut points are taken over all groups together, so one cell holds
+about 1/n_chunks of the counted values whatever group they belong to: a single group with all the rows is
+spread as well as many small ones. The cut points are the only data the driver sees; they steer the
+balance of the work and never the result.
 """
 
 from __future__ import annotations
@@ -15,10 +16,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-N_CHUNKS = 32
+from hemline.session import written
 
+ROWS_PER_CHUNK = 500_000
+MAX_CHUNKS = 256
 
-def value_cuts(counted: DataFrame, value: str, n_chunks: int = N_CHUNKS) -> list[float]:
+
+def value_cuts(counted: DataFrame, value: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> list[float]:
+    """Values that split ``counted`` into chunks of about ``rows_per_chunk`` rows."""
+    n_chunks = min(MAX_CHUNKS, -(-counted.count() // rows_per_chunk))
+    if n_chunks <= 1:
+        return []
     shares = [i / n_chunks for i in range(1, n_chunks)]
     row = counted.agg(
         F.percentile_approx(F.col(value).cast("double"), shares, 16 * n_chunks).alias("cuts")
@@ -41,14 +49,15 @@ def running_counts(
     by: list[str],
     value: str,
     weights: list[str],
-    n_chunks: int = N_CHUNKS,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Adds ``cum_{w}`` (up to and including the row) and ``total_{w}`` for every weight, and
     ``next_value``, the next larger value of the group.
 
     ``counted`` has one row per group and value, without NULL values.
     """
-    cuts = value_cuts(counted, value, n_chunks)
+    counted = written(counted, "counted")
+    cuts = value_cuts(counted, value, rows_per_chunk)
     chunked = counted.withColumn("_chunk", chunk_of(F.col(value).cast("double"), cuts))
     per_chunk = chunked.groupBy(*by, "_chunk").agg(
         *[F.sum(w).alias(f"_sum_{w}") for w in weights], F.min(value).alias("_first")
@@ -81,7 +90,7 @@ def order_statistics(
     by: list[str],
     value: str,
     ranks: dict[str, Callable[[Column], Column]],
-    n_chunks: int = N_CHUNKS,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """The k-th smallest value per group, for several k at once.
 
@@ -91,7 +100,7 @@ def order_statistics(
     counted = (
         df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
     )
-    ranked = running_counts(counted, by, value, ["_n"], n_chunks)
+    ranked = running_counts(counted, by, value, ["_n"], rows_per_chunk)
     total, upto = F.col("total__n"), F.col("cum__n")
     picked = [
         F.max(F.when((upto - F.col("_n") < rank(total)) & (rank(total) <= upto), F.col(value))).alias(name)

@@ -2,9 +2,9 @@
 
 Lags are positional: a missing week shifts them. ``steps="unique"`` is for panels that hold one row per
 series and date, as anything built by grouping on them does; a window partition is then bounded by the
-calendar. ``steps="repeated"`` takes any frame: the lagged columns are reduced to one row per series and
-date with a map-side aggregate, lagged, and joined back, so every row stays and copies of a hot series
-never meet in one window.
+calendar. ``steps="repeated"``, the default, takes any frame: the shifted columns are reduced to one row
+per series and date with a map-side aggregate, shifted, and joined back, so every row stays and copies
+of a hot series never meet in one window.
 """
 
 from __future__ import annotations
@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SERIES, STEP = "unique_id", "ds"
+Key = str | list[str]
 
 
-def _window(key: str | list[str], order: str) -> Window:
-    return Window.partitionBy(*([key] if isinstance(key, str) else key)).orderBy(order)
+def _keys(key: Key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
 
 
 def _filled(c: Column, dtype: str, fill: float | None) -> Column:
@@ -27,32 +28,23 @@ def _filled(c: Column, dtype: str, fill: float | None) -> Column:
     return F.coalesce(c, F.lit(fill).cast(dtype))
 
 
-def exog_lags(
+def shifted(
     df: DataFrame,
-    columns: list[str],
-    lags: tuple[int, ...] = (1, 2),
-    key: str | list[str] = SERIES,
+    added: dict[str, Column],
+    sources: list[str],
+    key: Key = SERIES,
     order: str = STEP,
-    fill: float | None = -1,
-    steps: str = "unique",
+    steps: str = "repeated",
 ) -> DataFrame:
-    """Adds ``{column}_lag{k}`` for every column and lag, in one exchange, sort and window.
-
-    Missing history becomes ``fill``; a NULL or NaN in the lagged value itself does too.
-    """
-    keys = [key] if isinstance(key, str) else list(key)
-    types = dict(df.dtypes)
-    w = _window(keys, order)
-    added = {
-        f"{c}_lag{k}": _filled(F.lag(c, k).over(w), types[c], fill) for c in columns for k in lags
-    }
+    """Adds window columns that are functions of ``sources`` along a series, in one exchange and sort."""
     if steps == "unique":
         return df.withColumns(added)
     if steps != "repeated":
         raise ValueError(f"steps must be 'unique' or 'repeated', not {steps!r}")
-    per_step = df.groupBy(*keys, order).agg(*[F.max(c).alias(c) for c in columns])
-    lagged = per_step.withColumns(added).select(*keys, order, *added)
-    return with_lagged(df, lagged, [*keys, order])
+    step = [*_keys(key), order]
+    highest = [F.max(c).alias(c) for c in sources]
+    per_step = df.groupBy(*step).agg(*highest) if highest else df.select(*step).distinct()
+    return with_lagged(df, per_step.select(*step, *[c.alias(n) for n, c in added.items()]), step)
 
 
 def with_lagged(df: DataFrame, lagged: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -60,37 +52,86 @@ def with_lagged(df: DataFrame, lagged: DataFrame, keys: list[str] | None = None)
     return df.join(lagged, keys or [SERIES, STEP], "left")
 
 
+def exog_lag_columns(
+    df: DataFrame,
+    columns: list[str],
+    lags: tuple[int, ...] = (1, 2),
+    key: Key = SERIES,
+    order: str = STEP,
+    fill: float | None = -1,
+) -> dict[str, Column]:
+    """``{column}_lag{k}``; missing history, and a NULL or NaN in the lagged value, become ``fill``."""
+    types = dict(df.dtypes)
+    w = Window.partitionBy(*_keys(key)).orderBy(order)
+    return {f"{c}_lag{k}": _filled(F.lag(c, k).over(w), types[c], fill) for c in columns for k in lags}
+
+
+def target_lag_columns(
+    target: str = "y", lag: int = 1, key: Key = SERIES, order: str = STEP
+) -> dict[str, Column]:
+    w = Window.partitionBy(*_keys(key)).orderBy(order)
+    return {f"lag{lag}": F.lag(target, lag).over(w)}
+
+
+def exog_lags(
+    df: DataFrame,
+    columns: list[str],
+    lags: tuple[int, ...] = (1, 2),
+    key: Key = SERIES,
+    order: str = STEP,
+    fill: float | None = -1,
+    steps: str = "repeated",
+) -> DataFrame:
+    added = exog_lag_columns(df, columns, lags, key, order, fill)
+    return shifted(df, added, columns, key, order, steps)
+
+
+def drop_warm_up(df: DataFrame, lag: int = 1, keep_lag: bool = True) -> DataFrame:
+    """Without the rows at the start of a series that have no target lag.
+
+    ``keep_lag=False`` also drops the lag itself: it is then no model input.
+    """
+    out = df.filter(F.col(f"lag{lag}").isNotNull())
+    return out if keep_lag else out.drop(f"lag{lag}")
+
+
 def target_lag(
     df: DataFrame,
     target: str = "y",
     lag: int = 1,
-    key: str | list[str] = SERIES,
+    key: Key = SERIES,
     order: str = STEP,
     keep_lag: bool = True,
+    steps: str = "repeated",
 ) -> DataFrame:
-    """Adds ``lag{k}`` and drops the rows at the start of a series that have none.
-
-    ``keep_lag=False`` drops the rows only.
-    """
-    name = f"lag{lag}"
-    out = df.withColumn(name, F.lag(target, lag).over(_window(key, order))).filter(
-        F.col(name).isNotNull()
-    )
-    return out if keep_lag else out.drop(name)
+    """Adds ``lag{k}`` of the target and drops the warm-up rows."""
+    added = target_lag_columns(target, lag, key, order)
+    return drop_warm_up(shifted(df, added, [target], key, order, steps), lag, keep_lag)
 
 
 def horizon_target(
     df: DataFrame,
     target: str = "y",
     horizon: int = 1,
-    key: str | list[str] = SERIES,
+    key: Key = SERIES,
     order: str = STEP,
+    steps: str = "repeated",
 ) -> DataFrame:
     """Adds ``y0`` … ``y{horizon-1}``: the target 0 … horizon-1 steps ahead."""
-    w = _window(key, order)
-    return df.withColumns(
-        {f"{target}{h}": F.lead(target, h).over(w) if h else F.col(target) for h in range(horizon)}
-    )
+    out = df.withColumn(f"{target}0", F.col(target))
+    if horizon == 1:
+        return out
+    w = Window.partitionBy(*_keys(key)).orderBy(order)
+    ahead = {f"{target}{h}": F.lead(target, h).over(w) for h in range(1, horizon)}
+    return shifted(out, ahead, [target], key, order, steps)
+
+
+def steps_from_end(
+    df: DataFrame, key: Key = SERIES, order: str = STEP, name: str = "back", steps: str = "repeated"
+) -> DataFrame:
+    """1 for the last step of a series, 2 for the one before it, and so on."""
+    w = Window.partitionBy(*_keys(key)).orderBy(F.desc(order))
+    return shifted(df, {name: F.row_number().over(w)}, [], key, order, steps)
 
 
 def clip_target(df: DataFrame, target: str = "y") -> DataFrame:

@@ -118,7 +118,9 @@ def weekly_signals(spark: SparkSession, d: str) -> DataFrame:
 
 def naive(spark: SparkSession, d: str) -> DataFrame:
     """Forecast of a week: the mean of the two weeks with sales before it."""
-    lagged = series.exog_lags(weekly(spark, d), ["y"], (1, 2), key=ITEM_STORE, fill=None)
+    lagged = series.exog_lags(
+        weekly(spark, d), ["y"], (1, 2), key=ITEM_STORE, fill=None, steps="unique"
+    )
     mean = (F.col("y_lag1") + F.col("y_lag2")) / F.lit(2.0)
     return (
         lagged.filter(F.col("y_lag2").isNotNull())
@@ -370,8 +372,7 @@ def initial_stock(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def restock_union(spark: SparkSession, d: str) -> DataFrame:
-    opening = inventory.initial_stock(views.weekly_sales(spark, d)).drop("date")
-    return opening.unionByName(views.weekly_restock(spark, d))
+    return inventory.restock_union(views.weekly_sales(spark, d), views.weekly_restock(spark, d))
 
 
 @query
@@ -438,7 +439,7 @@ def reorder_plan(spark: SparkSession, d: str) -> DataFrame:
 @query
 def exog_lags(spark: SparkSession, d: str) -> DataFrame:
     columns = [*forecast.CUSTOMER, *TRENDS]
-    lagged = series.exog_lags(weekly_signals(spark, d), columns, key=ITEM_STORE)
+    lagged = series.exog_lags(weekly_signals(spark, d), columns, key=ITEM_STORE, steps="unique")
     names = forecast.lag_names(columns)
     return rounded(lagged.select(*ITEM_STORE, "ds", "y", *names), *names)
 
@@ -449,24 +450,24 @@ def lag_join(spark: SparkSession, d: str) -> DataFrame:
     sold = views.lines(spark, d, inflow=False).select(
         "brand", "retail", F.col("day").alias("ds"), "qty", "cents"
     )
-    return series.exog_lags(sold, ["qty"], key=["brand", "retail"], steps="repeated")
+    return series.exog_lags(sold, ["qty"], key=["brand", "retail"])
 
 
 @query
 def target_lag(spark: SparkSession, d: str) -> DataFrame:
-    return series.target_lag(weekly(spark, d), key=ITEM_STORE).select(*ITEM_STORE, "ds", "y", "lag1")
+    return series.target_lag(weekly(spark, d), key=ITEM_STORE, steps="unique").select(*ITEM_STORE, "ds", "y", "lag1")
 
 
 @query
 def horizon_target(spark: SparkSession, d: str) -> DataFrame:
-    out = series.horizon_target(weekly(spark, d), horizon=3, key=ITEM_STORE)
+    out = series.horizon_target(weekly(spark, d), horizon=3, key=ITEM_STORE, steps="unique")
     return out.select(*ITEM_STORE, "ds", "y0", "y1", "y2")
 
 
 @query
 def clip_target(spark: SparkSession, d: str) -> DataFrame:
     """Change to the week before, negative changes clipped."""
-    change = series.target_lag(weekly(spark, d), key=ITEM_STORE)
+    change = series.target_lag(weekly(spark, d), key=ITEM_STORE, steps="unique")
     return series.clip_target(change.select(*ITEM_STORE, "ds", (F.col("y") - F.col("lag1")).alias("y")))
 
 
@@ -596,7 +597,7 @@ def rounded_forecast(spark: SparkSession, d: str) -> DataFrame:
 @query
 def rolling_origin_rmse(spark: SparkSession, d: str) -> DataFrame:
     """Back-test of the naive forecast over the last ten rows of every series."""
-    return rounded(forecast.naive_rolling_rmse(naive(spark, d), key=ITEM_STORE), "rmse")
+    return rounded(forecast.naive_rolling_rmse(naive(spark, d), key=ITEM_STORE, steps="unique"), "rmse")
 
 
 def store_runs(spark: SparkSession, d: str) -> DataFrame:
