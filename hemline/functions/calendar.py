@@ -23,8 +23,12 @@ def _col(c: Column | str) -> Column:
 
 
 def text_to_int(c: Column | str) -> Column:
-    """``'12'`` and ``'12.0'`` -> 12; NULL for other text or when out of range."""
-    return F.regexp_extract(_col(c).cast("string"), WHOLE_PART, 1).try_cast("int")
+    """``'12'`` and ``'12.0'`` -> 12; NULL for other text or when out of range.
+
+    The pattern is tried only where the plain cast fails.
+    """
+    whole = F.regexp_extract(_col(c).cast("string"), WHOLE_PART, 1)
+    return F.coalesce(_col(c).try_cast("int"), whole.try_cast("int"))
 
 
 def text_to_float(c: Column | str) -> Column:

@@ -1,13 +1,16 @@
 """Restock log and stock ledger.
 
-Both sides of the ledger join are reduced with map-side aggregates to at most one row per join key
-before anything is shuffled by item and store. A key that holds a third of all rows therefore reaches
-its reducer as a handful of partial results, the join cannot fan out, and every window below it sees at
-most one row per item, store and date, a number bounded by the calendar and not by the data.
+The ledger puts sales and restock events into one table, reduces it with a map-side aggregate to one row
+per item, store, date and week, and partitions that once by item and store. Matching, the choice of one
+row per date and the running sum are then windows over that one partitioning. A key that holds a third
+of all rows reaches its reducer as a handful of partial results, there is no join that could fan out, and
+a window sees at most one row per date and week of the calendar, however many rows the input has.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,36 +80,47 @@ def first_match(sales: DataFrame, restock: DataFrame, calendar: str = "parity")
     """One row per item, store and date with the smallest inflow that matches it.
 
     Ties on the quantity are broken by week and then by the smaller sales figure. Equal to joining all
-    sales rows with opening stock and restock events and keeping ``row_number() = 1``, with three steps
-    taken early: the smallest event of a key and the smallest sales of a date are found before the join,
-    and the opening stock is read off the sorted series instead of from a second pass over the sales.
+    sales rows with opening stock and restock events and keeping ``row_number() = 1``. The opening stock
+    is read off the series itself, so the sales are scanned once.
     """
     keys = _match_keys(calendar)
-    events = restock
+    sold = sales.select(*ITEM_STORE, "week", "year", "date", "sales", "restock").withColumn(
+        "is_sale", F.lit(True)
+    )
+    events = restock.select(
+        *ITEM_STORE, "week", "year", F.coalesce(F.col("qty"), F.lit(0)).alias("event_qty")
+    ).withColumn("is_sale", F.lit(False))
     if calendar == "iso":
+        sold = sold.withColumn("week_start", cal.week_start("date"))
         events = events.withColumn("week_start", cal.iso_week_monday("year", "week"))
-    smallest = (
-        events.groupBy(*ITEM_STORE, *keys)
-        .agg(F.min(F.coalesce(F.col("qty"), F.lit(0))).alias("event_qty"))
+    steps = ["is_sale", "week", "year", "date", *[k for k in keys if k == "week_start"]]
+    rows = (
+        sold.unionByName(events, allowMissingColumns=True)
+        .groupBy(*ITEM_STORE, *steps)
+        .agg(*[F.min(c).alias(c) for c in ("sales", "restock", "event_qty")])
         .repartition(*ITEM_STORE)
     )
-    per_date = (
-        sales.groupBy(*ITEM_STORE, "week", "year", "date")
-        .agg(F.min("sales").alias("sales"), F.min("restock").alias("restock"))
-        .repartition(*ITEM_STORE)
-        .withColumn("first", F.min(_earliest()).over(Window.partitionBy(*ITEM_STORE)))
-    )
-    opening_week = (F.col("first.week") == F.col("week")) & (F.col("first.year") == F.col("year"))
+    series = Window.partitionBy(*ITEM_STORE)
+    same_week = Window.partitionBy(*ITEM_STORE, *keys)
+    matched = rows.withColumns(
+        {
+            "first": F.min(F.when(F.col("is_sale"), _earliest())).over(series),
+            "event_qty": F.min("event_qty").over(same_week),
+        }
+    ).filter("is_sale")
     if calendar == "iso":
-        per_date = per_date.withColumn("week_start", cal.week_start("date"))
         opening_week = cal.week_start("first.date") == F.col("week_start")
-    opening = F.when(opening_week, F.coalesce(F.col("first.qty"), F.lit(0)))
+    else:
+        opening_week = (F.col("first.week") == F.col("week")) & (F.col("first.year") == F.col("year"))
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*ITEM_STORE, *keys]])
+    inflow = F.least(
+        F.col("event_qty"), F.when(opening_week, F.coalesce(F.col("first.qty"), F.lit(0)))
+    )
     order = Window.partitionBy(*ITEM_STORE, "date").orderBy(
         F.asc("qty"), F.asc_nulls_last("week"), F.asc_nulls_last("sales")
     )
     return (
-        per_date.join(smallest, [*ITEM_STORE, *keys], "left")
-        .withColumn("qty", F.coalesce(F.least(F.col("event_qty"), opening), F.lit(0)))
+        matched.withColumn("qty", F.coalesce(F.when(known, inflow), F.lit(0)))
         .withColumn("row", F.row_number().over(order))
         .filter(F.col("row") == 1)
         .select(*ITEM_STORE, "week", "year", "date", "sales", "qty", "row")

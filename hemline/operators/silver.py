@@ -31,39 +31,45 @@ PRICE_IDS = ["external_code", "retail", "price"]
 
 
 def silver_sales(bronze: DataFrame, n_weeks: int = N_WEEKS) -> DataFrame:
-    long = unpivot_weeks(bronze.drop(RESCUED), SALES_IDS, "sales", n_weeks=n_weeks)
-    typed = long.withColumns(
+    """One typed row per release, store and week. The id columns are parsed before the reshape, once
+    per wide row instead of once per week."""
+    wide = bronze.drop(RESCUED).withColumns(
         {
             "retail": cal.text_to_int("retail"),
             "release_day": cal.date_text_part("release_date", 2),
             "release_month": cal.date_text_part("release_date", 1),
             "release_year": cal.date_text_part("release_date", 0),
             "release_date": cal.release_date("release_date"),
+            "release_week_of_year": F.weekofyear(cal.release_date("release_date")),
             "restock": cal.text_to_int("restock"),
-            "week": cal.text_to_int("week"),
-            "sales": cal.decimal_text_to_int("sales"),
             "season_category": F.substring("season", 1, 2),
         }
     )
-    release_week = F.weekofyear("release_date")
-    return typed.withColumns(
+    ids = [
+        *SALES_IDS,
+        "release_day",
+        "release_month",
+        "release_year",
+        "release_week_of_year",
+        "season_category",
+    ]
+    week = F.col("week").cast("int")
+    return unpivot_weeks(wide, ids, "sales", n_weeks=n_weeks).withColumns(
         {
-            "release_week_of_year": release_week,
-            "current_week_of_year": release_week + F.col("week"),
-            "current_date_of_week": F.date_add("release_date", F.col("week") * 7),
+            "week": week,
+            "sales": cal.decimal_text_to_int("sales"),
+            "current_week_of_year": F.col("release_week_of_year") + week,
+            "current_date_of_week": F.date_add("release_date", week * 7),
         }
     )
 
 
 def silver_price(bronze: DataFrame, n_weeks: int = N_WEEKS) -> DataFrame:
-    long = unpivot_weeks(bronze.drop(RESCUED), PRICE_IDS, "discount", n_weeks=n_weeks)
-    return long.withColumns(
-        {
-            "retail": cal.text_to_int("retail"),
-            "price": cal.text_to_float("price"),
-            "week": cal.text_to_int("week"),
-            "discount": cal.text_to_float("discount"),
-        }
+    wide = bronze.drop(RESCUED).withColumns(
+        {"retail": cal.text_to_int("retail"), "price": cal.text_to_float("price")}
+    )
+    return unpivot_weeks(wide, PRICE_IDS, "discount", n_weeks=n_weeks).withColumns(
+        {"week": F.col("week").cast("int"), "discount": cal.text_to_float("discount")}
     )
 
 

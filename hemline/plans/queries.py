@@ -484,7 +484,7 @@ def gold_features_iso(spark: SparkSession, d: str) -> DataFrame:
 @query
 def model_frame(spark: SparkSession, d: str) -> DataFrame:
     """Model inputs: lagged signals, clipped target, warm-up row dropped."""
-    frame = forecast.model_frame(features(spark, d), TRENDS)
+    frame = forecast.model_frame(features(spark, d), TRENDS, steps="unique")
     names = forecast.lag_names([*forecast.CUSTOMER, *TRENDS])
     return rounded(frame.select("unique_id", "ds", "y0", "price", "discount", *names), "price", "discount", *names)
 
@@ -774,7 +774,7 @@ def image_embeddings(spark: SparkSession, d: str) -> DataFrame:
 
 def _trained(spark: SparkSession, d: str, kind: str, params: dict | None = None) -> DataFrame:
     """Train on the older releases, calibrate on the year before the split, forecast the later ones."""
-    frame = written(forecast.model_frame(features(spark, d), TRENDS), "model-frame")
+    frame = written(forecast.model_frame(features(spark, d), TRENDS, steps="unique"), "model-frame")
     numeric = forecast.numeric_columns(TRENDS)
     year = F.col("release_year")
     old, held_out = frame.filter(year < SPLIT_YEAR - 1), frame.filter(year == SPLIT_YEAR - 1)
@@ -799,7 +799,7 @@ def tree_forecast(spark: SparkSession, d: str) -> DataFrame:
 @query
 def parameter_search(spark: SparkSession, d: str) -> DataFrame:
     """Two trials over two back-test windows."""
-    frame = forecast.model_frame(features(spark, d), TRENDS)
+    frame = forecast.model_frame(features(spark, d), TRENDS, steps="unique")
     found = forecast.search(frame, forecast.numeric_columns(TRENDS), n_trials=2, n_windows=2)
     return found.select("trial", "n_windows", "score")
 
