@@ -117,20 +117,27 @@ def fit_preparation(
     Linear models get the codes one-hot and the numbers standardised; trees get them as they are.
     """
     frame = _filled(train, numeric)
-    codes = [f"{c}_code" for c in CATEGORICAL]
+    codes = {c: f"{c}_code" for c in CATEGORICAL}
+    indexer = StringIndexer(
+        inputCols=CATEGORICAL,
+        outputCols=list(codes.values()),
+        stringOrderType="alphabetAsc",
+        handleInvalid="error",
+    ).fit(frame)
     stages = [
-        StringIndexer(
-            inputCols=CATEGORICAL, outputCols=codes, stringOrderType="alphabetAsc", handleInvalid="error"
-        ),
+        indexer,
         VectorAssembler(inputCols=[f"x_{c}" for c in numeric], outputCol="_numbers"),
     ]
-    inputs = [*codes, "_numbers"]
+    inputs = [*codes.values(), "_numbers"]
     if one_hot:
-        hot = [f"{c}_hot" for c in CATEGORICAL]
-        stages += [
-            OneHotEncoder(inputCols=codes, outputCols=hot),
-            StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True, withStd=True),
-        ]
+        # A column with a single category carries no information and has no one-hot form.
+        several = [c for c, labels in zip(CATEGORICAL, indexer.labelsArray) if len(labels) > 1]
+        hot = [f"{c}_hot" for c in several]
+        if several:
+            stages.append(OneHotEncoder(inputCols=[codes[c] for c in several], outputCols=hot))
+        stages.append(
+            StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True, withStd=True)
+        )
         inputs = [*hot, "_scaled"]
     if embed:
         frame = frame.withColumn("_embed", array_to_vector(F.col(embed).cast("array<double>")))

@@ -7,6 +7,8 @@ splits skewed partitions of the sort-merge join.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,13 @@ from hemline.functions import calendar as cal
 PRICE_KEYS = ["external_code", "retail", "week"]
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Equi-join in which NULL keys match each other; the key columns come from the left."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def customer_week_stats(customer: DataFrame, calendar: str = "parity") -> DataFrame:
     """Quantity and number of purchases per store and week.
 

@@ -16,6 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hemline.operators.joins import null_safe_join
 from hemline.session import written
 
 ROWS_PER_CHUNK = 500_000
@@ -58,11 +59,20 @@ def running_counts(
     """
     counted = written(counted, "counted")
     cuts = value_cuts(counted, value, rows_per_chunk)
+    group = Window.partitionBy(*by)
+    if not cuts:
+        ordered = group.orderBy(value)
+        return counted.withColumns(
+            {
+                **{f"cum_{w}": F.sum(w).over(ordered) for w in weights},
+                **{f"total_{w}": F.sum(w).over(group) for w in weights},
+                "next_value": F.lead(value).over(ordered),
+            }
+        )
     chunked = counted.withColumn("_chunk", chunk_of(F.col(value).cast("double"), cuts))
     per_chunk = chunked.groupBy(*by, "_chunk").agg(
         *[F.sum(w).alias(f"_sum_{w}") for w in weights], F.min(value).alias("_first")
     )
-    group = Window.partitionBy(*by)
     in_order = group.orderBy("_chunk")
     earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_chunk.select(
@@ -74,7 +84,7 @@ def running_counts(
     )
     cell = Window.partitionBy(*by, "_chunk").orderBy(value)
     return (
-        chunked.join(offsets, [*by, "_chunk"])
+        null_safe_join(chunked, offsets, [*by, "_chunk"], "inner")
         .withColumns(
             {
                 **{f"cum_{w}": F.col(f"_before_{w}") + F.sum(w).over(cell) for w in weights},

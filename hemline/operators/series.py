@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hemline.operators.joins import null_safe_join
+
 SERIES, STEP = "unique_id", "ds"
 Key = str | list[str]
 
@@ -49,7 +51,7 @@ def shifted(
 
 def with_lagged(df: DataFrame, lagged: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Base rows joined with lag columns computed elsewhere."""
-    return df.join(lagged, keys or [SERIES, STEP], "left")
+    return null_safe_join(df, lagged, keys or [SERIES, STEP])
 
 
 def exog_lag_columns(
