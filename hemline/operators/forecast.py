@@ -52,6 +52,9 @@ TREE_PARAMS = {"maxIter": 250, "maxDepth": 11, "stepSize": 0.07, "subsamplingRat
 SEED = 7113
 N_WINDOWS = 10
 
+# Labels of a category column live in the model and on the driver; more than this is no category.
+MAX_LABELS = 100_000
+
 # Search ranges as (low, high, kind).
 TWEEDIE_SPACE = {"variancePower": (1.1, 1.499, "log"), "regParam": (1e-8, 10.0, "log")}
 TREE_SPACE = {
@@ -109,6 +112,15 @@ class Preparation:
         return out.drop(*drop, *[f"{c}_code" for c in CATEGORICAL])
 
 
+def check_labels(df: DataFrame, columns: list[str] | None = None, limit: int = MAX_LABELS) -> None:
+    """Refuse a column whose labels would not fit a model; ``encoding`` codes any number of values."""
+    names = columns or CATEGORICAL
+    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in names]).first()
+    wide = [c for c in names if row[c] > limit]
+    if wide:
+        raise ValueError(f"too many distinct values for the model in {wide}; use encoding.category_codes")
+
+
 def fit_preparation(
     train: DataFrame, numeric: list[str], one_hot: bool = True, embed: str | None = None
 ) -> Preparation:
@@ -116,6 +128,7 @@ def fit_preparation(
 
     Linear models get the codes one-hot and the numbers standardised; trees get them as they are.
     """
+    check_labels(train)
     frame = _filled(train, numeric)
     codes = {c: f"{c}_code" for c in CATEGORICAL}
     indexer = StringIndexer(
@@ -148,7 +161,7 @@ def fit_preparation(
 
 def tweedie_regressor(params: dict | None = None) -> GeneralizedLinearRegression:
     """Tweedie loss with a log link."""
-    settings = {"variancePower": TWEEDIE_POWER, "regParam": 1e-3, "maxIter": 25, **(params or {})}
+    settings = {"variancePower": TWEEDIE_POWER, "regParam": 1e-3, "maxIter": 25, "tol": 1e-4, **(params or {})}
     return GeneralizedLinearRegression(
         family="tweedie",
         linkPower=0.0,

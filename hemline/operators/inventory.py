@@ -102,12 +102,12 @@ def first_match(sales: DataFrame, restock: DataFrame, calendar: str = "parity")
     )
     series = Window.partitionBy(*ITEM_STORE)
     same_week = Window.partitionBy(*ITEM_STORE, *keys)
-    matched = rows.withColumns(
-        {
-            "first": F.min(F.when(F.col("is_sale"), _earliest())).over(series),
-            "event_qty": F.min("event_qty").over(same_week),
-        }
-    ).filter("is_sale")
+    # The finer window first: its sort order also serves the coarser one.
+    matched = (
+        rows.withColumn("event_qty", F.min("event_qty").over(same_week))
+        .withColumn("first", F.min(F.when(F.col("is_sale"), _earliest())).over(series))
+        .filter("is_sale")
+    )
     if calendar == "iso":
         opening_week = cal.week_start("first.date") == F.col("week_start")
     else:

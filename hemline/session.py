@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+_local_folders: dict[str, str] = {}
+
 
 def build_session(
     app: str = "hemline", master: str | None = None, settings: dict[str, str] | None = None
@@ -45,8 +47,10 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="hemline-")
-        spark.conf.set(CHECKPOINT_KEY, folder)
+        app = spark.sparkContext.applicationId
+        if app not in _local_folders:
+            _local_folders[app] = tempfile.mkdtemp(prefix="hemline-")
+        folder = _local_folders[app]
     return folder
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hemline.functions import calendar as cal
 from hemline.operators.reshape import N_WEEKS, week_columns
@@ -25,8 +26,15 @@ TREND_COLUMNS = {
 }
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A warehouse table. The schema is read from the files once; later reads start no job for it."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def lines(spark: SparkSession, sf_dir: str, inflow: bool) -> DataFrame:
@@ -139,17 +147,10 @@ def _released(sold: DataFrame) -> DataFrame:
     )
 
 
-def _text(c: Column) -> Column:
-    return c.cast("double").cast("string")
-
-
 def wide_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sales feed: all strings, one column per week since the release."""
     sold = lines(spark, sf_dir, inflow=False)
-    weeks = [
-        F.sum(F.when(F.col("offset") == i, F.col("qty")).otherwise(0)).alias(f"w{i}")
-        for i in range(N_WEEKS)
-    ]
+    weeks = [F.expr(f"sum(CASE WHEN offset = {i} THEN qty ELSE 0 END) AS w{i}") for i in range(N_WEEKS)]
     wide = _released(sold).groupBy("brand", "external_code", "retail").agg(
         F.min("release").alias("release"), *weeks
     )
@@ -164,8 +165,8 @@ def wide_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(season, F.lit("/"), "external_code", F.lit(".png")).alias("image_path"),
         "fabric",
         F.date_format("release", "yyyy-M-d").alias("release_date"),
-        sum((F.col(f"w{i}") for i in range(N_WEEKS)), F.lit(0)).cast("string").alias("restock"),
-        *[_text(F.col(f"w{i}")).alias(c) for i, c in enumerate(week_columns())],
+        F.expr(" + ".join(f"w{i}" for i in range(N_WEEKS))).cast("string").alias("restock"),
+        *[F.expr(f"CAST(CAST(w{i} AS DOUBLE) AS STRING) AS `{c}`") for i, c in enumerate(week_columns())],
     )
 
 
@@ -176,11 +177,11 @@ def wide_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     sold = lines(spark, sf_dir, inflow=False)
 
-    def in_week(c: str, i: int) -> Column:
-        return F.sum(F.when(F.col("offset") == i, F.col(c)))
+    def in_week(c: str, i: int) -> str:
+        return f"sum(CASE WHEN offset = {i} THEN {c} END)"
 
     discounts = [
-        F.round(F.try_divide(in_week("percent", i), in_week("n", i) * 100), 4).alias(f"d{i}")
+        F.expr(f"round(try_divide({in_week('percent', i)}, {in_week('n', i)} * 100), 4) AS d{i}")
         for i in range(N_WEEKS)
     ]
     wide = _released(sold).groupBy("brand", "external_code", "retail").agg(
@@ -190,7 +191,7 @@ def wide_price(spark: SparkSession, sf_dir: str) -> DataFrame:
         "external_code",
         F.col("retail").cast("string").alias("retail"),
         (F.expr("(2 * cents + qty) div (2 * qty)") / 100).cast("string").alias("price"),
-        *[F.col(f"d{i}").cast("string").alias(c) for i, c in enumerate(week_columns())],
+        *[F.expr(f"CAST(d{i} AS STRING) AS `{c}`") for i, c in enumerate(week_columns())],
     )
 
 

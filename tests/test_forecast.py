@@ -131,3 +131,9 @@ def test_split_by_ids(spark, frame):
     past, late = forecast.split_by_ids(frame, others, ids)
     assert late.select("unique_id").distinct().count() == 2
     assert past.count() + late.count() == frame.count()
+
+
+def test_label_check(frame):
+    forecast.check_labels(frame)
+    with pytest.raises(ValueError):
+        forecast.check_labels(frame, ["unique_id"], limit=10)
