@@ -283,9 +283,11 @@ def rolling_origin(
     written once; a fit reads only vectors and labels.
     """
     spark = frame.sparkSession
-    ranked = series.steps_from_end(frame, steps=steps)
+    ranked = written(series.steps_from_end(frame, steps=steps), "ranked")
     prep = fit_preparation(ranked, numeric, kind == "tweedie")
-    data = written(prep.transform(ranked.filter("y0 IS NOT NULL")).select("features", "y0", "back"), "cv")
+    known = ranked.filter(F.col("y0").isNotNull())
+    data = written(prep.transform(known).select("features", "y0", "back"), "folds")
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
     make = tweedie_regressor if kind == "tweedie" else tree_regressor
     rows = []
     for i, params in enumerate(trials):
@@ -299,6 +301,7 @@ def rolling_origin(
                 F.count(error).alias("n"), F.sqrt(F.avg(error * error)).alias("rmse")
             ).first()
             rows.append((i, text, w, score["n"], score["rmse"]))
+    data.unpersist()
     return spark.createDataFrame(
         rows, "trial int, params map<string,string>, window int, n bigint, rmse double"
     )

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from hemline.functions import calendar as cal
 from hemline.functions import images, text
 from hemline.operators import inventory, joins
+from hemline.session import written
 
 
 def sales_rows(silver_sales: DataFrame) -> DataFrame:
@@ -52,12 +53,13 @@ def gold_features(
     """Sales with price, weekly store statistics and weekly trends.
 
     ``calendar="iso"`` joins the two weekly tables on the Monday of the week, which also matches weeks
-    that cross a month or a year.
+    that cross a month or a year. The statistics are written first: Spark then knows their size and
+    decides on a broadcast before it would shuffle the sales for the join.
     """
     rows = sales_rows(silver_sales)
     if calendar == "iso":
         rows = rows.withColumn("week_start", cal.week_start("ds"))
-    stats = joins.customer_week_stats(silver_customer, calendar)
+    stats = written(joins.customer_week_stats(silver_customer, calendar), "store-weeks")
     priced = joins.with_price(rows, silver_price)
     return joins.with_trends(
         joins.with_customer_stats(priced, stats, calendar), silver_trends, calendar

@@ -76,7 +76,12 @@ def restocks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def trends(spark: SparkSession, d: str) -> DataFrame:
-    return silver.silver_trends(views.trend_index(spark, d))
+    """The stored silver table, so that its size is known to the joins."""
+    return written(silver.silver_trends(views.trend_index(spark, d)), "trends")
+
+
+def store_stats(spark: SparkSession, d: str) -> DataFrame:
+    return written(joins.customer_week_stats(customers(spark, d)), "store-weeks")
 
 
 def features(spark: SparkSession, d: str, calendar: str = "parity") -> DataFrame:
@@ -87,7 +92,7 @@ def features(spark: SparkSession, d: str, calendar: str = "parity") -> DataFrame
 
 def monitored(spark: SparkSession, d: str) -> DataFrame:
     """The monitored columns of the feature table; the trend join is not needed for them."""
-    stats = joins.customer_week_stats(customers(spark, d))
+    stats = store_stats(spark, d)
     rows = joins.with_price(gold.sales_rows(sales_long(spark, d)), price_long(spark, d))
     return joins.with_customer_stats(rows, stats).select(*NUMERIC, *CATEGORICAL, "release_year")
 
@@ -111,8 +116,7 @@ def weekly(spark: SparkSession, d: str) -> DataFrame:
 
 
 def weekly_signals(spark: SparkSession, d: str) -> DataFrame:
-    stats = joins.customer_week_stats(customers(spark, d))
-    with_stats = joins.with_customer_stats(weekly(spark, d), stats)
+    with_stats = joins.with_customer_stats(weekly(spark, d), store_stats(spark, d))
     return joins.with_trends(with_stats, trends(spark, d)).drop("date")
 
 
@@ -248,7 +252,7 @@ def silver_restock(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def silver_trends(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(trends(spark, d), *TRENDS)
+    return rounded(silver.silver_trends(views.trend_index(spark, d)), *TRENDS)
 
 
 @query
@@ -284,8 +288,7 @@ def price_join(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def customer_stats_join(spark: SparkSession, d: str) -> DataFrame:
-    stats = joins.customer_week_stats(customers(spark, d))
-    return joins.with_customer_stats(weekly(spark, d), stats)
+    return joins.with_customer_stats(weekly(spark, d), store_stats(spark, d))
 
 
 @query
