@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hemline.llm.pieces import op2_sentencepiece
 from hemline.llm.secret_scan import op1_secret_scan
+from hemline.llm.simhash import op9_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_sentencepiece": op2_sentencepiece,
+    "op9_simhash": op9_simhash,
 }
 
 ORACLES: dict[str, str] = {}
