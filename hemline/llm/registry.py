@@ -6,14 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hemline.llm.line_dedup import op10_line_dedup
 from hemline.llm.pieces import op2_sentencepiece
 from hemline.llm.secret_scan import op1_secret_scan
 from hemline.llm.simhash import op9_simhash
+from hemline.llm.substrings import op5_substring_dedup
+from hemline.llm.vectors import op6_embedding_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_sentencepiece": op2_sentencepiece,
+    "op5_substring_dedup": op5_substring_dedup,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op9_simhash": op9_simhash,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLES: dict[str, str] = {}
