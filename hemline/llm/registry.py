@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hemline.llm.contamination import op8_decontamination
 from hemline.llm.line_dedup import op10_line_dedup
 from hemline.llm.pieces import op2_sentencepiece
 from hemline.llm.secret_scan import op1_secret_scan
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_embedding_dedup": op6_embedding_dedup,
+    "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
     "op10_line_dedup": op10_line_dedup,
 }
