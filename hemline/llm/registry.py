@@ -12,11 +12,13 @@ from hemline.llm.pieces import op2_sentencepiece
 from hemline.llm.secret_scan import op1_secret_scan
 from hemline.llm.simhash import op9_simhash
 from hemline.llm.substrings import op5_substring_dedup
+from hemline.llm.toxicity import op4_toxicity
 from hemline.llm.vectors import op6_embedding_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_sentencepiece": op2_sentencepiece,
+    "op4_toxicity": op4_toxicity,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op8_decontamination": op8_decontamination,
