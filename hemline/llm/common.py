@@ -191,3 +191,41 @@ class Workspace:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+class Index:
+    """Position of 64-bit keys in an array of distinct keys, by an open-addressing table; -1 for others."""
+
+    def __init__(self, keys: np.ndarray):
+        self.bits = max(4, int(3 * len(keys)).bit_length())
+        self.mask = (1 << self.bits) - 1
+        self.keys = np.ascontiguousarray(keys).view(np.int64)
+        self.table = np.full(1 << self.bits, -1, np.int32)
+        at, left = self._slots(self.keys), np.arange(len(keys))
+        while len(left):
+            free = self.table[at[left]] < 0
+            take, first = np.unique(at[left[free]], return_index=True)
+            rows = left[free][first]
+            self.table[take] = rows
+            waits = np.ones(len(keys), bool)
+            waits[rows] = False
+            left = left[waits[left]]
+            at[left] = (at[left] + 1) & self.mask
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        spread = mixed(keys.view(np.uint64))
+        return (spread >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.keys) or not len(keys):
+            return np.full(len(keys), -1, np.int64)
+        keys = np.ascontiguousarray(keys).view(np.int64)
+        at = self._slots(keys)
+        got = self.table[at].astype(np.int64)
+        more = np.flatnonzero((got >= 0) & (self.keys[got] != keys))
+        while len(more):
+            at[more] = (at[more] + 1) & self.mask
+            now = self.table[at[more]].astype(np.int64)
+            got[more] = now
+            more = more[(now >= 0) & (self.keys[now] != keys[more])]
+        return got
