@@ -54,7 +54,7 @@ def _matrix(column: pa.ChunkedArray, length: int) -> np.ndarray:
 
 
 def _hashed(classes: DataFrame, bits: int, n_tables: int) -> DataFrame:
-    """Classes once per table: ``t``, ``key`` and all ``keys``, by which a later table tells a pair it has had."""
+    """Classes with their ``keys``, one per table, and the signs behind them, by which a later table tells a pair it has had."""
 
     def run(batches):
         for batch in batches:
@@ -62,20 +62,18 @@ def _hashed(classes: DataFrame, bits: int, n_tables: int) -> DataFrame:
             for length in np.unique(lengths).tolist():
                 own = pa.Table.from_batches([batch]).filter(pa.array(lengths == length))
                 sides = _matrix(own.column("vector"), length) @ _directions(length, bits * n_tables) > 0
-                weight = np.int64(1) << np.arange(bits, dtype=np.int64)
-                keys = sides.reshape(-1, n_tables, bits) @ weight
-                for part in own.append_column("keys", pa.array(list(keys), pa.list_(pa.int64()))).to_batches():
-                    yield part
-
-    schema = f"node long, copies long, size int, vector {classes.schema['vector'].dataType.simpleString()}, keys array<long>"
-    return (
-        classes.select("node", "copies", "size", "vector")
-        .mapInArrow(run, schema)
-        .select("node", "copies", "size", "vector", "keys", F.posexplode("keys").alias("t", "key"))
+                keys = sides.reshape(-1, n_tables, bits) @ (np.int64(1) << np.arange(bits, dtype=np.int64))
+                signs = [row.tobytes() for row in np.packbits(sides, axis=1)]
+                made = own.append_column("signs", pa.array(signs, pa.binary()))
+                yield from made.append_column("keys", pa.array(list(keys), pa.list_(pa.int64()))).to_batches()
+
+    kind = classes.schema["vector"].dataType.simpleString()
+    return classes.select("node", "copies", "size", "vector").mapInArrow(
+        run, f"node long, copies long, size int, vector {kind}, signs binary, keys array<long>"
     )
 
 
-def _links(tasks: DataFrame, threshold: float) -> DataFrame:
+def _links(tasks: DataFrame, threshold: float, bits: int, n_tables: int) -> DataFrame:
     """Per task and member: rows linked by pairs that no earlier table has had, and an edge to the smallest partner."""
 
     def run(batches):
@@ -87,7 +85,9 @@ def _links(tasks: DataFrame, threshold: float) -> DataFrame:
             for low, high in zip(cuts, cuts[1:], strict=False):
                 own = table.slice(low, high - low)
                 x = _matrix(own.column("vector"), int(sizes[low]))
-                keys = own.column("keys").combine_chunks().flatten().to_numpy().reshape(high - low, -1)
+                packed = np.frombuffer(b"".join(own.column("signs").to_pylist()), np.uint8).reshape(high - low, -1)
+                sides = np.unpackbits(packed, axis=1, count=bits * n_tables).reshape(high - low, n_tables, bits)
+                keys = sides[:, : int(t[low])] @ (np.int64(1) << np.arange(bits, dtype=np.int64))
                 s, linked, a, b = side[low:high], np.zeros(high - low, np.int64), [], []
                 x = x / np.abs(x).max(axis=1, keepdims=True)
                 x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
@@ -147,8 +147,13 @@ def near_vectors(
         "classes",
     )
     bits, n_tables = plan_tables(classes.count(), threshold, recall)
-    tasks = block_tasks(_hashed(classes, bits, n_tables), ["size", "t", "key"], "node", cap)
-    links = work.write(_links(tasks, threshold), "links")
+    hashed = work.write(_hashed(classes, bits, n_tables), "hashed")
+    members = hashed.select("node", "size", F.posexplode("keys").alias("t", "key"))
+    # Blocks are dealt on narrow rows; the vectors join once the tasks are known.
+    tasks = block_tasks(members, ["size", "t", "key"], "node", cap).join(
+        hashed.select("node", "copies", "vector", "signs"), "node"
+    )
+    links = work.write(_links(tasks, threshold, bits, n_tables), "links")
     roots = connected(work, links, "node", "other")
     counts = links.groupBy("node").agg(F.sum("linked").alias("linked"))
     labelled = (
