@@ -171,6 +171,17 @@ def append_columns(
     return docs.select(*[F.col(f"`{f.name}`") for f in kept]).mapInArrow(run, schema)
 
 
+def free_names(docs: DataFrame, *names: str) -> list[str]:
+    """The names with as many underscores in front as keep them apart from the columns of ``docs``."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 class Workspace:
     """Tables written to the shared folder during one operator, read back as new scans."""
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hemline.llm.common import Workspace, read_table
+from hemline.llm.common import Workspace, free_names, read_table
 
 WINDOW = 13
 SHARE = 20
@@ -106,10 +106,9 @@ def _noted(scanned: DataFrame, windows: DataFrame, most_grams: int) -> DataFrame
         .groupBy("doc_id", "text_key")
         .agg(F.collect_set(F.struct("start", "length")).alias("places"))
     )
-    same = scanned["doc_id"].eqNullSafe(places["doc_id"]) & (scanned["text_key"] == places["text_key"])
-    joined = scanned.join(places, same, "left").select(
-        scanned["doc_id"], scanned["text_key"], "n_words", "words", "places"
-    )
+    places = places.withColumnsRenamed({"doc_id": "_doc_id", "text_key": "_text_key"})
+    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_key") == F.col("_text_key"))
+    joined = scanned.join(places, same, "left").select("doc_id", "text_key", "n_words", "words", "places")
     return joined.selectExpr(
         "doc_id",
         "text_key",
@@ -197,22 +196,22 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
 
 def cut_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` whose hit runs of words are replaced by one space; the rest of each text stays as it is."""
+    marks, own = free_names(docs, "_ranges", "_words")
     found = (
         find_contamination(docs, benchmark, window)
         .filter("n_hit > 0")
         .groupBy("doc_id", "text_key")
-        .agg(F.first("ranges").alias("_ranges"))
+        .agg(F.first("ranges").alias(marks))
     )
-    words = word_list(F.col("text"))
     runs = F.transform(
-        "_ranges",
-        lambda r: F.array_join(F.slice("_words", r["first"], r["last"] - r["first"] + 1), f"{BETWEEN_ANY_CASE}+"),
+        marks,
+        lambda r: F.array_join(F.slice(own, r["first"], r["last"] - r["first"] + 1), f"{BETWEEN_ANY_CASE}+"),
     )
     inside = "[^" + BETWEEN_ANY_CASE[1:]
     pattern = F.concat(F.lit(f"(?i)(?<!{inside})(?:"), F.array_join(runs, "|"), F.lit(f")(?!{inside})"))
-    cut = F.when(F.col("_ranges").isNull(), F.col("text")).otherwise(F.regexp_replace("text", pattern, F.lit(" ")))
-    joined = _joined(docs, found, "left").withColumn("_words", words)
-    return joined.withColumn("text", cut).select(*[F.col(f"`{c}`") for c in docs.columns])
+    cut = F.when(F.col(marks).isNull(), F.col("text")).otherwise(F.regexp_replace("text", pattern, F.lit(" ")))
+    joined = _joined(docs, found, "left").withColumn(own, word_list(F.col("text")))
+    return joined.select(*[cut.alias(c) if c == "text" else docs[f"`{c}`"] for c in docs.columns])
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hemline.llm.common import Rolling, Workspace, mixed, run_hashes, text_pieces
+from hemline.llm.common import Rolling, Workspace, free_names, mixed, run_hashes, text_pieces
 
 #: Bits of the largest sketch, 16 MB; a smaller one has 16 bits for each key.
 FILTER_BITS = 1 << 27
@@ -234,20 +234,22 @@ def without_repeats(docs: DataFrame, runs: Runs, split: bytes | None, join: byte
 
     Rows of equal id and text are one document. Null ids come after all others and are equal to each other.
     """
-    own = {"_rank": F.coalesce(F.col(id_column).cast("long"), F.lit(LAST)), "_text_key": F.xxhash64(text)}
-    keyed = docs.withColumns(own)
-    narrow = keyed.select(F.col("_rank").alias("rank"), F.col("_text_key").alias("text_key"), F.col(text).alias("text"))
+    names = [c for c in docs.columns if c not in ("n_tokens", "n_removed", "kept_text")]
+    rank, key, marks = free_names(docs, "_rank", "_text_key", "_ranges")
+    keyed = docs.withColumns({rank: F.coalesce(F.col(id_column).cast("long"), F.lit(LAST)), key: F.xxhash64(text)})
+    narrow = keyed.filter(F.col(text).isNotNull()).select(
+        F.col(rank).alias("rank"), F.col(key).alias("text_key"), F.col(text).alias("text")
+    )
     work = Workspace(docs.sparkSession, "runs")
     found = repeated_ranges(narrow, runs, work).select(
-        F.col("rank").alias("_rank"), F.col("text_key").alias("_text_key"), F.col("ranges").alias("_ranges")
+        F.col("rank").alias(rank), F.col("text_key").alias(key), F.col("ranges").alias(marks)
     )
-    names = [c for c in docs.columns if c not in ("n_tokens", "n_removed", "kept_text")]
-    joined = keyed.join(found, ["_rank", "_text_key"], "left").select(*names, "_ranges")
+    joined = keyed.join(found, [rank, key], "left").select(*[F.col(f"`{c}`") for c in names], marks)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in names)
 
     def run(batches):
         for rows, data, offsets in text_pieces(batches, text):
-            ranges = rows.column(rows.schema.get_field_index("_ranges"))
+            ranges = rows.column(rows.schema.get_field_index(marks))
             n_tokens, n_removed, kept = [], [], []
             raw, cuts = data.tobytes(), offsets.tolist()
             for i in range(rows.num_rows):

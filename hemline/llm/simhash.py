@@ -109,7 +109,7 @@ def near_pairs(values: np.ndarray, task: np.ndarray, radius: int):
     """
     ends = np.searchsorted(task, task, "right")
     sizes = ends - np.searchsorted(task, task)
-    counters, most = int(radius).bit_length(), int(sizes.max(initial=0))
+    counters, most = max(1, int(radius).bit_length()), int(sizes.max(initial=0))
     rows = planes = last = None
     for d in range(1, most):
         if rows is None or 2 * np.count_nonzero(sizes[rows] > d) <= len(rows):

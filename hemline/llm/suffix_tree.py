@@ -240,8 +240,10 @@ def score_tokens(tree: Tree, hashes: np.ndarray, starts: np.ndarray):
     """log10 probability of each token under single-word counts and under the tree, without the single-word part
     of words outside the head; and each token's place in the head."""
     place, symbol = tree.symbols(hashes)
+    if not len(tree.counts):
+        return np.zeros(len(place)), np.zeros(len(place)), place
     base = np.where(place >= 0, np.log10(tree.counts[np.maximum(place, 0)] + 0.5) - tree.log_total, 0.0)
-    if not len(tree.counts) or not tree.n_symbols:
+    if not tree.n_symbols:
         return base, base.copy(), place
     runs, value = tree.runs(symbol, starts), base.copy()
     begins = np.zeros(len(hashes) + 1, bool)
