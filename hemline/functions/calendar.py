@@ -22,22 +22,30 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _whole(c: Column | str, kind: str) -> Column:
+    """The pattern is tried only where the plain cast fails."""
+    digits = F.regexp_extract(_col(c).cast("string"), WHOLE_PART, 1)
+    return F.coalesce(_col(c).try_cast(kind), digits.try_cast(kind))
+
+
 def text_to_int(c: Column | str) -> Column:
-    """``'12'`` and ``'12.0'`` -> 12; NULL for other text or when out of range.
+    """``'12'`` and ``'12.0'`` -> 12; NULL for other text or when out of range."""
+    return _whole(c, "int")
 
-    The pattern is tried only where the plain cast fails.
-    """
-    whole = F.regexp_extract(_col(c).cast("string"), WHOLE_PART, 1)
-    return F.coalesce(_col(c).try_cast("int"), whole.try_cast("int"))
+
+def text_to_quantity(c: Column | str) -> Column:
+    """As :func:`text_to_int`, as a bigint: sums of quantities outgrow an int."""
+    return _whole(c, "bigint")
 
 
 def text_to_float(c: Column | str) -> Column:
     return _col(c).try_cast("float")
 
 
-def decimal_text_to_int(c: Column | str) -> Column:
-    """``'3.7'`` -> 3, ``'-3.7'`` -> -3: through float, cut towards zero."""
-    return _col(c).try_cast("float").try_cast("int")
+def decimal_text_to_quantity(c: Column | str) -> Column:
+    """``'3.7'`` -> 3, ``'-3.7'`` -> -3: cut towards zero, exact for every digit; a bigint."""
+    whole = F.regexp_extract(_col(c).cast("string"), WHOLE_PART, 1).try_cast("bigint")
+    return F.coalesce(whole, _col(c).try_cast("decimal(38,10)").try_cast("bigint"))
 
 
 def purchase_date(c: Column | str) -> Column:

@@ -148,7 +148,7 @@ def reorder_plan(ledger: DataFrame, forecast: DataFrame) -> DataFrame:
     """Projected stock after the forecast demand of the same item, store and date.
 
     ``forecast`` needs external_code, retail, ds, forecast, hi_ci. ``order_qty`` raises the stock to the
-    upper bound of the interval.
+    upper bound of the interval and is NULL where no forecast is known.
     """
     balance = F.col("accumulated_inventory")
     return (
@@ -158,7 +158,7 @@ def reorder_plan(ledger: DataFrame, forecast: DataFrame) -> DataFrame:
             {
                 "projected_inventory": balance - F.col("forecast"),
                 "stock_out": balance < F.col("forecast"),
-                "order_qty": F.greatest(F.col("hi_ci") - balance, F.lit(0)),
+                "order_qty": F.when(F.col("hi_ci").isNotNull(), F.greatest(F.col("hi_ci") - balance, F.lit(0))),
             }
         )
     )

@@ -41,7 +41,7 @@ def silver_sales(bronze: DataFrame, n_weeks: int = N_WEEKS) -> DataFrame:
             "release_year": cal.date_text_part("release_date", 0),
             "release_date": cal.release_date("release_date"),
             "release_week_of_year": F.weekofyear(cal.release_date("release_date")),
-            "restock": cal.text_to_int("restock"),
+            "restock": cal.text_to_quantity("restock"),
             "season_category": F.substring("season", 1, 2),
         }
     )
@@ -57,7 +57,7 @@ def silver_sales(bronze: DataFrame, n_weeks: int = N_WEEKS) -> DataFrame:
     return unpivot_weeks(wide, ids, "sales", n_weeks=n_weeks).withColumns(
         {
             "week": week,
-            "sales": cal.decimal_text_to_int("sales"),
+            "sales": cal.decimal_text_to_quantity("sales"),
             "current_week_of_year": F.col("release_week_of_year") + week,
             "current_date_of_week": F.date_add("release_date", week * 7),
         }
@@ -77,7 +77,7 @@ def silver_customer(bronze: DataFrame) -> DataFrame:
     dated = bronze.drop(RESCUED).withColumns(
         {
             "retail": cal.text_to_int("retail"),
-            "qty": cal.text_to_int("qty"),
+            "qty": cal.text_to_quantity("qty"),
             "date": cal.purchase_date("data"),
         }
     )
@@ -96,7 +96,7 @@ def silver_restock(bronze: DataFrame) -> DataFrame:
             "retail": cal.text_to_int("retail"),
             "week": cal.text_to_int("week"),
             "year": cal.text_to_int("year"),
-            "qty": cal.text_to_int("qty"),
+            "qty": cal.text_to_quantity("qty"),
         }
     )
 

@@ -26,6 +26,10 @@ def _monday(day: str) -> str:
     return f"CAST(date_trunc('week', {day}) AS DATE)"
 
 
+def _code(day: str) -> str:
+    return f"brand || lpad(CAST(({day} - DATE '1990-01-01') // 84 AS VARCHAR), 3, '0')"
+
+
 def _tuesday(year: str, week: str) -> str:
     jan1 = f"make_date({year}, 1, 1)"
     t = f"({jan1} + CAST(2 - dayofweek({jan1}) + ({week} - 1) * 7 AS INTEGER))"
@@ -56,18 +60,18 @@ CTES = {
     "item": """SELECT substr(p_brand, 7) AS brand, lower(arg_min(p_type, p_partkey)) AS category,
       split_part(arg_min(p_name, p_partkey), ' ', 1) AS color,
       split_part(arg_min(p_name, p_partkey), ' ', 2) AS fabric FROM part GROUP BY 1""",
-    "released": """SELECT *, (day - release) // 7 AS off FROM (
-      SELECT brand, brand || CAST(year(day) AS VARCHAR) AS external_code, retail, day, qty, cents, percent,
-        min(day) OVER (PARTITION BY brand, year(day), retail) AS release FROM sold)""",
+    "released": f"""SELECT *, (day - release) // 7 AS off FROM (
+      SELECT *, min(day) OVER (PARTITION BY external_code, retail) AS release FROM (
+        SELECT brand, {_code('day')} AS external_code, retail, day, qty, cents, percent FROM sold))""",
     "release_item": """SELECT brand, external_code, retail, release,
       CASE WHEN month(release) BETWEEN 3 AND 8 THEN 'SS' ELSE 'AW' END || strftime(release, '%y') AS season,
-      CAST(sum(CASE WHEN off < 12 THEN qty ELSE 0 END) AS INTEGER) AS restock,
+      CAST(sum(qty) AS BIGINT) AS restock,
       ((2 * sum(cents) + sum(qty)) // (2 * sum(qty))) / 100.0 AS price
     FROM released GROUP BY ALL""",
     "offsets": "SELECT CAST(unnest(range(12)) AS INTEGER) AS week",
-    "cells": """SELECT external_code, retail, off AS week, CAST(sum(qty) AS INTEGER) AS sales,
+    "cells": """SELECT external_code, retail, off AS week, CAST(sum(qty) AS BIGINT) AS sales,
       round(sum(percent) / (count(*) * 100), 4) AS discount
-    FROM released WHERE off < 12 GROUP BY ALL""",
+    FROM released GROUP BY ALL""",
     "silver_sales": """SELECT r.external_code, r.retail, season, category, color,
       season || '/' || r.external_code || '.png' AS image_path, fabric, release AS release_date, restock, o.week,
       coalesce(c.sales, 0) AS sales, day(release) AS release_day, month(release) AS release_month,
@@ -80,11 +84,11 @@ CTES = {
       CAST(c.discount AS FLOAT) AS discount
     FROM release_item r CROSS JOIN offsets o
     LEFT JOIN cells c ON c.external_code = r.external_code AND c.retail = r.retail AND c.week = o.week""",
-    "silver_customer": """SELECT CAST(l_suppkey AS INTEGER) AS retail, CAST(l_quantity AS INTEGER) AS qty,
+    "silver_customer": """SELECT CAST(l_suppkey AS INTEGER) AS retail, CAST(l_quantity AS BIGINT) AS qty,
       CAST(o_orderdate AS DATE) AS date, year(o_orderdate) AS year, month(o_orderdate) AS month,
       weekofyear(o_orderdate) AS weekofyear FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
-    "silver_restock": """SELECT brand || CAST(year(day) AS VARCHAR) AS external_code, retail,
-      weekofyear(day) AS week, year(day) AS year, CAST(sum(qty) AS INTEGER) AS qty
+    "silver_restock": f"""SELECT {_code('day')} AS external_code, retail,
+      weekofyear(day) AS week, year(day) AS year, CAST(sum(qty) AS BIGINT) AS qty
     FROM delivered GROUP BY ALL""",
     "silver_trends": f"""SELECT *, month(date) AS month, year(date) AS year, weekofyear(date) AS week_of_year
     FROM (SELECT {_monday('o_orderdate')} AS date, {', '.join(
@@ -322,6 +326,8 @@ oracle("embedding_columns", f"""SELECT CAST(label AS VARCHAR) || '/' || CAST(vec
 
 # ---- silver
 oracle("silver_sales", "SELECT * FROM silver_sales")
+oracle("sales_conserved", """SELECT CAST(l_suppkey AS INTEGER) AS retail, CAST(sum(l_quantity) AS BIGINT) AS sales,
+  CAST(sum(l_quantity) AS BIGINT) AS restock FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1""")
 oracle("silver_price", f"SELECT external_code, retail, week, {_r6('price', 'discount')} FROM silver_price")
 oracle("silver_customer", "SELECT * FROM silver_customer")
 oracle("silver_restock", "SELECT * FROM silver_restock")
@@ -372,7 +378,7 @@ oracle("inventory_point_filter", "SELECT * FROM balance_weekly WHERE external_co
 oracle("inventory_preview", "SELECT * FROM balance_weekly ORDER BY external_code, retail, date LIMIT 15")
 oracle("reorder_plan", """SELECT external_code, retail, b.date AS ds, accumulated_inventory, forecast, hi_ci,
   accumulated_inventory - forecast AS projected_inventory, accumulated_inventory < forecast AS stock_out,
-  CASE WHEN hi_ci IS NULL THEN 0 ELSE greatest(hi_ci - accumulated_inventory, 0) END AS order_qty
+  CASE WHEN hi_ci IS NOT NULL THEN greatest(hi_ci - accumulated_inventory, 0) END AS order_qty
   FROM balance_iso b LEFT JOIN (SELECT external_code, retail, ds AS date, forecast, hi_ci FROM rounded) r
   USING (external_code, retail, date)""")
 

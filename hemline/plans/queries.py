@@ -67,6 +67,15 @@ def price_long(spark: SparkSession, d: str) -> DataFrame:
     return silver.silver_price(views.wide_price(spark, d))
 
 
+def sales_and_price(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Both silver tables from one stored copy of the releases: the lines are scanned and reduced once."""
+    released = written(views.releases(spark, d), "releases")
+    return (
+        silver.silver_sales(views.wide_sales(spark, d, released)),
+        silver.silver_price(views.wide_price(spark, d, released)),
+    )
+
+
 def customers(spark: SparkSession, d: str) -> DataFrame:
     return silver.silver_customer(views.customer_purchases(spark, d))
 
@@ -85,15 +94,15 @@ def store_stats(spark: SparkSession, d: str) -> DataFrame:
 
 
 def features(spark: SparkSession, d: str, calendar: str = "parity") -> DataFrame:
-    return gold.gold_features(
-        sales_long(spark, d), price_long(spark, d), customers(spark, d), trends(spark, d), calendar
-    )
+    sales, price = sales_and_price(spark, d)
+    return gold.gold_features(sales, price, customers(spark, d), trends(spark, d), calendar)
 
 
 def monitored(spark: SparkSession, d: str) -> DataFrame:
     """The monitored columns of the feature table; the trend join is not needed for them."""
     stats = store_stats(spark, d)
-    rows = joins.with_price(gold.sales_rows(sales_long(spark, d)), price_long(spark, d))
+    sales, price = sales_and_price(spark, d)
+    rows = joins.with_price(gold.sales_rows(sales), price)
     return joins.with_customer_stats(rows, stats).select(*NUMERIC, *CATEGORICAL, "release_year")
 
 
@@ -235,6 +244,15 @@ def silver_sales(spark: SparkSession, d: str) -> DataFrame:
     return sales_long(spark, d)
 
 
+@query
+def sales_conserved(spark: SparkSession, d: str) -> DataFrame:
+    """Units per store after the reshape: every sold unit is in one week of one release."""
+    per_release = sales_long(spark, d).groupBy("external_code", "retail").agg(
+        F.sum("sales").alias("sales"), F.max("restock").alias("restock")
+    )
+    return per_release.groupBy("retail").agg(F.sum("sales").alias("sales"), F.sum("restock").alias("restock"))
+
+
 @query
 def silver_price(spark: SparkSession, d: str) -> DataFrame:
     return rounded(price_long(spark, d), "price", "discount")
@@ -282,8 +300,8 @@ def customer_week_stats_iso(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def price_join(spark: SparkSession, d: str) -> DataFrame:
-    rows = sales_long(spark, d).select(*joins.PRICE_KEYS, "sales")
-    return rounded(joins.with_price(rows, price_long(spark, d)), "price", "discount")
+    sales, price = sales_and_price(spark, d)
+    return rounded(joins.with_price(sales.select(*joins.PRICE_KEYS, "sales"), price), "price", "discount")
 
 
 @query

@@ -1,8 +1,9 @@
 """The feed shapes, built from the warehouse tables of ``TESTDATA.md``.
 
 An item of the weekly panel is a brand, a store is a supplier. An item of the release feeds is a brand
-in one year, so that an item has one release and at most twelve weeks, as in a fashion season. Lines
-flagged ``R`` are deliveries to the store, all others are sales.
+in one block of twelve weeks, counted from a fixed Monday. Its release in a store is the first day with
+sales in the block, so every sale falls into one of the twelve weeks from the release and none is left
+out. Lines flagged ``R`` are deliveries to the store, all others are sales.
 
 Sums run over whole cents and whole percents, so they are exact in any order of addition.
 """
@@ -11,7 +12,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from hemline.functions import calendar as cal
 from hemline.operators.reshape import N_WEEKS, week_columns
@@ -26,15 +26,14 @@ TREND_COLUMNS = {
 }
 
 
-_schemas: dict[str, T.StructType] = {}
+# Length of a release block and the Monday that the blocks are counted from.
+BLOCK_DAYS = 7 * N_WEEKS
+FIRST_DAY = "1990-01-01"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A warehouse table. The schema is read from the files once; later reads start no job for it."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    """A warehouse table with the schema that its files have now."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def lines(spark: SparkSession, sf_dir: str, inflow: bool) -> DataFrame:
@@ -128,32 +127,54 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _released(sold: DataFrame) -> DataFrame:
-    """Daily sums per release with the release day and the week counted from it."""
-    daily = sold.groupBy(
-        "brand",
-        F.concat("brand", F.year("day").cast("string")).alias("external_code"),
-        "retail",
-        "day",
-    ).agg(
+def release_code(day: Column | str = "day") -> Column:
+    """Item of the release feeds: the brand and the number of the block."""
+    block = F.floor(F.date_diff(day, F.lit(FIRST_DAY).cast("date")) / BLOCK_DAYS)
+    return F.concat("brand", F.lpad(block.cast("string"), 3, "0"))
+
+
+def releases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per release and store with the measures of both wide feeds.
+
+    Days are summed on the map side first; the release day and the weeks then follow in one partitioning.
+    """
+    keys = ["brand", "external_code", "retail"]
+    daily = (
+        lines(spark, sf_dir, inflow=False)
+        .groupBy("brand", release_code().alias("external_code"), "retail", "day")
+        .agg(
+            F.sum("qty").alias("qty"),
+            F.sum("cents").alias("cents"),
+            F.sum("percent").alias("percent"),
+            F.count("*").alias("n"),
+        )
+    )
+    dated = daily.withColumn("release", F.min("day").over(Window.partitionBy(*keys)))
+    offset = F.floor(F.date_diff("day", "release") / 7).cast("int")
+
+    def in_week(c: str, i: int) -> str:
+        return f"sum(CASE WHEN offset = {i} THEN {c} END)"
+
+    weeks = [F.expr(f"coalesce({in_week('qty', i)}, 0) AS w{i}") for i in range(N_WEEKS)]
+    discounts = [
+        F.expr(f"round(try_divide({in_week('percent', i)}, {in_week('n', i)} * 100), 4) AS d{i}")
+        for i in range(N_WEEKS)
+    ]
+    return dated.withColumn("offset", offset).groupBy(*keys).agg(
+        F.min("release").alias("release"),
         F.sum("qty").alias("qty"),
         F.sum("cents").alias("cents"),
-        F.sum("percent").alias("percent"),
-        F.count("*").alias("n"),
-    )
-    release = F.min("day").over(Window.partitionBy("brand", "external_code", "retail"))
-    return daily.withColumn("release", release).withColumn(
-        "offset", F.floor(F.date_diff("day", "release") / 7).cast("int")
+        *weeks,
+        *discounts,
     )
 
 
-def wide_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sales feed: all strings, one column per week since the release."""
-    sold = lines(spark, sf_dir, inflow=False)
-    weeks = [F.expr(f"sum(CASE WHEN offset = {i} THEN qty ELSE 0 END) AS w{i}") for i in range(N_WEEKS)]
-    wide = _released(sold).groupBy("brand", "external_code", "retail").agg(
-        F.min("release").alias("release"), *weeks
-    )
+def wide_sales(spark: SparkSession, sf_dir: str, released: DataFrame | None = None) -> DataFrame:
+    """The sales feed: all strings, one column per week since the release.
+
+    ``released`` is :func:`releases`, given where both feeds are built from one copy of it.
+    """
+    wide = releases(spark, sf_dir) if released is None else released
     half = F.when(F.month("release").between(3, 8), "SS").otherwise("AW")
     season = F.concat(half, F.date_format("release", "yy"))
     return wide.join(items(spark, sf_dir), "brand", "left").select(
@@ -165,28 +186,17 @@ def wide_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(season, F.lit("/"), "external_code", F.lit(".png")).alias("image_path"),
         "fabric",
         F.date_format("release", "yyyy-M-d").alias("release_date"),
-        F.expr(" + ".join(f"w{i}" for i in range(N_WEEKS))).cast("string").alias("restock"),
-        *[F.expr(f"CAST(CAST(w{i} AS DOUBLE) AS STRING) AS `{c}`") for i, c in enumerate(week_columns())],
+        F.col("qty").cast("string").alias("restock"),
+        *[F.expr(f"concat(CAST(w{i} AS STRING), '.0') AS `{c}`") for i, c in enumerate(week_columns())],
     )
 
 
-def wide_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+def wide_price(spark: SparkSession, sf_dir: str, released: DataFrame | None = None) -> DataFrame:
     """The price feed: all strings, mean unit price and the mean discount of each week.
 
     The price is rounded to whole cents in integer arithmetic.
     """
-    sold = lines(spark, sf_dir, inflow=False)
-
-    def in_week(c: str, i: int) -> str:
-        return f"sum(CASE WHEN offset = {i} THEN {c} END)"
-
-    discounts = [
-        F.expr(f"round(try_divide({in_week('percent', i)}, {in_week('n', i)} * 100), 4) AS d{i}")
-        for i in range(N_WEEKS)
-    ]
-    wide = _released(sold).groupBy("brand", "external_code", "retail").agg(
-        F.sum("cents").alias("cents"), F.sum("qty").alias("qty"), *discounts
-    )
+    wide = releases(spark, sf_dir) if released is None else released
     return wide.select(
         "external_code",
         F.col("retail").cast("string").alias("retail"),
@@ -218,7 +228,7 @@ def restock_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     delivered = lines(spark, sf_dir, inflow=True)
     return (
         delivered.groupBy(
-            F.concat("brand", F.year("day").cast("string")).alias("external_code"),
+            release_code().alias("external_code"),
             F.col("retail").cast("string").alias("retail"),
             F.weekofyear("day").cast("string").alias("week"),
             F.year("day").cast("string").alias("year"),

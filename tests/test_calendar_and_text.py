@@ -23,7 +23,7 @@ def test_text_to_int(spark, value, expected):
     "value, expected", [("2.0", 2), ("3.7", 3), ("-3.7", -3), ("", None), ("n/a", None), (None, None)]
 )
 def test_decimal_text_to_int(spark, value, expected):
-    assert one(spark, value, cal.decimal_text_to_int("v")) == expected
+    assert one(spark, value, cal.decimal_text_to_quantity("v")) == expected
 
 
 @pytest.mark.parametrize(
