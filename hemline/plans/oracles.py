@@ -11,6 +11,10 @@ TREND_NAMES = ["urgent", "high", "medium", "not_specified", "low"]
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 CUSTOMER = ["retail_total_sales_qty", "retail_total_customer_purchase"]
 NUMERIC = [*CUSTOMER, "price", "discount", "retail"]
+WEATHER = [
+    "avg_temp_C", "min_temp_C", "max_temp_C", "dew_point_C", "humidity_percent", "visibility_km", "avg_wind_kmh",
+    "max_wind_kmh", "gust_kmh", "slm_pressure_mb", "avg_pressure_mb", "rain_mm",
+]
 CATEGORICAL = ["category", "color", "fabric", "season_category"]
 
 
@@ -498,5 +502,14 @@ oracle("gold_image_features", f"""SELECT split_part({_IMAGE_TAIL}, '/', 1) AS ca
   split_part({_IMAGE_TAIL}, '/', 2) AS file_name, {_IMAGE_TAIL} AS img_path FROM pages WHERE length(html) % 2 = 0""")
 oracle("image_embeddings", f"""SELECT {_IMAGE_TAIL} AS img_path, 4 AS embed_size FROM pages WHERE length(html) % 2 = 0""")
 oracle("stream_ingest_sales", "SELECT * FROM silver_sales")
+oracle("stream_ingest_price", f"SELECT external_code, retail, week, {_r6('price', 'discount')} FROM silver_price")
+oracle("stream_ingest_restock", "SELECT * FROM silver_restock")
+oracle("stream_ingest_trends", "SELECT * FROM silver_trends")
+oracle("stream_ingest_weather", "SELECT n_name AS locality, strftime(o_orderdate, '%Y-%m-%d') AS date, " + ", ".join(
+    f"CAST(count(*) FILTER (o_custkey % 12 = {i}) AS DOUBLE) AS {c}" for i, c in enumerate(WEATHER))
+    + " FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL")
+oracle("stream_quarantine", """SELECT external_code || ',' || retail || ',' || week || ',' || year || ',' || qty || 'x' AS line
+  FROM silver_restock WHERE retail % 2 = 1""")
+oracle("stream_new_column", """SELECT *, CASE WHEN retail % 2 = 1 THEN 's' || retail END AS source FROM silver_restock""")
 oracle("stream_ingest_customer", "SELECT * FROM silver_customer")
 oracle("stream_micro_batches", "SELECT * FROM silver_restock")

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hemline.functions import calendar as cal
 from hemline.functions import images, text
@@ -29,7 +30,7 @@ from hemline.operators import (
 )
 from hemline.plans import gold
 from hemline.session import fresh_path, written
-from hemline.sources import views
+from hemline.sources import schemas, views
 from hemline.streaming import jobs, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -825,30 +826,90 @@ def parameter_search(spark: SparkSession, d: str) -> DataFrame:
     return found.select("trial", "n_windows", "score")
 
 
-def _csv_rounds(spark: SparkSession, df: DataFrame, folder: str) -> None:
-    df.write.option("header", "true").csv(folder)
+def _ingested(
+    spark: SparkSession, name: str, df: DataFrame, by: str, schema: T.StructType | None = None
+) -> str:
+    """A feed as CSV files that arrive in two rounds, then a run without new files; the folder with its tables.
+
+    The second round holds the rows whose hash of ``by`` is odd.
+    """
+    base = fresh_path(spark, f"ingest-{name}")
+    late = F.pmod(F.xxhash64(by), F.lit(2)) == 1
+    for part in (df.filter(~late), df.filter(late), None):
+        if part is not None:
+            part.write.mode("append").option("header", "true").csv(f"{base}/source")
+        jobs.ingest_bronze(spark, name, f"{base}/source", f"{base}/bronze", f"{base}/state", schema=schema)
+        if jobs.FEEDS[name].to_silver:
+            jobs.refresh_silver(spark, name, f"{base}/bronze", f"{base}/silver", f"{base}/state")
+    return base
 
 
 @query
 def stream_ingest_sales(spark: SparkSession, d: str) -> DataFrame:
-    """Sales feed as CSV files, streamed to bronze and from there to silver; two runs, one result."""
-    base = fresh_path(spark, "ingest-sales")
-    _csv_rounds(spark, views.wide_sales(spark, d), f"{base}/source")
-    for _ in range(2):
-        jobs.ingest_bronze(spark, "sales", f"{base}/source", f"{base}/bronze", f"{base}/state")
-        jobs.refresh_silver(spark, "sales", f"{base}/bronze", f"{base}/silver", f"{base}/state")
+    """Sales feed as CSV files, streamed to bronze and from there to silver."""
+    base = _ingested(spark, "sales", views.wide_sales(spark, d), "retail")
     return spark.read.parquet(f"{base}/silver")
 
 
+@query
+def stream_ingest_price(spark: SparkSession, d: str) -> DataFrame:
+    base = _ingested(spark, "price", views.wide_price(spark, d), "retail")
+    return rounded(spark.read.parquet(f"{base}/silver"), "price", "discount")
+
+
 @query
 def stream_ingest_customer(spark: SparkSession, d: str) -> DataFrame:
-    base = fresh_path(spark, "ingest-customer")
-    _csv_rounds(spark, views.customer_purchases(spark, d), f"{base}/source")
-    jobs.ingest_bronze(spark, "customer", f"{base}/source", f"{base}/bronze", f"{base}/state")
-    jobs.refresh_silver(spark, "customer", f"{base}/bronze", f"{base}/silver", f"{base}/state")
+    base = _ingested(spark, "customer", views.customer_purchases(spark, d), "retail")
     return spark.read.parquet(f"{base}/silver")
 
 
+@query
+def stream_ingest_restock(spark: SparkSession, d: str) -> DataFrame:
+    base = _ingested(spark, "restock", views.restock_events(spark, d), "retail")
+    return spark.read.parquet(f"{base}/silver")
+
+
+@query
+def stream_ingest_trends(spark: SparkSession, d: str) -> DataFrame:
+    """The trend feed with a declared schema of its five columns."""
+    feed = views.trend_index(spark, d)
+    base = _ingested(spark, "gtrends", feed, "date", feed.schema)
+    return spark.read.parquet(f"{base}/silver")
+
+
+@query
+def stream_ingest_weather(spark: SparkSession, d: str) -> DataFrame:
+    """The weather feed has no silver table; its bronze rows are the result."""
+    base = _ingested(spark, "weather", views.weather(spark, d), "locality")
+    return rounded(spark.read.parquet(f"{base}/bronze").drop(silver.RESCUED), *schemas.WEATHER_MEASURES)
+
+
+@query
+def stream_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """Restock lines whose quantity is no number, found again whole in the quarantine table."""
+    odd = F.col("retail").cast("int") % 2 == 1
+    feed = views.restock_events(spark, d).withColumn("qty", F.when(odd, F.concat("qty", F.lit("x"))).otherwise(F.col("qty")))
+    base = fresh_path(spark, "quarantine")
+    feed.write.option("header", "true").csv(f"{base}/source")
+    typed = T.StructType([*schemas.RESTOCK.fields[:-1], T.StructField("qty", T.LongType())])
+    jobs.ingest_bronze(spark, "restock", f"{base}/source", f"{base}/bronze", f"{base}/state", schema=typed)
+    jobs.quarantine(spark, "restock", f"{base}/bronze", f"{base}/rescued", f"{base}/state")
+    return spark.read.parquet(f"{base}/rescued").select(F.col(silver.RESCUED).alias("line"))
+
+
+@query
+def stream_new_column(spark: SparkSession, d: str) -> DataFrame:
+    """Restock files that gain a column in their second round; the first round's rows have none."""
+    base = fresh_path(spark, "growing")
+    feed = views.restock_events(spark, d)
+    odd = F.col("retail").cast("int") % 2 == 1
+    for part in (feed.filter(~odd), feed.filter(odd).select(F.concat(F.lit("s"), "retail").alias("source"), "*")):
+        part.write.mode("append").option("header", "true").csv(f"{base}/source")
+        jobs.ingest_growing(spark, f"{base}/source", f"{base}/bronze", f"{base}/state")
+    rows = sinks.read_merged(spark, f"{base}/bronze").drop(sinks.BATCH_COLUMN)
+    return silver.silver_restock(rows)
+
+
 @query
 def stream_micro_batches(spark: SparkSession, d: str) -> DataFrame:
     """The restock feed through a per-batch callback, each batch written twice."""

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from hemline.functions import calendar as cal
 from hemline.operators.reshape import N_WEEKS, week_columns
+from hemline.sources.schemas import WEATHER_MEASURES
 
 # Order priorities and the trend columns they feed.
 TREND_COLUMNS = {
@@ -252,6 +253,24 @@ def trend_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shape of the weather feed: one row per nation and order day; each measure counts orders of a twelfth of the
+    customers."""
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate")
+    counts = [
+        F.count_if(F.col("o_custkey") % len(WEATHER_MEASURES) == i).cast("float").alias(c)
+        for i, c in enumerate(WEATHER_MEASURES)
+    ]
+    return (
+        orders.join(customer, "o_custkey")
+        .join(nation, "c_nationkey")
+        .groupBy(F.col("n_name").alias("locality"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"))
+        .agg(*counts)
+    )
+
+
 def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(
         F.concat(F.col("label").cast("string"), F.lit("/"), F.col("vec_id").cast("string"), F.lit(".png"))

@@ -7,7 +7,7 @@ row exactly once without a driver callback.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -62,15 +62,46 @@ def ingest_bronze(
 ) -> None:
     """Append the new files of a feed to the bronze files at ``target``. A re-run adds no row twice."""
     feed = FEEDS[name]
-    if schema is not None:
-        feed = Feed(feed.name, schema, feed.binary, feed.pattern, feed.to_silver)
+    feed = replace(feed, schema=schema or feed.schema)
     stream = open_feed(spark, feed, source, state)
     sinks.append_files(stream, target, f"{state}/{name}/bronze", timeout)
 
 
-def stream_files(spark: SparkSession, path: str) -> DataFrame:
+def ingest_growing(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    state: str,
+    pattern: str = "*.csv",
+    files_per_batch: int = 100,
+    timeout: float | None = None,
+) -> None:
+    """Append the new CSV files of a feed whose header may gain, lose or move columns between files.
+
+    The stream carries file names only; each micro-batch reads its files by their own headers and writes them
+    under its batch id, so a replay replaces its own rows. Read the result with ``sinks.read_merged``.
+    """
+    names = files.stream_binary(spark, source, pattern, files_per_batch).select("path")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = files.read_by_header(batch.sparkSession, [r["path"] for r in batch.collect()])
+        if rows is not None:
+            sinks.write_batch(rows, batch_id, target)
+
+    sinks.each_batch(names, write, f"{state}/growing", timeout)
+
+
+def quarantine(
+    spark: SparkSession, name: str, bronze: str, target: str, state: str, timeout: float | None = None
+) -> None:
+    """Append the new bronze rows that did not fit their schema, whole, to a table of their own."""
+    sinks.append_files(files.rescued_rows(stream_files(spark, bronze)), target, f"{state}/{name}/quarantine", timeout)
+
+
+def stream_files(spark: SparkSession, path: str, files_per_batch: int = files.FILES_PER_BATCH) -> DataFrame:
     """Stream over the parquet files of an earlier job, with the schema they have."""
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    reader = files.stream_options(spark.readStream, files_per_batch)
+    return reader.schema(spark.read.parquet(path).schema).parquet(path)
 
 
 def refresh_silver(
