@@ -1,8 +1,12 @@
 """Weekly demand model: feature frame, training, scoring, back-testing, parameter search.
 
 The training frame is written once to the shared folder, because an iterative fit reads it many times
-and a lost executor must not recompute the joins and windows behind it. Label dictionaries, model
-coefficients, and one score per trial and window are all that reaches the driver.
+and a lost executor must not recompute the joins and windows behind it. Model coefficients and one score per
+trial and window are all that reaches the driver.
+
+A category column is one number whatever its labels are: trees get its ordinal code, linear models the smoothed mean target
+of its training rows. Both come from a dictionary table that is joined in, so neither the model nor the driver
+grows with the labels.
 """
 
 from __future__ import annotations
@@ -10,20 +14,19 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from hemline.operators import conformal, series
+from hemline.operators import conformal, encoding, series
 from hemline.session import written
 
 # The columns of the model.
@@ -50,17 +53,30 @@ MISSING = -1
 TWEEDIE_POWER = 1.3596343351145384
 TREE_PARAMS = {"maxIter": 250, "maxDepth": 11, "stepSize": 0.07, "subsamplingRate": 0.7413694185041535}
 SEED = 7113
+# One row in so many decides when trees stop growing, and the relative gain that goes on.
+HELD_EVERY = 10
+EARLY_STOP_GAIN = 0.001
 N_WINDOWS = 10
+N_TRIALS = 5
 
-# Labels of a category column live in the model and on the driver; more than this is no category.
-MAX_LABELS = 100_000
+# Rows that the mean target of a label is pulled to the overall mean by.
+PRIOR_ROWS = 20
 
 # Search ranges as (low, high, kind).
-TWEEDIE_SPACE = {"variancePower": (1.1, 1.499, "log"), "regParam": (1e-8, 10.0, "log")}
+TWEEDIE_SPACE = {
+    "variancePower": (1.1, 1.499, "log"),
+    "regParam": (1e-8, 10.0, "log"),
+    "maxIter": (10, 50, "int"),
+    "fitIntercept": (0, 1, "flag"),
+}
 TREE_SPACE = {
+    "stepSize": (0.05, 0.1, "log"),
     "maxDepth": (2, 25, "int"),
+    "maxIter": (50, 250, "int"),
     "subsamplingRate": (0.4, 1.0, "float"),
     "minInstancesPerNode": (1, 3, "int"),
+    "minInfoGain": (1e-8, 10.0, "log"),
+    "maxBins": (32, 256, "int"),
 }
 
 
@@ -74,7 +90,7 @@ def numeric_columns(trends: list[str]) -> list[str]:
 
 
 def model_frame(
-    features: DataFrame, trends: list[str], steps: str = "repeated", horizon: int = 1
+    features: DataFrame, trends: list[str], horizon: int = 1, key: series.Key = series.SERIES, *, steps: str
 ) -> DataFrame:
     """Lagged signals, clipped target, warm-up row dropped, ``y0`` as the label.
 
@@ -83,10 +99,13 @@ def model_frame(
     """
     signals = [*CUSTOMER, *trends]
     frame = series.clip_target(features)
-    added = {**series.exog_lag_columns(frame, signals, LAGS, fill=MISSING), **series.target_lag_columns()}
-    lagged = series.shifted(frame, added, [*signals, "y"], steps=steps)
+    added = {
+        **series.exog_lag_columns(frame, signals, LAGS, key, fill=MISSING),
+        **series.target_lag_columns(key=key),
+    }
+    lagged = series.shifted(frame, added, [*signals, "y"], key, steps=steps)
     targets = series.drop_warm_up(lagged, keep_lag=False)
-    return series.horizon_target(targets, "y", horizon, steps=steps)
+    return series.horizon_target(targets, "y", horizon, key, steps=steps)
 
 
 def _filled(df: DataFrame, numeric: list[str]) -> DataFrame:
@@ -96,72 +115,63 @@ def _filled(df: DataFrame, numeric: list[str]) -> DataFrame:
 
 @dataclass
 class Preparation:
-    """Fitted encoding of the categorical and numeric inputs into one vector."""
+    """Fitted encoding of the categorical and numeric inputs into one vector.
+
+    ``codes`` is the dictionary (column, value, code, mean_target), written; ``code`` the one of its numbers that the
+    model gets.
+    """
 
     numeric: list[str]
+    codes: DataFrame
+    code: str
     model: PipelineModel
     embed: str | None = None
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def encoded(self, df: DataFrame) -> DataFrame:
         frame = _filled(df, self.numeric)
         if self.embed:
             frame = frame.withColumn("_embed", array_to_vector(F.col(self.embed).cast("array<double>")))
-        helper = [c for c in self.model.stages[-1].getInputCols()]
-        out = self.model.transform(frame)
-        drop = [f"x_{c}" for c in self.numeric] + ["_embed", "_numbers", *helper]
-        return out.drop(*drop, *[f"{c}_code" for c in CATEGORICAL])
-
+        return encoding.encode(frame, self.codes, CATEGORICAL, "_number", self.code)
 
-def check_labels(df: DataFrame, columns: list[str] | None = None, limit: int = MAX_LABELS) -> None:
-    """Refuse a column whose labels would not fit a model; ``encoding`` codes any number of values."""
-    names = columns or CATEGORICAL
-    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in names]).first()
-    wide = [c for c in names if row[c] > limit]
-    if wide:
-        raise ValueError(f"too many distinct values for the model in {wide}; use encoding.category_codes")
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Adds ``features``. A label that the training rows lack is an error."""
+        helper = [f"x_{c}" for c in self.numeric] + [f"{c}_number" for c in CATEGORICAL]
+        return self.model.transform(self.encoded(df)).drop(*helper, "_embed", "_numbers", "_scaled")
+
+
+def label_numbers(train: DataFrame, target: str = "y0") -> DataFrame:
+    """(column, value, code, mean_target) of all category columns: ordinal code and smoothed mean of the target."""
+    codes = encoding.category_codes(train, CATEGORICAL)
+    long = train.select(*[F.col(c).cast("string").alias(c) for c in CATEGORICAL], F.col(target).cast("double").alias("_y"))
+    sums = (
+        long.unpivot(["_y"], CATEGORICAL, "column", "value")
+        .groupBy("column", "value")
+        .agg(F.count("_y").alias("n"), F.coalesce(F.sum("_y"), F.lit(0.0)).alias("total"))
+    )
+    overall = train.agg(F.avg(F.col(target).cast("double"))).first()[0] or 0.0
+    mean = (F.col("total") + PRIOR_ROWS * F.lit(overall)) / (F.col("n") + PRIOR_ROWS)
+    return codes.join(sums, ["column", "value"]).select("column", "value", "code", mean.alias("mean_target"))
 
 
 def fit_preparation(
-    train: DataFrame, numeric: list[str], one_hot: bool = True, embed: str | None = None
+    train: DataFrame, numeric: list[str], linear: bool = True, embed: str | None = None
 ) -> Preparation:
-    """Ordinal codes in sorted order, an unknown category is an error.
-
-    Linear models get the codes one-hot and the numbers standardised; trees get them as they are.
-    """
-    check_labels(train)
-    frame = _filled(train, numeric)
-    codes = {c: f"{c}_code" for c in CATEGORICAL}
-    indexer = StringIndexer(
-        inputCols=CATEGORICAL,
-        outputCols=list(codes.values()),
-        stringOrderType="alphabetAsc",
-        handleInvalid="error",
-    ).fit(frame)
-    stages = [
-        indexer,
-        VectorAssembler(inputCols=[f"x_{c}" for c in numeric], outputCol="_numbers"),
-    ]
-    inputs = [*codes.values(), "_numbers"]
-    if one_hot:
-        # A column with a single category carries no information and has no one-hot form.
-        several = [c for c, labels in zip(CATEGORICAL, indexer.labelsArray) if len(labels) > 1]
-        hot = [f"{c}_hot" for c in several]
-        if several:
-            stages.append(OneHotEncoder(inputCols=[codes[c] for c in several], outputCols=hot))
-        stages.append(
-            StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True, withStd=True)
-        )
-        inputs = [*hot, "_scaled"]
-    if embed:
-        frame = frame.withColumn("_embed", array_to_vector(F.col(embed).cast("array<double>")))
-        inputs.append("_embed")
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
-    return Preparation(numeric, Pipeline(stages=stages).fit(frame), embed)
+    """Linear models get mean targets and standardised numbers; trees get ordinal codes and numbers as they are."""
+    code = "mean_target" if linear else "code"
+    start = Preparation(numeric, written(label_numbers(train), "labels"), code, PipelineModel([]), embed)
+    numbers = [*[f"x_{c}" for c in numeric], *[f"{c}_number" for c in CATEGORICAL]]
+    stages = [VectorAssembler(inputCols=numbers, outputCol="_numbers")]
+    inputs = ["_numbers"]
+    if linear:
+        stages.append(StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True, withStd=True))
+        inputs = ["_scaled"]
+    stages.append(VectorAssembler(inputCols=[*inputs, *(["_embed"] if embed else [])], outputCol="features"))
+    return replace(start, model=Pipeline(stages=stages).fit(start.encoded(train)))
 
 
 def tweedie_regressor(params: dict | None = None) -> GeneralizedLinearRegression:
     """Tweedie loss with a log link."""
-    settings = {"variancePower": TWEEDIE_POWER, "regParam": 1e-3, "maxIter": 25, "tol": 1e-4, **(params or {})}
+    settings = {"variancePower": TWEEDIE_POWER, "regParam": 1e-3, "maxIter": 25, **(params or {})}
     return GeneralizedLinearRegression(
         family="tweedie",
         linkPower=0.0,
@@ -173,13 +183,23 @@ def tweedie_regressor(params: dict | None = None) -> GeneralizedLinearRegression
 
 
 def tree_regressor(params: dict | None = None) -> GBTRegressor:
-    """Boosted trees with squared loss."""
-    settings = {**TREE_PARAMS, "seed": SEED, **(params or {})}
+    """Boosted trees with squared loss. Growing stops early where the held rows (``_held``) gain no more."""
+    settings = {**TREE_PARAMS, "seed": SEED, "maxBins": 64, **(params or {})}
     return GBTRegressor(
-        featuresCol="features", labelCol="y0", predictionCol="forecast", maxBins=64, **settings
+        featuresCol="features",
+        labelCol="y0",
+        predictionCol="forecast",
+        validationIndicatorCol="_held",
+        validationTol=EARLY_STOP_GAIN,
+        **settings,
     )
 
 
+def with_held_rows(rows: DataFrame) -> DataFrame:
+    """Marks one row in ``HELD_EVERY`` by a hash of its vector, for the early stop of trees."""
+    return rows.withColumn("_held", F.pmod(F.xxhash64("features", "y0"), F.lit(HELD_EVERY)) == 0)
+
+
 @dataclass
 class DemandModel:
     preparation: Preparation
@@ -191,12 +211,16 @@ class DemandModel:
         return self.regressor.transform(self.preparation.transform(frame)).drop("features")
 
     def save(self, path: str) -> None:
-        PipelineModel(stages=[self.preparation.model, self.regressor]).write().overwrite().save(path)
+        prep = self.preparation
+        PipelineModel(stages=[prep.model, self.regressor]).write().overwrite().save(f"{path}/model")
+        prep.codes.withColumn("used", F.lit(prep.code)).write.mode("overwrite").parquet(f"{path}/labels")
 
 
-def load_model(path: str, numeric: list[str], embed: str | None = None) -> DemandModel:
-    preparation, regressor = PipelineModel.load(path).stages
-    return DemandModel(Preparation(numeric, preparation, embed), regressor)
+def load_model(spark: SparkSession, path: str, numeric: list[str], embed: str | None = None) -> DemandModel:
+    prepared, regressor = PipelineModel.load(f"{path}/model").stages
+    labels = spark.read.parquet(f"{path}/labels")
+    used = labels.first()["used"]
+    return DemandModel(Preparation(numeric, labels.drop("used"), used, prepared, embed), regressor)
 
 
 def train(
@@ -207,16 +231,13 @@ def train(
     embed: str | None = None,
     preparation: Preparation | None = None,
 ) -> DemandModel:
-    """Fit on ``frame`` (see :func:`model_frame`)."""
+    """Fit on ``frame`` (see :func:`model_frame`). The vectors are written once; the fit reads nothing else."""
     linear = kind == "tweedie"
-    prep = preparation or fit_preparation(frame, numeric, linear, embed)
-    prepared = prep.transform(frame.filter(F.col("y0").isNotNull())).select("features", "y0")
+    known = frame.filter(F.col("y0").isNotNull())
+    prep = preparation or fit_preparation(known, numeric, linear, embed)
+    rows = written(with_held_rows(prep.transform(known).select("features", "y0")), "training")
     regressor = (tweedie_regressor if linear else tree_regressor)(params)
-    rows = written(prepared, "training").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return DemandModel(prep, regressor.fit(rows), dict(params or {}))
-    finally:
-        rows.unpersist()
+    return DemandModel(prep, regressor.fit(rows), dict(params or {}))
 
 
 def register_predict(spark: SparkSession, model: DemandModel, name: str = "predict") -> Callable:
@@ -254,10 +275,11 @@ def split_by_date(frame: DataFrame, cut: str, date: str = "ds") -> tuple[DataFra
 def naive_rolling_rmse(
     scored: DataFrame,
     n_windows: int = N_WINDOWS,
-    key: str | list[str] = "unique_id",
+    key: series.Key = series.SERIES,
     y: str = "y",
     forecast: str = "forecast",
-    steps: str = "repeated",
+    *,
+    steps: str,
 ) -> DataFrame:
     """RMSE per window of a forecast that uses past rows only: no refit, so one pass for all windows."""
     error = F.col(y) - F.col(forecast)
@@ -269,42 +291,76 @@ def naive_rolling_rmse(
     )
 
 
+def root_mean_square(y: str, forecast: str) -> Column:
+    error = F.col(y) - F.col(forecast)
+    return F.sqrt(F.avg(error * error))
+
+
 def rolling_origin(
     frame: DataFrame,
     numeric: list[str],
     trials: list[dict],
     n_windows: int = N_WINDOWS,
     kind: str = "tweedie",
-    steps: str = "repeated",
+    metric: Callable[[str, str], Column] = root_mean_square,
+    key: series.Key = series.SERIES,
+    patience: int | None = None,
+    *,
+    steps: str,
 ) -> DataFrame:
     """Back-test: for window w, train on all but the last w rows of every series, test on the next row.
 
-    Returns (trial, params, window, n, rmse). The encoding is fitted once and the prepared vectors are
-    written once; a fit reads only vectors and labels.
+    Returns (trial, params, window, n, score); ``metric`` is an aggregate of the names of target and forecast. Scaling
+    and label numbers are fitted on the rows before all test windows. With ``patience`` a trial stops when its mean
+    score has been worse than the best trial's for so many windows in a row. The prepared vectors are written once;
+    a fit reads only vectors and labels.
     """
     spark = frame.sparkSession
-    ranked = written(series.steps_from_end(frame, steps=steps), "ranked")
-    prep = fit_preparation(ranked, numeric, kind == "tweedie")
-    known = ranked.filter(F.col("y0").isNotNull())
-    data = written(prep.transform(known).select("features", "y0", "back"), "folds")
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    ranked = written(series.steps_from_end(frame.filter(F.col("y0").isNotNull()), key, steps=steps), "ranked")
+    before = ranked.filter(F.col("back") > n_windows)
+    prep = fit_preparation(before if before.head(1) else ranked, numeric, kind == "tweedie")
+    safe = replace(prep, codes=_with_unseen(prep.codes, ranked))
+    data = written(with_held_rows(safe.transform(ranked).select("features", "y0", "back")), "folds")
+    sizes = {r["back"]: r["n"] for r in data.groupBy("back").agg(F.count("*").alias("n")).filter(
+        F.col("back") <= n_windows + 1
+    ).collect()}
     make = tweedie_regressor if kind == "tweedie" else tree_regressor
-    rows = []
+    rows, best = [], float("inf")
     for i, params in enumerate(trials):
-        text = {k: str(v) for k, v in params.items()}
+        text, scores, worse = {k: str(v) for k, v in params.items()}, [], 0
         for w in range(1, n_windows + 1):
-            past, test = data.filter(F.col("back") > w), data.filter(F.col("back") == w)
-            if past.isEmpty() or test.isEmpty():
+            if not sizes.get(w) or not sizes.get(w + 1):
                 continue
-            error = F.col("y0") - F.col("forecast")
+            past, test = data.filter(F.col("back") > w), data.filter(F.col("back") == w)
             score = make(params).fit(past).transform(test).agg(
-                F.count(error).alias("n"), F.sqrt(F.avg(error * error)).alias("rmse")
+                F.count(F.col("y0") - F.col("forecast")).alias("n"), metric("y0", "forecast").alias("score")
             ).first()
-            rows.append((i, text, w, score["n"], score["rmse"]))
-    data.unpersist()
+            rows.append((i, text, w, score["n"], score["score"]))
+            scores.append(score["score"])
+            worse = worse + 1 if sum(scores) / len(scores) > best else 0
+            if patience is not None and worse >= patience:
+                break
+        else:
+            if scores:
+                best = min(best, sum(scores) / len(scores))
     return spark.createDataFrame(
-        rows, "trial int, params map<string,string>, window int, n bigint, rmse double"
+        rows, "trial int, params map<string,string>, window int, n bigint, score double"
+    )
+
+
+def _with_unseen(codes: DataFrame, frame: DataFrame) -> DataFrame:
+    """The dictionary with the labels that only the test windows have: they get code -1 and the mean of all labels."""
+    mean = codes.groupBy("column").agg(F.avg("mean_target").alias("mean_target"))
+    values = (
+        frame.select(*[F.col(c).cast("string").alias(c) for c in CATEGORICAL])
+        .unpivot([], CATEGORICAL, "column", "value")
+        .filter(F.col("value").isNotNull())
+        .distinct()
+        .join(codes, ["column", "value"], "left_anti")
+        .join(mean, "column")
+        .select("column", "value", F.lit(-1).alias("code"), "mean_target")
     )
+    return written(codes.unionByName(values), "labels")
 
 
 def sample_params(space: dict, n_trials: int, seed: int = SEED) -> list[dict]:
@@ -312,8 +368,9 @@ def sample_params(space: dict, n_trials: int, seed: int = SEED) -> list[dict]:
     rng = random.Random(seed)
 
     def draw(low, high, kind):
-        if kind == "int":
-            return rng.randint(low, high)
+        if kind in ("int", "flag"):
+            drawn = rng.randint(low, high)
+            return bool(drawn) if kind == "flag" else drawn
         if kind == "log":
             return math.exp(rng.uniform(math.log(low), math.log(high)))
         return rng.uniform(low, high)
@@ -324,20 +381,26 @@ def sample_params(space: dict, n_trials: int, seed: int = SEED) -> list[dict]:
 def search(
     frame: DataFrame,
     numeric: list[str],
-    n_trials: int = 5,
+    n_trials: int = N_TRIALS,
     n_windows: int = N_WINDOWS,
     kind: str = "tweedie",
     space: dict | None = None,
+    metric: Callable[[str, str], Column] = root_mean_square,
+    key: series.Key = series.SERIES,
+    patience: int | None = None,
+    *,
+    steps: str,
 ) -> DataFrame:
-    """Mean RMSE per trial, best first."""
+    """Mean score per trial, best first; a trial that was stopped early has fewer windows."""
     space = space or (TWEEDIE_SPACE if kind == "tweedie" else TREE_SPACE)
-    scores = rolling_origin(frame, numeric, sample_params(space, n_trials), n_windows, kind)
+    trials = sample_params(space, n_trials)
+    scores = rolling_origin(frame, numeric, trials, n_windows, kind, metric, key, patience, steps=steps)
     return (
         scores.groupBy("trial")
         .agg(
             F.first("params").alias("params"),
             F.count("*").alias("n_windows"),
-            F.avg("rmse").alias("score"),
+            F.avg("score").alias("score"),
         )
         .orderBy("score", "trial")
     )

@@ -1,12 +1,10 @@
 """Exact ranks, running counts and quantiles without a global sort.
 
-Values are first counted per group with a map-side aggregate and the counts written once, so the source
-is read a single time. When there are more counted values than one task should sort, cut points over
-them split the value range into chunks; running counts are built inside each (group, chunk) and shifted
-by the totals of the chunks before it. Cut points are taken over all groups together, so one cell holds
-about 1/n_chunks of the counted values whatever group they belong to: a single group with all the rows is
-spread as well as many small ones. The cut points are the only data the driver sees; they steer the
-balance of the work and never the result.
+Values are first counted per group with a map-side aggregate. The counted rows are dealt to partitions by
+ranges of (group, value) and written once with the number of their partition; the ranges are sampled, so
+every later step reads the written numbers. Running counts are built inside each (group, partition) and shifted by
+the totals of the partitions before it. A group with all the rows is spread over as many partitions as many
+small ones are, and the number of partitions follows Spark's setting and the data, with no bound of its own.
 """
 
 from __future__ import annotations
@@ -19,79 +17,51 @@ from pyspark.sql import functions as F
 from hemline.operators.joins import null_safe_join
 from hemline.session import written
 
-ROWS_PER_CHUNK = 500_000
-MAX_CHUNKS = 256
-
-
-def value_cuts(counted: DataFrame, value: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> list[float]:
-    """Values that split ``counted`` into chunks of about ``rows_per_chunk`` rows."""
-    n_chunks = min(MAX_CHUNKS, -(-counted.count() // rows_per_chunk))
-    if n_chunks <= 1:
-        return []
-    shares = [i / n_chunks for i in range(1, n_chunks)]
-    row = counted.agg(
-        F.percentile_approx(F.col(value).cast("double"), shares, 16 * n_chunks).alias("cuts")
-    ).first()
-    return sorted(set(row["cuts"] or []))
-
-
-def chunk_of(value: Column, cuts: list[float], first: int = 0) -> Column:
-    """Number of the chunk a value falls in: a binary search written as nested conditions."""
-    if not cuts:
-        return F.lit(first)
-    mid = len(cuts) // 2
-    return F.when(value > cuts[mid], chunk_of(value, cuts[mid + 1 :], first + mid + 1)).otherwise(
-        chunk_of(value, cuts[:mid], first)
-    )
+PART = "_part"
+
+
+def ranged(df: DataFrame, order: list[str], parts: int | None = None) -> DataFrame:
+    """``df`` with the number of its range of ``order`` in ``_part``, written.
+
+    ``parts`` is the number of ranges; without it Spark's shuffle setting and adaptive execution decide.
+    """
+    dealt = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
+    return written(dealt.withColumn(PART, F.spark_partition_id()), "ranged")
 
 
 def running_counts(
-    counted: DataFrame,
-    by: list[str],
-    value: str,
-    weights: list[str],
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    counted: DataFrame, by: list[str], value: str, weights: list[str], parts: int | None = None
 ) -> DataFrame:
     """Adds ``cum_{w}`` (up to and including the row) and ``total_{w}`` for every weight, and
     ``next_value``, the next larger value of the group.
 
     ``counted`` has one row per group and value, without NULL values.
     """
-    counted = written(counted, "counted")
-    cuts = value_cuts(counted, value, rows_per_chunk)
-    group = Window.partitionBy(*by)
-    if not cuts:
-        ordered = group.orderBy(value)
-        return counted.withColumns(
-            {
-                **{f"cum_{w}": F.sum(w).over(ordered) for w in weights},
-                **{f"total_{w}": F.sum(w).over(group) for w in weights},
-                "next_value": F.lead(value).over(ordered),
-            }
-        )
-    chunked = counted.withColumn("_chunk", chunk_of(F.col(value).cast("double"), cuts))
-    per_chunk = chunked.groupBy(*by, "_chunk").agg(
+    dealt = ranged(counted, [*by, value], parts)
+    per_part = dealt.groupBy(*by, PART).agg(
         *[F.sum(w).alias(f"_sum_{w}") for w in weights], F.min(value).alias("_first")
     )
-    in_order = group.orderBy("_chunk")
+    # One row per group and partition it touches.
+    group = Window.partitionBy(*by)
+    in_order = group.orderBy(PART)
     earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_chunk.select(
+    offsets = per_part.select(
         *by,
-        "_chunk",
+        PART,
         *[F.coalesce(F.sum(f"_sum_{w}").over(earlier), F.lit(0)).alias(f"_before_{w}") for w in weights],
         *[F.sum(f"_sum_{w}").over(group).alias(f"total_{w}") for w in weights],
         F.lead("_first").over(in_order).alias("_next_first"),
     )
-    cell = Window.partitionBy(*by, "_chunk").orderBy(value)
+    cell = Window.partitionBy(*by, PART).orderBy(value)
     return (
-        null_safe_join(chunked, offsets, [*by, "_chunk"], "inner")
+        null_safe_join(dealt, offsets, [*by, PART], "inner")
         .withColumns(
             {
                 **{f"cum_{w}": F.col(f"_before_{w}") + F.sum(w).over(cell) for w in weights},
                 "next_value": F.coalesce(F.lead(value).over(cell), F.col("_next_first")),
             }
         )
-        .drop("_chunk", "_next_first", *[f"_before_{w}" for w in weights])
+        .drop(PART, "_next_first", *[f"_before_{w}" for w in weights])
     )
 
 
@@ -100,7 +70,7 @@ def order_statistics(
     by: list[str],
     value: str,
     ranks: dict[str, Callable[[Column], Column]],
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    parts: int | None = None,
 ) -> DataFrame:
     """The k-th smallest value per group, for several k at once.
 
@@ -110,7 +80,7 @@ def order_statistics(
     counted = (
         df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
     )
-    ranked = running_counts(counted, by, value, ["_n"], rows_per_chunk)
+    ranked = running_counts(counted, by, value, ["_n"], parts)
     total, upto = F.col("total__n"), F.col("cum__n")
     picked = [
         F.max(F.when((upto - F.col("_n") < rank(total)) & (rank(total) <= upto), F.col(value))).alias(name)

@@ -1,10 +1,13 @@
 """Lags and targets per series.
 
+A series is named by columns, NULL being a value like any other; the text id is output only, because it is NULL
+as soon as one part is, and unlike parts can run into the same text.
+
 Lags are positional: a missing week shifts them. ``steps="unique"`` is for panels that hold one row per
 series and date, as anything built by grouping on them does; a window partition is then bounded by the
-calendar. ``steps="repeated"``, the default, takes any frame: the shifted columns are reduced to one row
-per series and date with a map-side aggregate, shifted, and joined back, so every row stays and copies
-of a hot series never meet in one window.
+calendar. For any other frame ``steps`` names how the rows of one series and date become one value
+(``"sum"``, ``"max"``, ``"min"`` or ``"avg"``): the shifted columns are reduced with a map-side aggregate, shifted,
+and joined back, so every row stays and copies of a hot series never meet in one window.
 """
 
 from __future__ import annotations
@@ -14,7 +17,10 @@ from pyspark.sql import functions as F
 
 from hemline.operators.joins import null_safe_join
 
-SERIES, STEP = "unique_id", "ds"
+# The columns of the feature table that name a series, and its date.
+SERIES = ["external_code", "retail", "release_year", "release_month", "release_day"]
+STEP = "ds"
+REDUCTIONS = {"sum": F.sum, "max": F.max, "min": F.min, "avg": F.avg}
 Key = str | list[str]
 
 
@@ -36,22 +42,23 @@ def shifted(
     sources: list[str],
     key: Key = SERIES,
     order: str = STEP,
-    steps: str = "repeated",
+    *,
+    steps: str,
 ) -> DataFrame:
     """Adds window columns that are functions of ``sources`` along a series, in one exchange and sort."""
     if steps == "unique":
         return df.withColumns(added)
-    if steps != "repeated":
-        raise ValueError(f"steps must be 'unique' or 'repeated', not {steps!r}")
+    if steps not in REDUCTIONS:
+        raise ValueError(f"steps must be 'unique' or one of {sorted(REDUCTIONS)}, not {steps!r}")
     step = [*_keys(key), order]
-    highest = [F.max(c).alias(c) for c in sources]
-    per_step = df.groupBy(*step).agg(*highest) if highest else df.select(*step).distinct()
+    reduced = [REDUCTIONS[steps](c).alias(c) for c in sources]
+    per_step = df.groupBy(*step).agg(*reduced) if reduced else df.select(*step).distinct()
     return with_lagged(df, per_step.select(*step, *[c.alias(n) for n, c in added.items()]), step)
 
 
 def with_lagged(df: DataFrame, lagged: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Base rows joined with lag columns computed elsewhere."""
-    return null_safe_join(df, lagged, keys or [SERIES, STEP])
+    return null_safe_join(df, lagged, keys or [*SERIES, STEP])
 
 
 def exog_lag_columns(
@@ -82,10 +89,11 @@ def exog_lags(
     key: Key = SERIES,
     order: str = STEP,
     fill: float | None = -1,
-    steps: str = "repeated",
+    *,
+    steps: str,
 ) -> DataFrame:
     added = exog_lag_columns(df, columns, lags, key, order, fill)
-    return shifted(df, added, columns, key, order, steps)
+    return shifted(df, added, columns, key, order, steps=steps)
 
 
 def drop_warm_up(df: DataFrame, lag: int = 1, keep_lag: bool = True) -> DataFrame:
@@ -104,11 +112,12 @@ def target_lag(
     key: Key = SERIES,
     order: str = STEP,
     keep_lag: bool = True,
-    steps: str = "repeated",
+    *,
+    steps: str,
 ) -> DataFrame:
     """Adds ``lag{k}`` of the target and drops the warm-up rows."""
     added = target_lag_columns(target, lag, key, order)
-    return drop_warm_up(shifted(df, added, [target], key, order, steps), lag, keep_lag)
+    return drop_warm_up(shifted(df, added, [target], key, order, steps=steps), lag, keep_lag)
 
 
 def horizon_target(
@@ -117,7 +126,8 @@ def horizon_target(
     horizon: int = 1,
     key: Key = SERIES,
     order: str = STEP,
-    steps: str = "repeated",
+    *,
+    steps: str,
 ) -> DataFrame:
     """Adds ``y0`` … ``y{horizon-1}``: the target 0 … horizon-1 steps ahead."""
     out = df.withColumn(f"{target}0", F.col(target))
@@ -125,15 +135,15 @@ def horizon_target(
         return out
     w = Window.partitionBy(*_keys(key)).orderBy(order)
     ahead = {f"{target}{h}": F.lead(target, h).over(w) for h in range(1, horizon)}
-    return shifted(out, ahead, [target], key, order, steps)
+    return shifted(out, ahead, [target], key, order, steps=steps)
 
 
 def steps_from_end(
-    df: DataFrame, key: Key = SERIES, order: str = STEP, name: str = "back", steps: str = "repeated"
+    df: DataFrame, key: Key = SERIES, order: str = STEP, name: str = "back", *, steps: str
 ) -> DataFrame:
     """1 for the last step of a series, 2 for the one before it, and so on."""
     w = Window.partitionBy(*_keys(key)).orderBy(F.desc(order))
-    return shifted(df, {name: F.row_number().over(w)}, [], key, order, steps)
+    return shifted(df, {name: F.row_number().over(w)}, [], key, order, steps=steps)
 
 
 def clip_target(df: DataFrame, target: str = "y") -> DataFrame:

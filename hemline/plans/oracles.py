@@ -400,7 +400,7 @@ oracle("exog_lags", f"""SELECT external_code, retail, ds, y, {_LAGGED} FROM (
   WINDOW w AS (PARTITION BY external_code, retail ORDER BY ds)""")
 oracle("lag_join", """SELECT s.brand, s.retail, s.day AS ds, s.qty, s.cents, g.qty_lag1, g.qty_lag2 FROM sold s LEFT JOIN (
   SELECT brand, retail, day, coalesce(lag(m, 1) OVER w, -1) AS qty_lag1, coalesce(lag(m, 2) OVER w, -1) AS qty_lag2
-  FROM (SELECT brand, retail, day, max(qty) AS m FROM sold GROUP BY ALL)
+  FROM (SELECT brand, retail, day, CAST(sum(qty) AS BIGINT) AS m FROM sold GROUP BY ALL)
   WINDOW w AS (PARTITION BY brand, retail ORDER BY day)) g USING (brand, retail, day)""")
 oracle("target_lag", """SELECT * FROM (SELECT external_code, retail, ds, y,
   lag(y) OVER (PARTITION BY external_code, retail ORDER BY ds) AS lag1 FROM panel) WHERE lag1 IS NOT NULL""")
@@ -493,9 +493,10 @@ oracle("duplicate_columns", """SELECT 1 + CAST(bool_and(retail = current_week_of
 oracle("numeric_health", f"""SELECT "column",
   {_r6('out_of_range_share', 'mean_cur', 'mean_ref', 'std_ref', 'mean_sigmas')} FROM health""")
 oracle("out_of_list", 'SELECT "column", round(out_of_list_share, 6) AS out_of_list_share FROM unlisted')
-oracle("stability_suite", f"""SELECT "check", CAST(NULL AS VARCHAR) AS "column", {_r6('value', 'threshold')}, passed
-  FROM stability""")
-oracle("no_target_suite", f"""SELECT "check", "column", {_r6('value', 'threshold')}, passed FROM no_target""")
+oracle("stability_suite", f"""SELECT "check", CAST(NULL AS VARCHAR) AS "column", {_r6('value', 'threshold')},
+  coalesce(passed, false) AS passed FROM stability""")
+oracle("no_target_suite", f"""SELECT "check", "column", {_r6('value', 'threshold')},
+  coalesce(passed, false) AS passed FROM no_target""")
 
 # ---- images and streams
 oracle("gold_image_features", f"""SELECT split_part({_IMAGE_TAIL}, '/', 1) AS category,

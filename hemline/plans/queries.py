@@ -472,7 +472,7 @@ def lag_join(spark: SparkSession, d: str) -> DataFrame:
     sold = views.lines(spark, d, inflow=False).select(
         "brand", "retail", F.col("day").alias("ds"), "qty", "cents"
     )
-    return series.exog_lags(sold, ["qty"], key=["brand", "retail"])
+    return series.exog_lags(sold, ["qty"], key=["brand", "retail"], steps="sum")
 
 
 @query
@@ -813,16 +813,15 @@ def tweedie_forecast(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def tree_forecast(spark: SparkSession, d: str) -> DataFrame:
-    """Boosted trees, with few small trees to keep the check short."""
-    out = _trained(spark, d, "tree", {"maxIter": 10, "maxDepth": 4})
+    out = _trained(spark, d, "tree")
     return out.select("unique_id", "ds", "y0", "forecast", "lo_ci", "hi_ci")
 
 
 @query
 def parameter_search(spark: SparkSession, d: str) -> DataFrame:
-    """Two trials over two back-test windows."""
+    """Five trials over ten back-test windows."""
     frame = forecast.model_frame(features(spark, d), TRENDS, steps="unique")
-    found = forecast.search(frame, forecast.numeric_columns(TRENDS), n_trials=2, n_windows=2)
+    found = forecast.search(frame, forecast.numeric_columns(TRENDS), steps="unique")
     return found.select("trial", "n_windows", "score")
 
 

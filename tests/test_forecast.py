@@ -28,7 +28,7 @@ def frame(spark):
     table = spark.createDataFrame(rows, names).withColumns(
         {"y": F.col("y").cast("int"), "embed": F.col("embed").cast("array<float>")}
     )
-    return forecast.model_frame(table, TRENDS).cache()
+    return forecast.model_frame(table, TRENDS, key="unique_id", steps="unique").cache()
 
 
 def test_model_frame_is_leak_safe(frame):
@@ -40,8 +40,8 @@ def test_model_frame_is_leak_safe(frame):
 
 def test_unique_and_repeated_steps_agree(spark, frame):
     source = frame.drop("y0", *forecast.lag_names([*forecast.CUSTOMER, *TRENDS]))
-    a = forecast.model_frame(source, TRENDS, steps="unique")
-    b = forecast.model_frame(source, TRENDS, steps="repeated")
+    a = forecast.model_frame(source, TRENDS, key="unique_id", steps="unique")
+    b = forecast.model_frame(source, TRENDS, key="unique_id", steps="max")
     assert a.exceptAll(b.select(a.columns)).count() == 0 and a.count() == b.count()
 
 
@@ -50,7 +50,7 @@ def test_tweedie_beats_the_lag_forecast(frame):
     model = forecast.train(past, NUMERIC)
     scored = model.score(late)
     ours = metrics.regression_metrics(scored, y="y0").first().rmse
-    naive = series.target_lag(frame.withColumn("y", F.col("y0").cast("double")), "y0").filter("ds >= '2019-02-18'")
+    naive = series.target_lag(frame.withColumn("y", F.col("y0").cast("double")), "y0", key="unique_id", steps="unique").filter("ds >= '2019-02-18'")
     theirs = metrics.regression_metrics(naive.withColumn("forecast", F.col("lag1").cast("double")), y="y0").first().rmse
     assert ours < theirs
     assert scored.filter("forecast < 0").count() == 0
@@ -80,7 +80,7 @@ def test_unknown_category_is_an_error(frame):
 def test_saved_model_scores_the_same(spark, frame, tmp_path):
     model = forecast.train(frame, NUMERIC)
     model.save(str(tmp_path / "m"))
-    again = forecast.load_model(str(tmp_path / "m"), NUMERIC)
+    again = forecast.load_model(spark, str(tmp_path / "m"), NUMERIC)
     total = lambda m: m.score(frame).agg(F.sum("forecast")).first()[0]
     assert total(again) == pytest.approx(total(model))
 
@@ -103,15 +103,15 @@ def test_trees_and_embeddings(frame):
 
 
 def test_rolling_origin_and_search(frame):
-    scores = forecast.rolling_origin(frame, NUMERIC, [{"regParam": 0.01}], n_windows=2).collect()
+    scores = forecast.rolling_origin(frame, NUMERIC, [{"regParam": 0.01}], n_windows=2, key="unique_id", steps="unique").collect()
     assert [(r.trial, r.window, r.n) for r in scores] == [(0, 1, 60), (0, 2, 60)]
-    found = forecast.search(frame, NUMERIC, n_trials=2, n_windows=1).collect()
+    found = forecast.search(frame, NUMERIC, n_trials=2, n_windows=1, key="unique_id", steps="unique").collect()
     assert found[0].score <= found[1].score and found[0].n_windows == 1
 
 
 def test_naive_rolling_rmse(spark):
     rows = [("a", dt.date(2019, 1, 7) + dt.timedelta(7 * i), float(i), 0.0) for i in range(5)]
-    out = forecast.naive_rolling_rmse(spark.createDataFrame(rows, "unique_id string, ds date, y double, forecast double"), 2)
+    out = forecast.naive_rolling_rmse(spark.createDataFrame(rows, "unique_id string, ds date, y double, forecast double"), 2, key="unique_id", steps="unique")
     assert {(r.window, r.rmse) for r in out.collect()} == {(1, 4.0), (2, 3.0)}
 
 
@@ -123,6 +123,7 @@ def test_sampled_parameters_stay_in_range():
             values = [d[name] for d in draws]
             assert all(low <= v <= high or math.isclose(v, low) for v in values)
             assert kind != "int" or all(isinstance(v, int) for v in values)
+            assert kind != "flag" or all(isinstance(v, bool) for v in values)
 
 
 def test_split_by_ids(spark, frame):
@@ -133,7 +134,22 @@ def test_split_by_ids(spark, frame):
     assert past.count() + late.count() == frame.count()
 
 
-def test_label_check(frame):
-    forecast.check_labels(frame)
-    with pytest.raises(ValueError):
-        forecast.check_labels(frame, ["unique_id"], limit=10)
+@pytest.mark.parametrize("n_labels,kind", [(65, "tree"), (4200, "tweedie"), (4200, "tree"), (200_000, "tweedie")])
+def test_any_number_of_labels(spark, frame, n_labels, kind):
+    wide = frame.limit(1).drop("fabric").crossJoin(
+        spark.range(n_labels).select(F.format_string("Fabric#%08d", "id").alias("fabric"), (F.col("id") % 7).alias("extra"))
+    ).withColumn("y0", F.col("y0") + F.col("extra"))
+    model = forecast.train(wide, NUMERIC, kind, {"maxIter": 2, "maxDepth": 2} if kind == "tree" else {"maxIter": 3})
+    assert model.score(wide).filter("forecast IS NOT NULL").count() == n_labels
+
+
+def test_custom_metric_and_early_stop(frame):
+    def largest(y, forecast_column):
+        return F.max(F.abs(F.col(y) - F.col(forecast_column)))
+
+    trials = [{"regParam": 0.01}, {"regParam": 1e6}]
+    scores = forecast.rolling_origin(
+        frame, NUMERIC, trials, 3, metric=largest, key="unique_id", patience=1, steps="unique"
+    ).collect()
+    assert [r.window for r in scores if r.trial == 0] == [1, 2, 3]
+    assert len([r for r in scores if r.trial == 1]) < 3

@@ -22,9 +22,9 @@ def panel(spark):
     return spark.createDataFrame(rows, PANEL)
 
 
-@pytest.mark.parametrize("steps", ["unique", "repeated"])
+@pytest.mark.parametrize("steps", ["unique", "max"])
 def test_exog_lags_are_positional_and_filled(panel, steps):
-    out = series.exog_lags(panel, ["x"], steps=steps)
+    out = series.exog_lags(panel, ["x"], key="unique_id", steps=steps)
     got = {(r.unique_id, r.ds): (r.x_lag1, r.x_lag2) for r in out.collect()}
     assert got[("a", day(3))] == (2.0, 1.0)
     assert got[("a", day(0))] == (-1.0, -1.0)
@@ -35,20 +35,20 @@ def test_exog_lags_are_positional_and_filled(panel, steps):
 
 def test_repeated_steps_keep_all_copies(panel):
     tripled = panel.unionByName(panel).unionByName(panel)
-    out = series.target_lag(series.clip_target(tripled))
+    out = series.target_lag(series.clip_target(tripled), key="unique_id", steps="max")
     got = sorted((r.unique_id, r.ds, r.lag1) for r in out.collect())
     assert got == sorted(3 * [("a", day(1), 0), ("a", day(2), 1), ("a", day(3), 2), ("b", day(3), 5)])
 
 
 def test_target_lag_flag(panel):
-    assert "lag1" not in series.target_lag(panel, keep_lag=False).columns
+    assert "lag1" not in series.target_lag(panel, key="unique_id", keep_lag=False, steps="unique").columns
 
 
-@pytest.mark.parametrize("steps", ["unique", "repeated"])
+@pytest.mark.parametrize("steps", ["unique", "max"])
 def test_horizon_and_lag_are_inverse(panel, steps):
-    ahead = series.horizon_target(panel.filter("unique_id = 'a'"), horizon=2, steps=steps)
+    ahead = series.horizon_target(panel.filter("unique_id = 'a'"), horizon=2, key="unique_id", steps=steps)
     back = series.shifted(
-        ahead, series.target_lag_columns("y1"), ["y1"], steps=steps
+        ahead, series.target_lag_columns("y1", key="unique_id"), ["y1"], "unique_id", steps=steps
     ).filter("lag1 IS NOT NULL")
     assert back.filter("lag1 <> y").count() == 0 and back.count() == 3
 
@@ -59,17 +59,17 @@ def test_clip_target(panel):
 
 
 def test_steps_from_end(panel):
-    out = series.steps_from_end(panel.unionByName(panel))
+    out = series.steps_from_end(panel.unionByName(panel), key="unique_id", steps="max")
     assert {r.back for r in out.filter("unique_id = 'a'").collect()} == {1, 2, 3, 4}
 
 
 def test_bad_steps(panel):
     with pytest.raises(ValueError):
-        series.exog_lags(panel, ["x"], steps="some")
+        series.exog_lags(panel, ["x"], key="unique_id", steps="some")
 
 
 def test_unique_lags_use_one_exchange(panel):
-    plan = series.exog_lags(panel, ["x", "y"], steps="unique")._jdf.queryExecution().executedPlan().toString()
+    plan = series.exog_lags(panel, ["x", "y"], key="unique_id", steps="unique")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Window [") == 1
 
 
@@ -80,11 +80,11 @@ def skewed_values(spark, n=2000):
     return rows, spark.createDataFrame(rows, "g string, v double")
 
 
-@pytest.mark.parametrize("rows_per_chunk", [7, 100, 10**6])
-def test_running_counts_do_not_depend_on_chunks(spark, rows_per_chunk):
+@pytest.mark.parametrize("parts", [1, 5, 40, None])
+def test_running_counts_do_not_depend_on_ranges(spark, parts):
     rows, frame = skewed_values(spark)
     counted = frame.groupBy("g", "v").agg(F.count("*").alias("n"))
-    out = order_stats.running_counts(counted, ["g"], "v", ["n"], rows_per_chunk).collect()
+    out = order_stats.running_counts(counted, ["g"], "v", ["n"], parts).collect()
     for g in {r[0] for r in rows}:
         values = sorted(v for k, v in rows if k == g)
         distinct = sorted(set(values))
@@ -95,11 +95,11 @@ def test_running_counts_do_not_depend_on_chunks(spark, rows_per_chunk):
         assert [r.next_value for r in mine] == [*distinct[1:], None]
 
 
-@pytest.mark.parametrize("rows_per_chunk", [11, 10**6])
-def test_order_statistics_per_group(spark, rows_per_chunk):
+@pytest.mark.parametrize("parts", [9, None])
+def test_order_statistics_per_group(spark, parts):
     rows, frame = skewed_values(spark)
     out = order_stats.order_statistics(
-        frame, ["g"], "v", {"third": lambda n: F.lit(3), "beyond": lambda n: n + 1}, rows_per_chunk
+        frame, ["g"], "v", {"third": lambda n: F.lit(3), "beyond": lambda n: n + 1}, parts
     )
     got = {r.g: (r.n, r.third, r.beyond) for r in out.collect()}
     for g in {r[0] for r in rows}:
@@ -107,11 +107,29 @@ def test_order_statistics_per_group(spark, rows_per_chunk):
         assert got[g] == (len(values), values[2], None)
 
 
-def test_chunk_of_is_a_search(spark):
-    cuts = [1.0, 2.0, 5.0, 9.0]
-    frame = spark.createDataFrame([(v,) for v in [0.0, 1.0, 1.5, 2.0, 5.1, 9.0, 10.0]], "v double")
-    got = [r[0] for r in frame.select(order_stats.chunk_of(F.col("v"), cuts)).collect()]
-    assert got == [0, 0, 1, 1, 3, 3, 4]
+def test_values_with_a_common_prefix_are_spread(spark):
+    frame = spark.range(10_000).select(F.format_string("Customer#%09d", "id").alias("c"))
+    dealt = order_stats.ranged(frame, ["c"], 8)
+    sizes = [r["count"] for r in dealt.groupBy(order_stats.PART).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 4000
+    codes = encoding.category_codes(frame, ["c"], 8).orderBy("value").collect()
+    assert [r.code for r in codes] == list(range(10_000))
+
+
+def test_null_parts_of_a_series_key_keep_series_apart(spark):
+    rows = [(None, s, 2019, 1, 7, day(n), 10 * s + n) for s in (1, 2) for n in range(2)]
+    frame = spark.createDataFrame(
+        rows, "external_code string, retail int, release_year int, release_month int, release_day int, ds date, y int"
+    )
+    for steps in ("unique", "sum"):
+        got = {(r.retail, r.ds): r.lag1 for r in series.target_lag(frame, steps=steps).collect()}
+        assert got == {(1, day(1)): 10, (2, day(1)): 20}
+
+
+def test_reduction_of_repeated_steps_is_the_one_named(spark):
+    frame = spark.createDataFrame([("a", day(0), 2), ("a", day(0), 3), ("a", day(1), 9)], "k string, ds date, y int")
+    for steps, value in (("sum", 5), ("max", 3), ("min", 2)):
+        assert series.target_lag(frame, key="k", steps=steps).first().lag1 == value
 
 
 @pytest.mark.parametrize("n", [1, 2, 5, 8])
@@ -215,9 +233,11 @@ def test_category_codes_follow_sorted_order(spark):
         **{("u", w): i for i, w in enumerate(sorted(set(words)))},
         **{("v", w): i for i, w in enumerate(["", "a", "b", "z"])},
     }
-    encoded = encoding.encode(frame, codes, ["u"])
+    encoded = encoding.encode(frame, codes, ["u"], unknown="null")
     assert encoded.count() == frame.count()
     assert encoded.filter("u = 'zeta'").first().u_code == 6
+    with pytest.raises(Exception):
+        encoding.encode(frame, codes, ["u"]).collect()
 
 
 def test_runs_table(spark, tmp_path):
