@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
 import numpy as np
@@ -305,6 +306,7 @@ def rolling_origin(
     metric: Callable[[str, str], Column] = root_mean_square,
     key: series.Key = series.SERIES,
     patience: int | None = None,
+    parallel: int = 4,
     *,
     steps: str,
 ) -> DataFrame:
@@ -325,24 +327,31 @@ def rolling_origin(
         F.col("back") <= n_windows + 1
     ).collect()}
     make = tweedie_regressor if kind == "tweedie" else tree_regressor
-    rows, best = [], float("inf")
-    for i, params in enumerate(trials):
-        text, scores, worse = {k: str(v) for k, v in params.items()}, [], 0
-        for w in range(1, n_windows + 1):
-            if not sizes.get(w) or not sizes.get(w + 1):
-                continue
-            past, test = data.filter(F.col("back") > w), data.filter(F.col("back") == w)
-            score = make(params).fit(past).transform(test).agg(
-                F.count(F.col("y0") - F.col("forecast")).alias("n"), metric("y0", "forecast").alias("score")
-            ).first()
-            rows.append((i, text, w, score["n"], score["score"]))
-            scores.append(score["score"])
-            worse = worse + 1 if sum(scores) / len(scores) > best else 0
-            if patience is not None and worse >= patience:
-                break
-        else:
-            if scores:
-                best = min(best, sum(scores) / len(scores))
+    usable = [w for w in range(1, n_windows + 1) if sizes.get(w) and sizes.get(w + 1)]
+
+    def scored(i: int, w: int) -> tuple:
+        past, test = data.filter(F.col("back") > w), data.filter(F.col("back") == w)
+        score = make(trials[i]).fit(past).transform(test).agg(
+            F.count(F.col("y0") - F.col("forecast")).alias("n"), metric("y0", "forecast").alias("score")
+        ).first()
+        return i, {k: str(v) for k, v in trials[i].items()}, w, score["n"], score["score"]
+
+    if patience is None:
+        # The fits don't depend on each other: several run at a time and fill the cluster between one another's steps.
+        with ThreadPoolExecutor(parallel) as pool:
+            rows = list(pool.map(lambda x: scored(*x), [(i, w) for i in range(len(trials)) for w in usable]))
+    else:
+        rows, best = [], float("inf")
+        for i in range(len(trials)):
+            scores, worse = [], 0
+            for w in usable:
+                rows.append(scored(i, w))
+                scores.append(rows[-1][-1])
+                worse = worse + 1 if sum(scores) / len(scores) > best else 0
+                if worse >= patience:
+                    break
+            else:
+                best = min(best, sum(scores) / len(scores)) if scores else best
     return spark.createDataFrame(
         rows, "trial int, params map<string,string>, window int, n bigint, score double"
     )
