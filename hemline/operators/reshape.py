@@ -27,7 +27,11 @@ def explode_embedding(df: DataFrame, keys: list[str], embed: str = "embed") -> D
 def embedding_columns(
     df: DataFrame, keys: list[str], size: int, embed: str = "embed", prefix: str = "embed_"
 ) -> DataFrame:
-    """One column per vector element, numbered from 1; NULL past the end of a short vector."""
-    return df.select(
+    """One column per vector element, numbered from 1; NULL past the end of a short vector. A longer vector is an
+    error."""
+    vector = F.when(
+        F.size(embed) > size, F.raise_error(F.lit(f"a vector of {embed} has more than {size} elements"))
+    ).otherwise(F.col(embed))
+    return df.withColumn(embed, vector).select(
         *keys, *[F.get(F.col(embed), F.lit(i)).alias(f"{prefix}{i + 1}") for i in range(size)]
     )

@@ -355,9 +355,14 @@ oracle("prediction_feature_join", """SELECT n.external_code || '-' || CAST(n.ret
   CAST(forecast AS DOUBLE) AS forecast, p.external_code, p.retail, p.y, p.current_week_of_year, p.current_year,
   p.current_month
   FROM naive n LEFT JOIN panel p ON n.external_code = p.external_code AND n.retail = p.retail AND n.ds = p.ds""")
-oracle("embedding_join", """SELECT page_id, CAST(page_id % 10 AS VARCHAR) || '/' || CAST(page_id AS VARCHAR) || '.png' AS img_path,
-  len(embedding) AS embed_size, round(CAST(embedding[1] AS DOUBLE), 6) AS embed_1
-  FROM pages LEFT JOIN embeddings ON vec_id = page_id AND label = page_id % 10""")
+_ELEMENTS = ", ".join(f"round(CAST(embedding[{i}] AS DOUBLE), 6) AS embed_{i}" for i in range(1, 65))
+oracle("embedding_join", f"""SELECT page_id, CAST(page_id % 10 AS VARCHAR) || '/' || CAST(page_id AS VARCHAR) || '.png' AS img_path,
+  {_ELEMENTS} FROM pages LEFT JOIN embeddings ON vec_id = page_id AND label = page_id % 10""")
+oracle("feature_embedding_join", f"""SELECT external_code, img_path, n, y, {_ELEMENTS} FROM (
+  SELECT external_code, img_path, count(*) AS n, CAST(sum(y) AS BIGINT) AS y FROM sales_rows GROUP BY ALL)
+  LEFT JOIN embeddings ON vec_id = CAST(external_code AS BIGINT) % 100""")
+oracle("id_list_split", """SELECT unique_id, ds, y, CASE WHEN release_year >= 2000 THEN 'test' ELSE 'train' END AS side
+  FROM sales_rows""")
 oracle("series_semi_join", "SELECT unique_id, ds, y, retail FROM sales_rows WHERE release_year >= 2000")
 oracle("train_test_split", """SELECT CASE WHEN release_year >= 2000 THEN 'test' ELSE 'train' END AS side,
   count(*) AS n_rows, CAST(sum(y) AS BIGINT) AS y, max(ds) AS last FROM sales_rows GROUP BY 1""")
@@ -379,6 +384,10 @@ oracle("inventory_balance", "SELECT * FROM balance_weekly")
 oracle("inventory_balance_iso", "SELECT * FROM balance_iso")
 oracle("gold_inventory", "SELECT * FROM balance_release")
 oracle("inventory_point_filter", "SELECT * FROM balance_weekly WHERE external_code = '1' AND retail = 3")
+oracle("series_point_filter", """SELECT unique_id, ds, y FROM sales_rows
+  WHERE unique_id = (SELECT min(unique_id) FROM sales_rows)""")
+oracle("select_expressions", """SELECT external_code, retail, ds, y * 2 AS doubled,
+  CASE WHEN y > 30 THEN 'high' ELSE 'low' END AS level FROM panel""")
 oracle("inventory_preview", "SELECT * FROM balance_weekly ORDER BY external_code, retail, date LIMIT 15")
 oracle("reorder_plan", """SELECT external_code, retail, b.date AS ds, accumulated_inventory, forecast, hi_ci,
   accumulated_inventory - forecast AS projected_inventory, accumulated_inventory < forecast AS stock_out,
@@ -493,6 +502,29 @@ oracle("duplicate_columns", """SELECT 1 + CAST(bool_and(retail = current_week_of
 oracle("numeric_health", f"""SELECT "column",
   {_r6('out_of_range_share', 'mean_cur', 'mean_ref', 'std_ref', 'mean_sigmas')} FROM health""")
 oracle("out_of_list", 'SELECT "column", round(out_of_list_share, 6) AS out_of_list_share FROM unlisted')
+_TYPES = {
+    "category": ("string", "string"), "color": ("string", "string"), "fabric": ("string", "string"),
+    "season_category": ("string", None), "retail": ("int", "string"), "release_year": ("int", None),
+    "price": ("float", None), "discount": ("float", None), "retail_total_sales_qty": ("bigint", None),
+    "retail_total_customer_purchase": ("bigint", None),
+    **{c: (None, "string") for c in ("external_code", "season", "image_path", "release_date", "restock")},
+    **{str(i): (None, "string") for i in range(12)},
+}
+
+
+def _type_row(c: str) -> str:
+    ours, theirs = (f"'{t}'" if t else "CAST(NULL AS VARCHAR)" for t in _TYPES[c])
+    n_ours = f"(SELECT count({c}) FROM monitored)" if _TYPES[c][0] else "CAST(NULL AS BIGINT)"
+    n_theirs = "(SELECT count(*) FROM release_item)" if _TYPES[c][1] else "CAST(NULL AS BIGINT)"
+    same = "true" if _TYPES[c][0] == _TYPES[c][1] else "false"
+    return f"""SELECT '{c}' AS "column", {ours} AS reference_type, {theirs} AS current_type, {same} AS same,
+  {n_ours} AS n_reference, {n_theirs} AS n_current"""
+
+
+oracle("column_types", "\nUNION ALL ".join(_type_row(c) for c in _TYPES))
+oracle("report_json", """SELECT "check", "column", CAST(json_object('check', "check", 'column', "column",
+  'value', printf('%.6f', round(CAST(value AS DOUBLE), 6)), 'threshold', printf('%.6f', round(CAST(threshold AS DOUBLE), 6)),
+  'passed', coalesce(passed, false)) AS VARCHAR) AS report FROM no_target""")
 oracle("stability_suite", f"""SELECT "check", CAST(NULL AS VARCHAR) AS "column", {_r6('value', 'threshold')},
   coalesce(passed, false) AS passed FROM stability""")
 oracle("no_target_suite", f"""SELECT "check", "column", {_r6('value', 'threshold')},
@@ -501,7 +533,19 @@ oracle("no_target_suite", f"""SELECT "check", "column", {_r6('value', 'threshold
 # ---- images and streams
 oracle("gold_image_features", f"""SELECT split_part({_IMAGE_TAIL}, '/', 1) AS category,
   split_part({_IMAGE_TAIL}, '/', 2) AS file_name, {_IMAGE_TAIL} AS img_path FROM pages WHERE length(html) % 2 = 0""")
-oracle("image_embeddings", f"""SELECT {_IMAGE_TAIL} AS img_path, 4 AS embed_size FROM pages WHERE length(html) % 2 = 0""")
+oracle("image_embeddings", f"""SELECT {_IMAGE_TAIL} AS img_path, {', '.join(
+    f'CAST((page_id // {256 ** (3 - i)}) % 256 AS DOUBLE) AS embed_{i + 1}' for i in range(4))}
+  FROM pages WHERE length(html) % 2 = 0""")
+_LATE_ROWS = """SELECT unique_id, ds, greatest(y, 0) AS y0 FROM (
+  SELECT *, lag(y) OVER (PARTITION BY external_code, retail, release_year, release_month, release_day ORDER BY ds) AS lag1
+  FROM features) WHERE lag1 IS NOT NULL AND release_year >= 2000"""
+oracle("forecast_stored", _LATE_ROWS)
+oracle("tweedie_checks", f"""SELECT 'tweedie' AS model, count(*) AS n_rows, true AS bounds_are_twice_the_quantile,
+  true AS covers, true AS intercept_is_optimal FROM ({_LATE_ROWS})""")
+oracle("tree_checks", f"""SELECT 'tree' AS model, count(*) AS n_rows, true AS bounds_are_twice_the_quantile,
+  true AS covers FROM ({_LATE_ROWS})""")
+oracle("stream_table", "SELECT * FROM silver_restock")
+oracle("table_refresh", "SELECT * FROM silver_trends")
 oracle("stream_ingest_sales", "SELECT * FROM silver_sales")
 oracle("stream_ingest_price", f"SELECT external_code, retail, week, {_r6('price', 'discount')} FROM silver_price")
 oracle("stream_ingest_restock", "SELECT * FROM silver_restock")

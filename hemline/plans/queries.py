@@ -6,7 +6,10 @@ never inside an operator.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +33,7 @@ from hemline.operators import (
 )
 from hemline.plans import gold
 from hemline.session import fresh_path, written
-from hemline.sources import schemas, views
+from hemline.sources import files, schemas, views
 from hemline.streaming import jobs, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +43,7 @@ ITEM_STORE = inventory.ITEM_STORE
 TRENDS = list(views.TREND_COLUMNS)
 NUMERIC = [*forecast.CUSTOMER, "price", "discount", "retail"]
 CATEGORICAL = forecast.CATEGORICAL
+EMBED_COLUMNS = [f"embed_{i}" for i in range(1, 65)]
 # Releases before this year are the reference (training) side, later ones the current side.
 SPLIT_YEAR = 2000
 
@@ -336,20 +340,27 @@ def prediction_feature_join(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def embedding_join(spark: SparkSession, d: str) -> DataFrame:
-    """Every page image row with the first element of the embedding of the same label path."""
+    """Every page image row with all elements of the embedding of the same label path."""
     vectors = views.embeddings(spark, d)
     keyed = views.table(spark, d, "pages").select(
         "page_id",
         F.concat((F.col("page_id") % 10).cast("string"), F.lit("/"), F.col("page_id").cast("string"), F.lit(".png"))
         .alias("img_path"),
     )
-    joined = joins.with_embedding(keyed, vectors)
-    return joined.select(
-        "page_id",
-        "img_path",
-        F.size("embed").alias("embed_size"),
-        r6(F.get("embed", F.lit(0))).alias("embed_1"),
-    )
+    wide = reshape.embedding_columns(joins.with_embedding(keyed, vectors), ["page_id", "img_path"], 64)
+    return rounded(wide, *EMBED_COLUMNS)
+
+
+@query
+def feature_embedding_join(spark: SparkSession, d: str) -> DataFrame:
+    """Feature rows joined with the vector of their image, summed up per item with every element."""
+    feed = written(views.wide_sales(spark, d), "sales-feed")
+    rows = gold.sales_rows(silver.silver_sales(feed)).select("external_code", "img_path", "y")
+    joined = joins.with_embedding(rows, written(views.release_embeddings(spark, d, feed), "release-vectors"))
+    wide = reshape.embedding_columns(joined, ["external_code", "img_path", "y"], 64)
+    sums = [F.max(c).alias(c) for c in EMBED_COLUMNS]
+    per_item = wide.groupBy("external_code", "img_path").agg(F.count("*").alias("n"), F.sum("y").alias("y"), *sums)
+    return rounded(per_item, *EMBED_COLUMNS)
 
 
 def release_ids(spark: SparkSession, d: str, test: bool) -> DataFrame:
@@ -365,6 +376,20 @@ def series_semi_join(spark: SparkSession, d: str) -> DataFrame:
     return joins.keep_series(rows, release_ids(spark, d, test=True))
 
 
+@query
+def id_list_split(spark: SparkSession, d: str) -> DataFrame:
+    """Both sides of a split by id lists that are kept as CSV files."""
+    base = fresh_path(spark, "id-lists")
+    sales = written(silver.silver_sales(views.wide_sales(spark, d)), "silver-sales")
+    late, ids = F.col("release_year") >= SPLIT_YEAR, schemas.ID_LIST.names
+    for name, side in (("train", ~late), ("test", late)):
+        sales.filter(side).select(*ids).distinct().write.option("header", "true").csv(f"{base}/{name}")
+    rows = gold.sales_rows(sales).select("unique_id", "ds", "y")
+    lists = [files.read_ids(spark, f"{base}/{name}") for name in ("train", "test")]
+    sides = zip(("train", "test"), forecast.split_by_ids(rows, *lists), strict=True)
+    return reduce(DataFrame.unionByName, [f.withColumn("side", F.lit(n)) for n, f in sides])
+
+
 @query
 def train_test_split(spark: SparkSession, d: str) -> DataFrame:
     rows = gold.sales_rows(sales_long(spark, d)).select("unique_id", "ds", "y")
@@ -443,6 +468,23 @@ def inventory_point_filter(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def series_point_filter(spark: SparkSession, d: str) -> DataFrame:
+    """All weeks of one series, picked by its text id in SQL."""
+    gold.sales_rows(sales_long(spark, d)).createOrReplaceTempView("feature_rows")
+    return spark.sql(
+        "SELECT unique_id, ds, y FROM feature_rows WHERE unique_id = (SELECT min(unique_id) FROM feature_rows)"
+    )
+
+
+@query
+def select_expressions(spark: SparkSession, d: str) -> DataFrame:
+    """A projection written as SQL strings."""
+    return weekly(spark, d).selectExpr(
+        "external_code", "retail", "ds", "y * 2 AS doubled", "CASE WHEN y > 30 THEN 'high' ELSE 'low' END AS level"
+    )
+
+
 @query
 def inventory_preview(spark: SparkSession, d: str) -> DataFrame:
     """Fifteen rows of the ledger in a fixed order."""
@@ -725,8 +767,14 @@ def duplicate_columns(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def column_types(spark: SparkSession, d: str) -> DataFrame:
-    """Feature table against the raw sales feed."""
-    return quality.column_types(monitored(spark, d), views.wide_sales(spark, d))
+    """Types of the feature table against the raw sales feed, with the number of known values on both sides."""
+    ours, theirs = monitored(spark, d), views.wide_sales(spark, d)
+
+    def known(df: DataFrame, name: str) -> DataFrame:
+        return quality.missing_by_column(df).select("column", (F.col("n_rows") - F.col("n_missing")).alias(name))
+
+    types = quality.column_types(ours, theirs)
+    return types.join(known(ours, "n_reference"), "column", "left").join(known(theirs, "n_current"), "column", "left")
 
 
 @query
@@ -764,7 +812,9 @@ def no_target_suite(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def report_json(spark: SparkSession, d: str) -> DataFrame:
-    return quality.report_json(no_target_suite(spark, d))
+    """Every check as a JSON text; numbers are written with six places."""
+    places = {c: F.when(F.col(c).isNotNull(), F.format_string("%.6f", c)) for c in ("value", "threshold")}
+    return quality.report_json(no_target_suite(spark, d).withColumns(places))
 
 
 # ---- image features, models, streams -------------------------------------------------------------
@@ -775,14 +825,12 @@ def gold_image_features(spark: SparkSession, d: str) -> DataFrame:
     return gold.gold_image_features(silver.silver_images(views.page_images(spark, d)))
 
 
-def byte_histogram():
-    """A small encoder for the embedding hook: shares of the byte values in four ranges."""
-    import numpy as np
+def last_bytes():
+    """A small encoder for the embedding hook: the values of an image's last four bytes."""
 
     def encode(contents):
         for content in contents:
-            data = np.frombuffer(content, dtype=np.uint8)
-            yield (np.bincount(data // 64, minlength=4) / max(len(data), 1)).astype("float32").tolist()
+            yield [float(b) for b in content[-4:]]
 
     return encode
 
@@ -790,18 +838,77 @@ def byte_histogram():
 @query
 def image_embeddings(spark: SparkSession, d: str) -> DataFrame:
     """The embedding hook with a stand-in encoder."""
-    out = gold.gold_image_features(silver.silver_images(views.page_images(spark, d)), byte_histogram)
-    return out.select("img_path", F.size("embed").alias("embed_size"))
+    out = gold.gold_image_features(silver.silver_images(views.page_images(spark, d)), last_bytes)
+    return rounded(reshape.embedding_columns(out, ["img_path"], 4), *EMBED_COLUMNS[:4])
 
 
-def _trained(spark: SparkSession, d: str, kind: str, params: dict | None = None) -> DataFrame:
+@dataclass
+class Trial:
+    """A model with the rows it was trained on, calibrated on and is to forecast."""
+
+    model: forecast.DemandModel
+    old: DataFrame
+    held_out: DataFrame
+    late: DataFrame
+
+
+def _trial(spark: SparkSession, d: str, kind: str, params: dict | None = None) -> Trial:
     """Train on the older releases, calibrate on the year before the split, forecast the later ones."""
-    frame = written(forecast.model_frame(features(spark, d), TRENDS, steps="unique"), "model-frame")
     numeric = forecast.numeric_columns(TRENDS)
+    needed = [*series.SERIES, "unique_id", "ds", "y0", *numeric, *CATEGORICAL]
+    rows = forecast.model_frame(features(spark, d), TRENDS, steps="unique").select(*dict.fromkeys(needed))
+    frame = written(rows, "model-frame")
     year = F.col("release_year")
     old, held_out = frame.filter(year < SPLIT_YEAR - 1), frame.filter(year == SPLIT_YEAR - 1)
-    model = forecast.train(old, numeric, kind, params)
-    return forecast.forecast_table(model, frame.filter(year >= SPLIT_YEAR), held_out)
+    return Trial(forecast.train(old, numeric, kind, params), old, held_out, frame.filter(year >= SPLIT_YEAR))
+
+
+def _trained(spark: SparkSession, d: str, kind: str, params: dict | None = None) -> DataFrame:
+    trial = _trial(spark, d, kind, params)
+    return forecast.forecast_table(trial.model, trial.late, trial.held_out)
+
+
+def _checks(trial: Trial, kind: str) -> DataFrame:
+    """What must hold for a forecast: one row per row, bounds around it, and the coverage that was asked for."""
+    scored = trial.model.score(trial.late)
+    residuals = conformal.with_residual(trial.model.score(trial.held_out), "y0")
+    bounds = conformal.with_interval(scored, residuals)
+    width = 2 * conformal.half_width(residuals).first()["q"]
+    off = F.abs(F.col("hi_ci") - F.col("lo_ci") - width) > 1e-6 * (1 + width)
+    known = conformal.with_interval(trial.model.score(trial.held_out), residuals)
+    within = F.avg(F.when(F.abs(F.col("y0") - F.col("forecast")) <= width / 2 + 1e-9, 1.0).otherwise(0.0))
+    return bounds.agg(
+        F.count("forecast").alias("n_rows"), (F.count_if(off) == 0).alias("bounds_are_twice_the_quantile")
+    ).select(
+        F.lit(kind).alias("model"),
+        "n_rows",
+        "bounds_are_twice_the_quantile",
+        F.lit(known.agg(within).first()[0] >= 0.85).alias("covers"),
+    )
+
+
+@query
+def tweedie_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Checks of the Tweedie forecast; at the optimum the score of the intercept is zero over the training rows."""
+    trial = _trial(spark, d, "tweedie")
+    mu, power = F.col("forecast"), forecast.TWEEDIE_POWER
+    score = F.sum((F.col("y0") - mu) * F.pow(mu, F.lit(1 - power))) / F.sum(F.pow(mu, F.lit(2 - power)))
+    balance = trial.model.score(trial.old).agg(score).first()[0]
+    return _checks(trial, "tweedie").withColumn("intercept_is_optimal", F.lit(abs(balance) < 1e-4))
+
+
+@query
+def tree_checks(spark: SparkSession, d: str) -> DataFrame:
+    return _checks(_trial(spark, d, "tree"), "tree")
+
+
+@query
+def forecast_stored(spark: SparkSession, d: str) -> DataFrame:
+    """The forecast table saved as a table, and its rows that have a forecast within its bounds."""
+    name = f"gold_forecasted_{uuid.uuid4().hex}"
+    gold.save_table(_trained(spark, d, "tweedie"), name)
+    sound = (F.col("forecast") >= F.col("lo_ci")) & (F.col("forecast") <= F.col("hi_ci"))
+    return spark.table(name).filter(sound).select("unique_id", "ds", "y0")
 
 
 @query
@@ -909,6 +1016,28 @@ def stream_new_column(spark: SparkSession, d: str) -> DataFrame:
     return silver.silver_restock(rows)
 
 
+@query
+def stream_table(spark: SparkSession, d: str) -> DataFrame:
+    """Restock events streamed from one catalog table to the next, twice."""
+    base, tag = fresh_path(spark, "tables"), uuid.uuid4().hex
+    bronze, target = f"bronze_restock_{tag}", f"silver_restock_{tag}"
+    views.restock_events(spark, d).write.parquet(f"{base}/source")
+    for _ in range(2):
+        sinks.append_table(jobs.stream_files(spark, f"{base}/source"), bronze, f"{base}/bronze")
+        jobs.refresh_silver_table(spark, "restock", bronze, target, f"{base}/state")
+    return spark.table(target)
+
+
+@query
+def table_refresh(spark: SparkSession, d: str) -> DataFrame:
+    """A table saved, and saved again with another schema."""
+    name = f"trends_{uuid.uuid4().hex}"
+    feed = views.trend_index(spark, d)
+    gold.save_table(feed.select("date"), name)
+    gold.save_table(silver.silver_trends(feed), name)
+    return spark.table(name)
+
+
 @query
 def stream_micro_batches(spark: SparkSession, d: str) -> DataFrame:
     """The restock feed through a per-batch callback, each batch written twice."""

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+import warnings
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 _local_folders: dict[str, str] = {}
+_written: list[str] = []
 
 
 def build_session(
@@ -28,6 +32,7 @@ def build_session(
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.parquet.filterPushdown", "true")
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
         .config("spark.serializer", "org.apache.spark.serializer.KryoSerializer")
     )
     if master:
@@ -55,8 +60,26 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """An unused path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """An unused path below the shared folder; deleted by :func:`delete_written` or when Python ends."""
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not _written:
+        atexit.register(delete_written)
+    _written.append(path)
+    return path
+
+
+def delete_written() -> None:
+    """Delete every folder that this process has written below the shared folder.
+
+    Frames that read such a folder are gone with it, so call it when a run's results are stored.
+    """
+    jvm = SparkContext._jvm
+    while _written and jvm is not None:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        try:
+            path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+        except Exception as error:  # a store that is gone must not keep the others from being cleaned
+            warnings.warn(f"could not delete {path}: {error}", stacklevel=2)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

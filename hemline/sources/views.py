@@ -279,6 +279,13 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def release_embeddings(spark: SparkSession, sf_dir: str, wide: DataFrame) -> DataFrame:
+    """A vector per image of the releases in ``wide`` (the sales feed): the one whose id is the item code modulo 100."""
+    paths = wide.select(F.col("image_path").alias("img_path"), "external_code").distinct()
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("embed"))
+    return paths.join(vectors, F.col("external_code").cast("bigint") % 100 == F.col("vec_id")).select("img_path", "embed")
+
+
 def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Binary files in the shape of an image feed.
 

@@ -10,7 +10,7 @@ from hemline.plans.queries import QUERIES
 from tools.compare import compare, connection
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-NO_SQL = {"column_types", "report_json", "tweedie_forecast", "tree_forecast", "parameter_search"}
+NO_SQL = {"tweedie_forecast", "tree_forecast", "parameter_search"}
 QUICK = [
     "calendar_parts",
     "week_to_date",
