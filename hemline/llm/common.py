@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from hemline.session import fresh_path
 
@@ -158,15 +159,14 @@ def append_columns(
     added = T.StructType.fromDDL(", ".join(f"`{k}` {v}" for k, v in fields.items()))
     out = [f for f in kept if keep_text or f.name != text]
     schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in out], *added.fields])
-    names, new_names = [f.name for f in out], list(fields)
+    names, kinds = [f.name for f in out], {f.name: to_arrow_type(f.dataType) for f in added.fields}
 
     def run(batches):
         for rows, data, offsets in text_pieces(batches, text):
             made = make(data, offsets)
             columns = [rows.column(rows.schema.get_field_index(n)) for n in names]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, *[pa.array(made[n]) for n in new_names]], [*names, *new_names]
-            )
+            new = [made[n] if isinstance(made[n], pa.Array) else pa.array(made[n], k) for n, k in kinds.items()]
+            yield pa.RecordBatch.from_arrays([*columns, *new], [*names, *kinds])
 
     return docs.select(*[F.col(f"`{f.name}`") for f in kept]).mapInArrow(run, schema)
 

@@ -90,6 +90,7 @@ def test_row_operators_on_odd_rows(frame, odd_rows, spark):
     assert encoded[1, None]["ids"] == [1, 2] and encoded[1, None]["decoded"] == ""
     assert encoded[9, "A b C"]["decoded"] == "A b C"
     assert licenses.scan_licenses(docs).filter("n_licenses > 0").count() == 0
+    assert {tuple(r["licenses"]) for r in licenses.scan_licenses(docs).collect()} == {()}
     none = frame([])
     for made in (secret_scan.scan_secrets(none), pieces.encode_digests(none, MODEL), licenses.scan_licenses(none)):
         assert made.count() == 0
