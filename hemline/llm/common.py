@@ -17,7 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from hemline.session import fresh_path
 
-PIECE = 4_000_000
+PIECE = 2_000_000
 WHITE = np.isin(np.arange(256), [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 LOWER_ASCII = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 

@@ -35,7 +35,7 @@ DISCOUNT = 0.5
 HEAD = 1_000_000
 END = -0x5EED0E4D0E4D0E4D
 #: Distinct keys a task holds before it passes its counts on.
-HELD = 3_000_000
+HELD = 1_000_000
 
 _LOWER = np.frombuffer(LOWER_ASCII, np.uint8)
 
