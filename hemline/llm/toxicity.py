@@ -12,12 +12,13 @@ counts as toxic if one is. Without rows of both classes the score is the share o
 
 from __future__ import annotations
 
-import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from dataclasses import dataclass
 from functools import reduce
+from itertools import chain, groupby
 
+import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -35,6 +36,7 @@ LEAST_DOCS = 5
 FOLDS = 4
 LEAST_ODDS = 3.0
 NEAR = 4
+MOST_TOKENS = 300_000
 
 # Insults in common use, second-person words, and characters that stand for letters.
 INSULTS = [
@@ -56,10 +58,14 @@ FEATURES = [
 ]
 
 _WORD = re.compile(r"[^\s.,;:?\"()\[\]{}<>|/\\]+")
-_REPEATED = re.compile(r"([!?*.#%&$])\1{2,}")
 _DISGUISED = re.compile(r"[^\W\d_]+[0-9@$*!]+[^\W\d_]+|[@$0-9]+[^\W\d_]{2,}")
 _PLAIN = str.maketrans(DISGUISES)
 _KNOWN, _PERSON = frozenset(INSULTS), frozenset(SECOND_PERSON)
+_held: dict[str, object] = {}
+
+
+# What a token can be, as bits.
+LEARNED, KNOWN, PERSON, DISGUISED, HIDDEN, SHOUTED = (1 << i for i in range(6))
 
 
 @dataclass(frozen=True)
@@ -70,49 +76,106 @@ class Terms:
     stems: frozenset
 
 
-def _words(text: str) -> list[str]:
-    return [w.strip("!*'-_") or w for w in _WORD.findall(text.lower())]
+def _words(token: str) -> list[str]:
+    return [w.strip("!*'-_") or w for w in _WORD.findall(token.lower())]
 
 
 def _undisguised(word: str) -> str:
     return re.sub(r"(.)\1{2,}", r"\1", word.translate(_PLAIN).replace("*", "").replace("-", ""))
 
 
-def document_features(text: str, terms: Terms) -> list[float]:
-    words = _words(text)
-    n, size = max(1, len(words)), max(1, len(text))
-    learned_words, stems = terms.words, terms.stems
-    learned = [
-        i
-        for i, w in enumerate(words)
-        if w in learned_words or w[:4] in stems or w[:5] in stems or w[:6] in stems
-    ]
-    raw = _DISGUISED.findall(text)
-    hidden = sum(_undisguised(w.lower()) in _KNOWN for w in raw)
-    known = [i for i, w in enumerate(words) if w in _KNOWN]
-    person = [i for i, w in enumerate(words) if w in _PERSON]
-    near = {j for i in person for j in range(i - NEAR, i + NEAR + 1)}
-    letters = sum(map(str.isupper, text))
-    return [
-        len(learned) / n,
-        math.log1p(len(learned)),
-        math.log1p(len({words[i] for i in learned})),
-        (len(known) + hidden) / n,
-        math.log1p(len(known) + hidden),
-        sum(i in near for i in known) / n,
-        sum(i in near for i in learned) / n,
-        len(person) / n,
-        letters / size,
-        sum(len(w) > 2 and w.isupper() for w in text.split()) / n,
-        text.count("!") / size,
-        text.count("?") / size,
-        sum(text.count(c) for c in ".,;:") / size,
-        len(_REPEATED.findall(text)) / n,
-        len(raw) / n,
-        math.log1p(hidden),
-        sum(text.count(c) for c in "0123456789") / size,
-        math.log1p(len(words)),
-    ]
+class Tokens(dict):
+    """Bits of tokens between white space, worked out once per distinct token; at most ``MOST_TOKENS`` are held."""
+
+    def __init__(self, terms: Terms):
+        super().__init__()
+        self.terms = terms
+
+    def __missing__(self, token: str) -> int:
+        terms, bits = self.terms, 0
+        for w in _words(token):
+            if w in terms.words or any(w[:k] in terms.stems for k in STEMS):
+                bits |= LEARNED
+            bits |= KNOWN * (w in _KNOWN) | PERSON * (w in _PERSON)
+        raw = _DISGUISED.findall(token)
+        if raw:
+            bits |= DISGUISED | HIDDEN * any(_undisguised(w.lower()) in _KNOWN for w in raw)
+        if len(token) > 2 and token.isupper():
+            bits |= SHOUTED
+        if len(self) >= MOST_TOKENS:
+            self.clear()
+        self[token] = bits
+        return bits
+
+
+def _per_text(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    total = np.concatenate([[0], np.cumsum(mask)])
+    return total[offsets[1:]] - total[offsets[:-1]]
+
+
+def _kinds(characters: str) -> np.ndarray:
+    return np.isin(np.arange(256), [ord(c) for c in characters])
+
+
+_CAPITALS, _DIGITS, _MARKS = _kinds("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), _kinds("0123456789"), _kinds("!?*.#%&$")
+
+
+def text_features(data: np.ndarray, offsets: np.ndarray, known_tokens: Tokens) -> np.ndarray:
+    """Features of all texts of a piece, one row per text."""
+    own = [t.decode().split() for t in texts_of(data, offsets)]
+    counts = np.array([len(x) for x in own])
+    flat = list(chain.from_iterable(own))
+    bits = np.frombuffer(bytes([known_tokens[t] for t in flat]), np.uint8)
+    cuts = np.concatenate([[0], np.cumsum(counts)])
+    text = np.repeat(np.arange(len(own)), counts)
+    learned, known, person, disguised, hidden, shouted = ((bits & (1 << i)) > 0 for i in range(6))
+    near = np.zeros(len(bits), bool)
+    for p in np.flatnonzero(person).tolist():
+        low, high = max(p - NEAR, int(cuts[text[p]])), min(p + NEAR + 1, int(cuts[text[p] + 1]))
+        near[low:high] = True
+    distinct = np.zeros(len(own))
+    hits = np.flatnonzero(learned).tolist()
+    for d, words in groupby(hits, key=lambda i: text[i]):
+        distinct[d] = len({flat[i].lower() for i in words})
+    words, size = np.maximum(counts, 1), np.maximum(np.diff(offsets), 1)
+    mark = _MARKS[data]
+    same = np.zeros(len(data), bool)
+    same[1:] = mark[1:] & (data[1:] == data[:-1])
+    third = np.zeros(len(data), bool)
+    third[2:] = same[2:] & same[1:-1]
+    first_third = third.copy()
+    first_third[1:] &= ~third[:-1]
+
+    def tokens(mask: np.ndarray) -> np.ndarray:
+        return _per_text(mask, cuts)
+
+    def characters(mask: np.ndarray) -> np.ndarray:
+        return _per_text(mask, offsets) / size
+
+    insults = tokens(known | hidden)
+    return np.stack(
+        [
+            tokens(learned) / words,
+            np.log1p(tokens(learned)),
+            np.log1p(distinct),
+            insults / words,
+            np.log1p(insults),
+            tokens(known & near) / words,
+            tokens(learned & near) / words,
+            tokens(person) / words,
+            characters(_CAPITALS[data]),
+            tokens(shouted) / words,
+            characters(data == ord("!")),
+            characters(data == ord("?")),
+            characters(_kinds(".,;:")[data]),
+            _per_text(first_third, offsets) / words,
+            tokens(disguised) / words,
+            np.log1p(tokens(hidden)),
+            characters(_DIGITS[data]),
+            np.log1p(counts),
+        ],
+        axis=1,
+    )
 
 
 def with_features(docs: DataFrame, terms: Terms, text: str = "text", keep_text: bool = True) -> DataFrame:
@@ -120,7 +183,11 @@ def with_features(docs: DataFrame, terms: Terms, text: str = "text", keep_text:
     shared = docs.sparkSession.sparkContext.broadcast(terms)
 
     def make(data, offsets):
-        return {"tox_features": [document_features(t.decode(), shared.value) for t in texts_of(data, offsets)]}
+        if _held.get("terms") is not shared.value:
+            _held.update(terms=shared.value, tokens=Tokens(shared.value))
+        rows = text_features(data, offsets, _held["tokens"])
+        ends = np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32)
+        return {"tox_features": pa.ListArray.from_arrays(pa.array(ends), pa.array(rows.ravel()))}
 
     return append_columns(docs, text, {"tox_features": "array<double>"}, make, keep_text)
 
@@ -132,7 +199,7 @@ def learn_terms(sample: DataFrame, folds: int = FOLDS) -> list[Terms]:
     """
 
     def run(batches):
-        leaders, total, seen = set(), Counter(), Counter()
+        leaders, total, seen = set(), defaultdict(Counter), Counter()
         for rows, data, offsets in text_pieces(batches, "text"):
             toxic, fold = (rows.column(rows.schema.get_field_index(c)).to_pylist() for c in ("toxic", "fold"))
             for t, y, f in zip(texts_of(data, offsets), toxic, fold, strict=True):
@@ -141,12 +208,14 @@ def learn_terms(sample: DataFrame, folds: int = FOLDS) -> list[Terms]:
                 if not words or leader in leaders:
                     continue
                 leaders.add(leader)
-                total.update((f, x, y) for x in words)
-                total.update((f, x, y) for x in {f"{w[:k]}*" for w in words for k in STEMS if len(w) >= k})
-                seen[f, "", y] += 1
-            if len(total) > 1_000_000:
+                total[f, y].update(words)
+                total[f, y].update({f"{w[:k]}*" for w in words for k in STEMS if len(w) >= k})
+                seen[f, y] += 1
+            if sum(map(len, total.values())) > 1_000_000:
                 yield _counted(total)
-        yield _counted(total + seen)
+        for key, n in seen.items():
+            total[key][""] += n
+        yield _counted(total)
 
     work = Workspace(sample.sparkSession, "toxic-terms")
     counted = sample.mapInArrow(run, "fold int, term string, toxic long, clean long")
@@ -179,14 +248,14 @@ def learn_terms(sample: DataFrame, folds: int = FOLDS) -> list[Terms]:
     return found
 
 
-def _counted(total: Counter) -> pa.RecordBatch:
-    terms = sorted({(f, t) for f, t, _ in total})
+def _counted(total: dict[tuple[int, int], Counter]) -> pa.RecordBatch:
+    terms = sorted({(f, t) for (f, _), own in total.items() for t in own})
     made = pa.RecordBatch.from_pydict(
         {
             "fold": pa.array([f for f, _ in terms], pa.int32()),
             "term": pa.array([t for _, t in terms], pa.string()),
-            "toxic": pa.array([total[f, t, 1] for f, t in terms], pa.int64()),
-            "clean": pa.array([total[f, t, 0] for f, t in terms], pa.int64()),
+            "toxic": pa.array([total[f, 1][t] for f, t in terms], pa.int64()),
+            "clean": pa.array([total[f, 0][t] for f, t in terms], pa.int64()),
         }
     )
     total.clear()

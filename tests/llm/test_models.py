@@ -3,12 +3,13 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from hemline.llm import suffix_tree, toxicity
-from hemline.llm.common import Workspace
+from hemline.llm.common import Workspace, flat_texts
 from tests.llm import brute
 from tests.llm.conftest import SF
 
@@ -57,10 +58,15 @@ def test_without_both_classes_the_share_is_the_score(spark):
 
 
 def test_toxicity_features_see_disguise_and_person():
-    none = toxicity.Terms(frozenset(), frozenset())
-    row = dict(zip(toxicity.FEATURES, toxicity.document_features("You 1d!ot, st*pid M0RON!!! WHAT", none), strict=True))
-    assert row["known_density"] > 0 and row["near_person"] >= 0 and row["exclamations"] > 0 and row["shouted_words"] > 0
-    assert toxicity.document_features("", none)[0] == 0
+    own = toxicity.Tokens(toxicity.Terms(frozenset({"zorp"}), frozenset({"grum"})))
+    texts = ["You 1d!ot, st*pid M0RON!!! WHAT", "", "the grumpel zorp. far from here and far from there you", "?? ab 12"]
+    data, offsets = flat_texts(pa.array(texts))
+    rows = [dict(zip(toxicity.FEATURES, r, strict=True)) for r in toxicity.text_features(data, offsets, own).tolist()]
+    assert rows[0]["known_density"] > 0 and rows[0]["exclamations"] > 0 and rows[0]["shouted_words"] > 0
+    assert rows[0]["person_density"] == 1 / 5 and rows[0]["repeated_marks"] == 1 / 5
+    assert set(rows[1].values()) == {0.0}
+    assert rows[2]["learned_density"] == 2 / 11 and rows[2]["learned_near_person"] == 0
+    assert rows[2]["learned_distinct"] == pytest.approx(np.log1p(2)) and rows[3]["digit_rate"] == 2 / 8
 
 
 def test_toxicity_query_on_whole_table(spark, sample):
