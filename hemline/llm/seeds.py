@@ -202,7 +202,8 @@ def repeated_ranges(docs: DataFrame, runs: Runs, work: Workspace) -> DataFrame:
         firsts, ["seed", "whole", "rank", "text_key", "start"], "left_semi"
     )
     windows = work.write(windows.withColumn("start", F.col("start") + F.col("offset")), "windows")
-    lows = windows.groupBy("seed", "hash").agg(F.min(place).alias("low"))
+    # Written first, so that both sides of the join are exchanged and Spark can split a frequent window.
+    lows = work.write(windows.groupBy("seed", "hash").agg(F.min(place).alias("low")), "lows")
     earlier = _repeat_test(runs, F.col("low"), F.col("rank"), F.col("text_key"), F.col("start"))
     masks = (
         windows.join(lows, ["seed", "hash"])
@@ -211,6 +212,7 @@ def repeated_ranges(docs: DataFrame, runs: Runs, work: Workspace) -> DataFrame:
         .agg(F.collect_set("offset").alias("offsets"))
     )
     marked = classes.join(masks, ["seed", "whole"], "left").filter("members > 1 OR offsets IS NOT NULL")
+    marked = work.write(marked, "marked")
     later = _repeat_test(runs, F.col("low"), F.col("rank"), F.col("text_key"), F.col("start"))
     whole_unit = F.array(F.struct(F.col("start"), (F.col("n") + runs.window - 1).alias("length")))
     parts = F.transform(
@@ -224,7 +226,7 @@ def repeated_ranges(docs: DataFrame, runs: Runs, work: Workspace) -> DataFrame:
         .agg(F.collect_set("range").alias("ranges"))
     )
     made = work.write(ranges, "ranges")
-    for name in ("seeds", "units", "classes", "firsts", "windows"):
+    for name in ("seeds", "units", "classes", "firsts", "windows", "lows", "marked"):
         work.drop(name)
     return made
 
@@ -244,7 +246,8 @@ def without_repeats(docs: DataFrame, runs: Runs, split: bytes | None, join: byte
     found = repeated_ranges(narrow, runs, work).select(
         F.col("rank").alias(rank), F.col("text_key").alias(key), F.col("ranges").alias(marks)
     )
-    joined = keyed.join(found, [rank, key], "left").select(*[F.col(f"`{c}`") for c in names], marks)
+    # A merge join at every size: with few ranges a broadcast would do, but then its cost jumps as the corpus grows.
+    joined = keyed.join(found.hint("merge"), [rank, key], "left").select(*[F.col(f"`{c}`") for c in names], marks)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in names)
 
     def run(batches):
