@@ -129,3 +129,16 @@ def test_png_header(spark):
         for r in frame.select(images.is_png("c").alias("ok"), images.png_size("c").alias("s")).collect()
     ]
     assert got == [(True, 500, 600), (False, None, None), (False, None, None), (False, None, None)]
+
+
+@pytest.mark.parametrize(
+    "value,expected",
+    [("16777217.0", 16777217), ("123456789.0", 123456789), ("3000000000", 3000000000), ("-3.7", -3), ("1.5E3", 1500), ("x", None)],
+)
+def test_quantities_keep_every_digit(spark, value, expected):
+    assert one(spark, value, cal.decimal_text_to_quantity("v")) == expected
+
+
+def test_plain_quantities_outgrow_an_int(spark):
+    assert one(spark, "3000000000", cal.text_to_quantity("v")) == 3000000000
+    assert one(spark, "3000000000", cal.text_to_int("v")) is None

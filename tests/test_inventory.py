@@ -142,3 +142,10 @@ def test_ledger_plan_has_two_exchanges_and_no_python(spark):
 def test_week_start_of_iso_monday(spark):
     row = spark.range(1).select(cal.iso_week_monday(F.lit(2019), F.lit(1)).alias("d")).first()
     assert row.d == dt.date(2018, 12, 31)
+
+
+def test_no_order_without_a_forecast(spark):
+    ledger = spark.createDataFrame([("1", 2, dt.date(2019, 1, 7), -5)], "external_code string, retail int, date date, accumulated_inventory long")
+    known = "external_code string, retail int, ds date, forecast double, hi_ci double"
+    row = inventory.reorder_plan(ledger, spark.createDataFrame([], known)).first()
+    assert (row.projected_inventory, row.stock_out, row.order_qty) == (None, None, None)

@@ -166,3 +166,31 @@ def test_semi_join_does_not_multiply(spark):
     ids = spark.createDataFrame([("a",), ("a",)], "unique_id string")
     rows = spark.createDataFrame([("a", 1), ("b", 2)], "unique_id string, y int")
     assert joins.keep_series(rows, ids).count() == 1
+
+
+def test_no_python_in_the_table_builders(spark):
+    from hemline.plans import queries
+
+    folder = "/root/testdata/sf0.001"
+    names = ["silver_sales", "silver_price", "silver_customer", "silver_restock", "silver_trends", "silver_images"]
+    names += ["gold_features", "gold_restock", "gold_inventory", "series_semi_join"]
+    for name in names:
+        plan = queries.QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
+        assert not any(word in plan for word in ("Python", "Arrow", "Pandas")), name
+
+
+def test_feature_table_exchanges(spark):
+    from hemline.plans import queries
+
+    plan = queries.features(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 4, plan
+
+
+def test_every_sale_is_in_a_week(spark):
+    from hemline.sources import views
+
+    folder = "/root/testdata/sf0.001"
+    wide = views.releases(spark, folder)
+    total = wide.selectExpr("sum(qty) AS a", f"sum({' + '.join(f'w{i}' for i in range(12))}) AS b").first()
+    sold = views.lines(spark, folder, inflow=False).selectExpr("sum(qty)").first()[0]
+    assert total.a == total.b == sold

@@ -122,3 +122,53 @@ def test_read_ids(spark, tmp_path):
         "5198,100,SS19,culottes,grey,linen,2019-05-06",
     )
     assert files.read_ids(spark, f"{tmp_path}/ids.csv").first()[0] == "5198100SS19culottesgreylinen2019-05-06"
+
+
+def test_old_files_are_read(spark, tmp_path):
+    import os
+    import time
+
+    write(tmp_path / "in", "1.csv", HEADER, "1,3,10,2019,4")
+    assert run(spark, tmp_path).count() == 1
+    write(tmp_path / "in", "2.csv", HEADER, "2,3,11,2019,4")
+    old = time.time() - 30 * 86_400
+    os.utime(tmp_path / "in" / "2.csv", (old, old))
+    assert run(spark, tmp_path).count() == 2
+
+
+def test_a_backlog_comes_in_slices(spark, tmp_path):
+    for i in range(5):
+        write(tmp_path / "in", f"{i}.csv", HEADER, f"{i},3,10,2019,4")
+    stream = files.stream_csv(spark, f"{tmp_path}/in", schemas.RESTOCK, files_per_batch=2)
+    seen = []
+    sinks.each_batch(stream, lambda batch, i: seen.append(batch.count()), f"{tmp_path}/c", timeout=120)
+    assert seen == [2, 2, 1]
+
+
+def test_headers_may_grow(spark, tmp_path):
+    args = (spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/s")
+    write(tmp_path / "in", "1.csv", "a,b", "1,2")
+    jobs.ingest_growing(*args, timeout=120)
+    write(tmp_path / "in", "2.csv", "b,new,a", "5,x,4")
+    write(tmp_path / "in", "3.csv", "a,b", "7")
+    for _ in range(2):
+        jobs.ingest_growing(*args, timeout=120)
+    out = sinks.read_merged(spark, f"{tmp_path}/out")
+    got = {(r.a, r.b, r.new) for r in out.collect()}
+    assert ("1", "2", None) in got and ("4", "5", "x") in got and len(got) == 3
+
+
+def test_rescued_rows_go_to_quarantine(spark, tmp_path):
+    write(tmp_path / "in", "1.csv", HEADER, "1,3,10,2019,4,extra", "2,3,10,2019,4")
+    run(spark, tmp_path)
+    for _ in range(2):
+        jobs.quarantine(spark, "restock", f"{tmp_path}/bronze", f"{tmp_path}/q", f"{tmp_path}/state", timeout=120)
+    assert [r[0] for r in spark.read.parquet(f"{tmp_path}/q").collect()] == ["1,3,10,2019,4,extra"]
+
+
+def test_price_feed(spark, tmp_path):
+    head = ",".join(schemas.PRICE.names)
+    write(tmp_path / "in", "1.csv", head, "1,3,9.5," + ",".join(["0.1"] * 12))
+    jobs.ingest_bronze(spark, "price", f"{tmp_path}/in", f"{tmp_path}/b", f"{tmp_path}/s", timeout=120)
+    jobs.refresh_silver(spark, "price", f"{tmp_path}/b", f"{tmp_path}/v", f"{tmp_path}/s", timeout=120)
+    assert spark.read.parquet(f"{tmp_path}/v").count() == 12
