@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hemline.llm import oracles
 from hemline.llm.contamination import op8_decontamination
 from hemline.llm.licenses import op3_license_scan
 from hemline.llm.line_dedup import op10_line_dedup
@@ -30,4 +31,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op6_embedding_dedup": oracles.EMBEDDING_DEDUP,
+    "op8_decontamination": oracles.DECONTAMINATION,
+    "op10_line_dedup": oracles.LINE_DEDUP,
+}
