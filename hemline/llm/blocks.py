@@ -13,13 +13,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hemline.llm.common import Workspace
 
-def block_tasks(members: DataFrame, bucket: list[str], item: str, cap: int) -> DataFrame:
+
+def block_tasks(work: Workspace, members: DataFrame, bucket: list[str], item: str, cap: int) -> DataFrame:
     """``members`` once per task: adds ``task_a`` <= ``task_b`` (blocks compared) and ``side`` (own block).
 
     ``item`` is what deals the members of a bucket to blocks. Buckets of one member are left out.
     """
-    sizes = members.groupBy(*bucket).agg(F.count("*").alias("_n")).filter("_n > 1")
+    # Written first, so that both sides of the join are exchanged and Spark can split a large bucket.
+    sizes = work.write(members.groupBy(*bucket).agg(F.count("*").alias("_n")).filter("_n > 1"), "bucket-sizes")
     n_blocks = F.ceil(F.col("_n") / F.lit(cap)).cast("int")
     own = F.pmod(F.xxhash64(F.col(item), F.lit(7)), F.col("_blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))

@@ -19,12 +19,17 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def _round(edges: DataFrame) -> DataFrame:
-    """One large star and one small star; edges go from the larger node ``u`` to the smaller ``v``."""
+def _round(work: Workspace, edges: DataFrame, step: int) -> DataFrame:
+    """One large star and one small star; edges go from the larger node ``u`` to the smaller ``v``.
+
+    The minima are written first: both sides of the joins are then exchanged, and Spark can split a frequent node.
+    """
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
+    low = work.write(low, f"low-{step}")
     large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-    least = large.groupBy("u").agg(F.min("v").alias("m"))
+    large = work.write(large, f"large-{step}")
+    least = work.write(large.groupBy("u").agg(F.min("v").alias("m")), f"least-{step}")
     small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -41,8 +46,9 @@ def connected(work: Workspace, edges: DataFrame, a: str, b: str) -> DataFrame:
     mark, step = _mark(now), 0
     while mark[0]:
         step += 1
-        then = work.write(_round(now), f"edges-{step}")
-        work.drop(f"edges-{step - 1}")
+        then = work.write(_round(work, now, step), f"edges-{step}")
+        for name in (f"edges-{step - 1}", f"low-{step}", f"large-{step}", f"least-{step}"):
+            work.drop(name)
         now, before, mark = then, mark, _mark(then)
         if mark == before:
             break

@@ -169,7 +169,7 @@ def _planes(values: np.ndarray) -> np.ndarray:
     return np.packbits(bits.T, axis=1, bitorder="little").copy().view(np.uint64)
 
 
-def linked_fingerprints(prints: DataFrame, n: int, radius: int) -> DataFrame:
+def linked_fingerprints(work: Workspace, prints: DataFrame, n: int, radius: int) -> DataFrame:
     """Edges (a, b) that connect the distinct values ``bits`` within the radius of each other."""
     masks = [m - (1 << 64) if m >= 1 << 63 else m for m in tables(n, radius)]
     keys = [F.struct(F.lit(i).alias("t"), F.col("bits").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks)]
@@ -191,7 +191,7 @@ def linked_fingerprints(prints: DataFrame, n: int, radius: int) -> DataFrame:
             own = np.flatnonzero(label != np.arange(len(bits)))
             yield pa.RecordBatch.from_arrays([pa.array(bits[own]), pa.array(bits[label[own]])], ["a", "b"])
 
-    tasks = block_tasks(members, ["t", "key"], "bits", BUCKET_CAP)
+    tasks = block_tasks(work, members, ["t", "key"], "bits", BUCKET_CAP)
     return dealt(tasks, ["t", "key"]).mapInArrow(run, "a long, b long").distinct()
 
 
@@ -211,7 +211,7 @@ def near_copies(
     classes = work.write(
         prints.groupBy(F.col("fingerprint_bits").alias("bits")).agg(smallest.alias("low")), "classes"
     )
-    roots = connected(work, linked_fingerprints(classes.select("bits"), classes.count(), radius), "a", "b")
+    roots = connected(work, linked_fingerprints(work, classes.select("bits"), classes.count(), radius), "a", "b")
     labelled = classes.join(roots, F.col("bits") == F.col("node"), "left").withColumn(
         "root", F.coalesce("root", "bits")
     )

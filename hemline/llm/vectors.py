@@ -150,7 +150,7 @@ def near_vectors(
     hashed = work.write(_hashed(classes, bits, n_tables), "hashed")
     members = hashed.select("node", "size", F.posexplode("keys").alias("t", "key"))
     # Blocks are dealt on narrow rows; the vectors join once the tasks are known.
-    tasks = block_tasks(members, ["size", "t", "key"], "node", cap).join(
+    tasks = block_tasks(work, members, ["size", "t", "key"], "node", cap).join(
         hashed.select("node", "copies", "vector", "signs"), "node"
     )
     links = work.write(_links(tasks, threshold, bits, n_tables), "links")

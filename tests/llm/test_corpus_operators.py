@@ -38,7 +38,7 @@ def test_blocks_meet_every_pair_once_or_in_their_own_block(spark):
     members = spark.range(23).select(F.col("id"), F.lit(1).alias("k")).unionByName(
         spark.range(90, 92).select("id", F.lit(2).alias("k"))
     )
-    rows = block_tasks(members, ["k"], "id", 4).collect()
+    rows = block_tasks(Workspace(spark, "t"), members, ["k"], "id", 4).collect()
     tasks = {}
     for r in rows:
         tasks.setdefault((r["k"], r["task_a"], r["task_b"]), []).append((r["id"], r["side"]))
