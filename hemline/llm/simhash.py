@@ -1,14 +1,16 @@
 """SimHash near-duplicates, compared bit-sliced.
 
-Equal fingerprints are one class. Fingerprints within the radius agree in whole blocks of bits, so every choice of
-blocks that must agree is a table of buckets that misses no pair; the number of blocks follows the number of classes. Inside
-a bucket the fingerprints are stored as vertical bit planes. Row i is compared with row i+d for 64 rows per machine word:
-carry-save counters add up the differing planes, and words in which every distance is over the radius are dropped. Links leave
-a task as one edge per member to its smallest partner, never as all pairs; components are found over all edges.
-
-Null and empty texts, and texts of white space, have fingerprint zero and link like any other. Texts of fewer words than a
-shingle have one shingle, the whole word sequence. Rows with a null ``doc_id`` take part; they never name a component unless no
-row of it has an id (then ``component_id`` is null). Rows that repeat id and text are one document and stay or go together.
+Equal fingerprints are one class. Fingerprints within the radius agree in whole blocks of bits, so every
+choice of blocks that must agree is a table of buckets that misses no pair; the number of blocks follows the
+number of classes. Inside a bucket the fingerprints are stored as vertical bit planes. Row i is compared with
+row i+d for 64 rows per machine word: carry-save counters add up the differing planes, and words in which
+every distance is over the radius are dropped. Links leave a task as one edge per member to its smallest
+partner, never as all pairs; components are found over all edges.
+
+Null and empty texts, and texts of white space, have fingerprint zero and link like any other. Texts of fewer
+words than a shingle have one shingle, the whole word sequence. Rows with a null ``doc_id`` take part; they
+never name a component unless no row of it has an id (then ``component_id`` is null). Rows that repeat id and
+text are one document and stay or go together.
 """
 
 from __future__ import annotations
@@ -90,8 +92,12 @@ def with_fingerprints(
 
 
 def tables(n: int, radius: int) -> list[int]:
-    """Masks of the bits that must agree; every pair within the radius agrees under at least one mask."""
-    for keep in range(1, 64 - radius):
+    """Masks of the bits that must agree; every pair within the radius agrees under at least one mask.
+
+    Two blocks at least have to agree: fewer tables of larger buckets would do for small inputs, but then rows per
+    fingerprint would jump as the corpus grows.
+    """
+    for keep in range(2, 64 - radius):
         blocks = radius + keep
         cuts = [64 * i // blocks for i in range(blocks + 1)]
         least = sum(sorted(b - a for a, b in zip(cuts, cuts[1:], strict=False))[:keep])
