@@ -1,7 +1,7 @@
 """Buckets as tasks of bounded size.
 
-Members of a bucket are compared with each other. A bucket of more than ``cap`` members is cut into blocks, and each
-pair of blocks becomes a task, so no task holds more than two blocks, whatever the bucket's size.
+Members of a bucket are compared with each other. A bucket of more than ``cap`` members is cut into blocks,
+and each pair of blocks becomes a task, so no task holds more than two blocks, whatever the bucket's size.
 """
 
 from __future__ import annotations

@@ -1,7 +1,7 @@
 """Helpers shared by the operators: texts as flat bytes, hashes of byte runs, appended columns.
 
-Arrow hands a task its texts as one byte buffer with offsets. The helpers work on that buffer, in pieces of
-at most ``PIECE`` bytes (or one text), so the memory of a task follows its longest text and not its rows.
+Arrow hands a task its texts as one byte buffer with offsets. The helpers work on that buffer, in pieces of at
+most ``PIECE`` bytes (or one text), so the memory of a task follows its longest text and not its rows.
 """
 
 from __future__ import annotations

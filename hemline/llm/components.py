@@ -1,8 +1,8 @@
 """Connected components over an edge table, by alternating large-star and small-star rounds.
 
-Every round is two grouped minima (combined on the map side) and two joins whose many-row side Spark may split, so a
-node with a third of all edges is no single task. A round's edges are written to the shared folder; the driver
-sees a count and a checksum per round.
+Every round is two grouped minima (combined on the map side) and two joins whose many-row side Spark may
+split, so a node with a third of all edges is no single task. A round's edges are written to the shared
+folder; the driver sees a count and a checksum per round.
 """
 
 from __future__ import annotations

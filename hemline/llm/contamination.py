@@ -1,13 +1,14 @@
 """Benchmark decontamination with DataFrame functions only.
 
-The word windows of the benchmark become a hash set that goes to the executors inside the plan, after a check of
-its size; documents are read once, and each window whose hash is in the set is noted with its words. Notes are verified by
-an equality join with the benchmark's windows as text. Beyond ``MOST_GRAMS`` windows the set is a table and the windows of the documents meet it
-in a join that Spark may split.
-
-Words are runs of digits, letters (A-Z in lower case) and characters beyond ASCII. An item of fewer words than a window is one window; an
-item without words is none. Null texts have no words. Repeated items of equal words all count. Items with a null id count under no
-id. Rows that repeat id and text are one document; an empty benchmark hits nothing.
+The word windows of the benchmark become a hash set that goes to the executors inside the plan, after a check
+of its size; documents are read once, and each window whose hash is in the set is noted with its words. Notes
+are verified by an equality join with the benchmark's windows as text. Beyond ``MOST_GRAMS`` windows the set
+is a table and the windows of the documents meet it in a join that Spark may split.
+
+Words are runs of digits, letters (A-Z in lower case) and characters beyond ASCII. An item of fewer words than
+a window is one window; an item without words is none. Null texts have no words. Repeated items of equal words
+all count. Items with a null id count under no id. Rows that repeat id and text are one document; an empty
+benchmark hits nothing.
 """
 
 from __future__ import annotations

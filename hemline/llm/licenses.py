@@ -1,14 +1,17 @@
-"""License scan: MinHash bands over overlapping windows retrieve templates, exact shingle containment verifies them.
-
-For each template length, windows of that length start every quarter of it. The bands are set so that a window at the least favourable
-place over a text that just passes the check shares a band with its template with probability ``RECALL``. A window shares a
-band only if it holds a shingle of some template, so others are not hashed; that loses nothing. A retrieved template matches if at least
-``SIMILARITY`` of its distinct shingles are, word for word, in the window and the stride around it. Matches of one template that overlap
-are one occurrence.
-
-Words are runs of digits, letters (A-Z in lower case) and characters beyond ASCII; shingles have five words, or all words of a
-template with fewer. Null and empty texts match nothing, and templates without words are ignored. Repeated rows repeat their
-result. Templates are few (at most ``MOST_TEMPLATES``) and go to the executors inside the task.
+"""License scan: MinHash bands over overlapping windows retrieve templates, exact shingle containment verifies
+them.
+
+For each template length, windows of that length start every quarter of it. The bands are set so that a window
+at the least favourable place over a text that just passes the check shares a band with its template with
+probability ``RECALL``. A window shares a band only if it holds a shingle of some template, so others are not
+hashed; that loses nothing. A retrieved template matches if at least ``SIMILARITY`` of its distinct shingles
+are, word for word, in the window and the stride around it. Matches of one template that overlap are one
+occurrence.
+
+Words are runs of digits, letters (A-Z in lower case) and characters beyond ASCII; shingles have five words,
+or all words of a template with fewer. Null and empty texts match nothing, and templates without words are
+ignored. Repeated rows repeat their result. Templates are few (at most ``MOST_TEMPLATES``) and go to the
+executors inside the task.
 """
 
 from __future__ import annotations

@@ -1,10 +1,10 @@
 """Line dedup: later repeats of runs of lines are deleted.
 
-A run is ``min_lines`` or more consecutive lines. A line goes if a run that covers it also starts at an earlier
-place: in a document with a smaller id, or further up in its own. Runs are judged on the input. Lines are compared whole
-and unchanged; an empty text has one empty line. A null text has no lines and stays null. Documents that lose all lines
-stay with an empty text. Rows with a null id come last; rows of equal id and text are one document; rows of equal id and different texts come in the order of a hash of
-the text.
+A run is ``min_lines`` or more consecutive lines. A line goes if a run that covers it also starts at an
+earlier place: in a document with a smaller id, or further up in its own. Runs are judged on the input. Lines
+are compared whole and unchanged; an empty text has one empty line. A null text has no lines and stays null.
+Documents that lose all lines stay with an empty text. Rows with a null id come last; rows of equal id and
+text are one document; rows of equal id and different texts come in the order of a hash of the text.
 """
 
 from __future__ import annotations

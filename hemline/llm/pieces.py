@@ -1,13 +1,15 @@
 """SentencePiece BPE encoding and decoding by vectorised merge rounds.
 
-A text is cut where no merge can cross: before a run of spaces and around line feeds. The distinct segments of a batch
-that are not in the worker's cache become one flat numpy array of symbols. Each round looks at the ranks of all
-neighbouring pairs, takes the smallest rank per segment, merges its leftmost pairs at the same time and closes the gaps;
-segments without a pair leave the arrays. A pair further right of the same rank waits for the next round if a merge to
-its left makes a pair that comes first, so the order of merges is the library's.
-
-Null and empty texts get the begin and end ids and decode to an empty text. The vocabulary file is a parameter; its
-bytes (well under a megabyte) are broadcast, so executors need no copy. The cache is bounded by ``CACHE`` segments.
+A text is cut where no merge can cross: before a run of spaces and around line feeds. The distinct segments of
+a batch that are not in the worker's cache become one flat numpy array of symbols. Each round looks at the
+ranks of all neighbouring pairs, takes the smallest rank per segment, merges its leftmost pairs at the same
+time and closes the gaps; segments without a pair leave the arrays. A pair further right of the same rank
+waits for the next round if a merge to its left makes a pair that comes first, so the order of merges is the
+library's.
+
+Null and empty texts get the begin and end ids and decode to an empty text. The vocabulary file is a
+parameter; its bytes (well under a megabyte) are broadcast, so executors need no copy. The cache is bounded by
+``CACHE`` segments.
 """
 
 from __future__ import annotations

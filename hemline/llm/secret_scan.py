@@ -1,12 +1,12 @@
 """Secret scan: keyword automaton, anchored expressions at its hits, embedded checksums.
 
-One Aho-Corasick automaton runs over each whole text and reports where a secret could start: a keyword of
-a kind, or, in a copy of the text whose hexadecimal digits are all written as one symbol, the first sixteen
-digits of a run. Only there an anchored expression runs. Kinds that carry a checksum are kept only if
-it holds. Positions are code points, ends exclusive; matches of a kind don't overlap, the leftmost wins.
+One Aho-Corasick automaton runs over each whole text and reports where a secret could start: a keyword of a
+kind, or, in a copy of the text whose hexadecimal digits are all written as one symbol, the first sixteen
+digits of a run. Only there an anchored expression runs. Kinds that carry a checksum are kept only if it
+holds. Positions are code points, ends exclusive; matches of a kind don't overlap, the leftmost wins.
 
-Null texts count as empty; empty texts and tables give no spans. Every row is scanned on its own, so repeated rows
-repeat their result. Columns of the input other than the text are carried along.
+Null texts count as empty; empty texts and tables give no spans. Every row is scanned on its own, so repeated
+rows repeat their result. Columns of the input other than the text are carried along.
 """
 
 from __future__ import annotations

@@ -1,9 +1,10 @@
-"""Substring dedup: repeats of at least ``window`` words are removed from all but the first document that has them.
+"""Substring dedup: repeats of at least ``window`` words are removed from all but the first document that has
+them.
 
-Words are runs of characters other than ASCII white space, unchanged. A word goes if a window that covers it also starts in a document
-with a smaller id; windows are judged on the input. Null texts have no words, and documents with fewer words than
-a window lose none. Repeats inside one document stay. Rows with a null id come last. Rows of equal id are no reason to remove
-from one another.
+Words are runs of characters other than ASCII white space, unchanged. A word goes if a window that covers it
+also starts in a document with a smaller id; windows are judged on the input. Null texts have no words, and
+documents with fewer words than a window lose none. Repeats inside one document stay. Rows with a null id come
+last. Rows of equal id are no reason to remove from one another.
 """
 
 from __future__ import annotations

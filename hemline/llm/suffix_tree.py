@@ -1,19 +1,21 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-Counting is done by Spark over all training texts. Words that are frequent enough become symbols. Contexts grow from
-one word upwards: runs of n+1 symbols are counted only where both runs of n symbols in them are frequent (a run can't be more
-frequent than its parts), so each length costs one reading of the texts and one grouped sum. A context stays a state of the tree
-if its next symbols diverge from those of its longest retained suffix: count times Kullback-Leibler divergence of at least
-``DIVERGENCE`` nats. A state's symbols have discounted frequencies; the mass left goes to its other symbols in proportion to the longest retained suffix,
-down to the smoothed counts of single words, so every state's distribution sums to one over known words and one unknown.
-A text is scored word by word by the longest state that ends there.
-
-Frequent means ``LEAST_COUNT`` times and a share of ``LEAST_SHARE`` of all tokens: the tree has at most 1/``LEAST_SHARE`` runs of each length, which
-bounds what is collected and broadcast. Counts of single words are exact for all words: the ``HEAD`` most frequent are broadcast, all others
-join by their hash. Words are told apart by 64-bit hashes.
-
-Null and empty texts have only the end token. Rows with a null id are learned from and not held out. Without training texts
-every probability is one.
+Counting is done by Spark over all training texts. Words that are frequent enough become symbols. Contexts
+grow from one word upwards: runs of n+1 symbols are counted only where both runs of n symbols in them are
+frequent (a run can't be more frequent than its parts), so each length costs one reading of the texts and one
+grouped sum. A context stays a state of the tree if its next symbols diverge from those of its longest
+retained suffix: count times Kullback-Leibler divergence of at least ``DIVERGENCE`` nats. A state's symbols
+have discounted frequencies; the mass left goes to its other symbols in proportion to the longest retained
+suffix, down to the smoothed counts of single words, so every state's distribution sums to one over known
+words and one unknown. A text is scored word by word by the longest state that ends there.
+
+Frequent means ``LEAST_COUNT`` times and a share of ``LEAST_SHARE`` of all tokens: the tree has at most
+1/``LEAST_SHARE`` runs of each length, which bounds what is collected and broadcast. Counts of single words
+are exact for all words: the ``HEAD`` most frequent are broadcast, all others join by their hash. Words are
+told apart by 64-bit hashes.
+
+Null and empty texts have only the end token. Rows with a null id are learned from and not held out. Without
+training texts every probability is one.
 """
 
 from __future__ import annotations

@@ -1,14 +1,14 @@
 """Near-duplicate vectors: random hyperplanes, exact cosine, components.
 
-Equal vectors are one class. Each class is hashed in several tables by the signs of its products with random hyperplanes. The
-bits per table follow the number of classes, so a bucket stays small on average, and the number of tables follows from
-``recall``: the chance that a pair at the threshold shares a bucket. Members of a bucket are compared by their exact
-cosine in double precision, in tasks of bounded size; a pair counts in the first table that it shares. Only counts and one edge per
-member leave a task.
-
-Vectors that are null, empty, zero or hold a null or non-finite component link with nothing and are their own component. Rows with a null
-id take part in links; they never name a component that has an id. Vectors of different lengths never link. Repeated rows
-count as vectors that are linked with each other.
+Equal vectors are one class. Each class is hashed in several tables by the signs of its products with random
+hyperplanes. The bits per table follow the number of classes, so a bucket stays small on average, and the
+number of tables follows from ``recall``: the chance that a pair at the threshold shares a bucket. Members of
+a bucket are compared by their exact cosine in double precision, in tasks of bounded size; a pair counts in
+the first table that it shares. Only counts and one edge per member leave a task.
+
+Vectors that are null, empty, zero or hold a null or non-finite component link with nothing and are their own
+component. Rows with a null id take part in links; they never name a component that has an id. Vectors of
+different lengths never link. Repeated rows count as vectors that are linked with each other.
 """
 
 from __future__ import annotations
