@@ -1,17 +1,21 @@
 """Repeated runs of tokens over a corpus: seed by winnowed anchors, extend, keep what reaches the threshold.
 
-A window is ``window`` consecutive tokens of one document. The smallest hash of its runs of ``anchor`` tokens (the leftmost if
-equal) is its seed, so equal windows have equal seeds at equal places: no repeat of the threshold's length is
-missed. Consecutive windows with one seed form a unit, the seed extended both ways as far as it is the seed.
+A window is ``window`` consecutive tokens of one document. The smallest hash of its runs of ``anchor`` tokens
+(the leftmost if equal) is its seed, so equal windows have equal seeds at equal places: no repeat of the
+threshold's length is missed. Consecutive windows with one seed form a unit, the seed extended both ways as
+far as it is the seed.
 
 1. Seeds are counted; those that occur once are through. A bit table of fixed size (``FILTER_BITS`` at most, a
-   sketch and not the seeds) tells the second reading which units can matter; a false hit costs a row and changes nothing.
-2. Units that are equal as a whole are one class; its first occurrence is a grouped minimum. All windows of the others are repeats.
-3. Only the first of each class can still have windows that occur earlier in another class with the same seed. Their windows are
-   written out and grouped by hash, and the maximal covered ranges go back to the documents by one join.
-
-Hashes of windows are 64 bits beside the 64 bits of their seed. Every step that meets a frequent key is a grouped minimum
-with a map-side part or a join that Spark may split.
+   sketch and not the seeds) tells the second reading which units can matter; a false hit costs a row and
+   changes nothing.
+2. Units that are equal as a whole are one class; its first occurrence is a grouped minimum. All windows of
+   the others are repeats.
+3. Only the first of each class can still have windows that occur earlier in another class with the same seed.
+   Their windows are written out and grouped by hash, and the maximal covered ranges go back to the documents
+   by one join.
+
+Hashes of windows are 64 bits beside the 64 bits of their seed. Every step that meets a frequent key is a
+grouped minimum with a map-side part or a join that Spark may split.
 """
 
 from __future__ import annotations
@@ -184,6 +188,7 @@ def repeated_ranges(docs: DataFrame, runs: Runs, work: Workspace) -> DataFrame:
         units.groupBy("seed", "whole").agg(F.min(place).alias("low"), F.count("*").alias("members")), "classes"
     )
     several = classes.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1").select("seed")
+    several = work.write(several, "several")
     firsts = work.write(classes.join(several, "seed", "left_semi").select("seed", "whole", "low.*"), "firsts")
     key = (
         F.col("whole").bitwiseXOR(F.col("text_key")).bitwiseXOR(F.shiftleft("rank", 20)).bitwiseXOR(F.col("start"))
@@ -226,7 +231,7 @@ def repeated_ranges(docs: DataFrame, runs: Runs, work: Workspace) -> DataFrame:
         .agg(F.collect_set("range").alias("ranges"))
     )
     made = work.write(ranges, "ranges")
-    for name in ("seeds", "units", "classes", "firsts", "windows", "lows", "marked"):
+    for name in ("seeds", "units", "classes", "firsts", "windows", "lows", "marked", "several"):
         work.drop(name)
     return made
 
