@@ -1,13 +1,16 @@
 """Toxicity: boosted trees over dense features of the text, calibrated by isotonic regression.
 
-Terms (words and word stems) that toxic training texts have much more often than others are learned in folds: a training text's features
-come from terms of the other folds, so no term is judged by the text it was learned from; later texts get the terms of all folds. The trees are grown on
-three quarters of the labelled rows and calibrated on the last. Features are densities of learned and of commonly known terms, their nearness to second-person words, and rates of capitals, punctuation and
-disguised spelling. Labels, languages, sources and ids are no features.
-
-At most ``SAMPLE`` labelled rows (about; picked by a hash of the id) are used to fit; scoring reads every whole text once, without a shuffle.
-Null texts count as empty and get the score of a text without any feature. Labels that are null are not used; a document with several labels
-counts as toxic if one is. Without rows of both classes the score is the share of toxic rows (0 without rows).
+Terms (words and word stems) that toxic training texts have much more often than others are learned in folds:
+a training text's features come from terms of the other folds, so no term is judged by the text it was learned
+from; later texts get the terms of all folds. The trees are grown on three quarters of the labelled rows and
+calibrated on the last. Features are densities of learned and of commonly known terms, their nearness to
+second-person words, and rates of capitals, punctuation and disguised spelling. Labels, languages, sources and
+ids are no features.
+
+At most ``SAMPLE`` labelled rows (about; picked by a hash of the id) are used to fit; scoring reads every
+whole text once, without a shuffle. Null texts count as empty and get the score of a text without any feature.
+Labels that are null are not used; a document with several labels counts as toxic if one is. Without rows of
+both classes the score is the share of toxic rows (0 without rows).
 """
 
 from __future__ import annotations
@@ -37,6 +40,7 @@ FOLDS = 4
 LEAST_ODDS = 3.0
 NEAR = 4
 MOST_TOKENS = 300_000
+HELD_TERMS = 400_000
 
 # Insults in common use, second-person words, and characters that stand for letters.
 INSULTS = [
@@ -211,7 +215,7 @@ def learn_terms(sample: DataFrame, folds: int = FOLDS) -> list[Terms]:
                 total[f, y].update(words)
                 total[f, y].update({f"{w[:k]}*" for w in words for k in STEMS if len(w) >= k})
                 seen[f, y] += 1
-            if sum(map(len, total.values())) > 1_000_000:
+            if sum(map(len, total.values())) > HELD_TERMS:
                 yield _counted(total)
         for key, n in seen.items():
             total[key][""] += n
