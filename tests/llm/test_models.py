@@ -135,6 +135,23 @@ def test_lm_query_on_whole_table(spark, sample):
         assert r["held_out"] == brute.held_out(r["doc_id"], 5, 1)
 
 
+def test_rare_runs_stay_however_large_the_corpus(spark):
+    filler = spark.range(900).selectExpr("id AS doc_id", "repeat('f ', 10000) AS text")
+    rare = spark.range(1000, 1006).selectExpr("id AS doc_id", "'brisk umber quartz lantern' AS text")
+    asked = spark.createDataFrame([(1, "brisk umber quartz lantern")], "doc_id long, text string")
+    (row,) = suffix_tree.score_texts(asked, filler.unionAll(rare)).collect()
+    assert row["train_tokens"] > 9_000_000 and row["score"] > row["base_score"] + 10
+
+
+@pytest.mark.parametrize("settings", [{"head_runs": 0}, {"head_runs": 40, "head": 3}])
+def test_scores_do_not_depend_on_the_head(spark, settings):
+    rnd = random.Random(6)
+    docs = spark.createDataFrame([(d, chain(rnd, 150)) for d in range(60)], "doc_id long, text string")
+    want = {r["doc_id"]: r["score"] for r in suffix_tree.score_texts(docs, docs).collect()}
+    for r in suffix_tree.score_texts(docs, docs, **settings).collect():
+        assert r["score"] == pytest.approx(want[r["doc_id"]], rel=1e-9)
+
+
 def test_no_training_text(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     found = suffix_tree.score_texts(docs, docs.limit(0)).collect()
