@@ -46,3 +46,41 @@ lines AS (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS p FR
 kept AS (SELECT doc_id, count(*) AS n, string_agg(line, chr(10) ORDER BY p) AS t FROM lines ANTI JOIN hit USING (doc_id, p) GROUP BY 1)
 SELECT doc_id, len(l) AS n_lines, len(l) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)"""
+
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+RANKED_SEARCH = rf"""WITH d AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+t AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM d) GROUP BY ALL),
+s AS (SELECT count(*) AS docs, sum(len(w))::BIGINT AS tokens FROM d WHERE len(w) > 0),
+q AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark)),
+df AS (SELECT term, count(*) AS df FROM t WHERE term IN (SELECT term FROM q) GROUP BY term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w FROM df, s),
+scores AS (SELECT item_id, doc_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // tokens)))) AS BIGINT) AS score
+  FROM q JOIN t USING (term) JOIN weights USING (term), s GROUP BY item_id, doc_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+_LETTERS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
+
+DIVERGENCE = rf"""WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LETTERS} AS w
+  FROM documents),
+t AS (SELECT k, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS c FROM t GROUP BY ALL HAVING count(DISTINCT k) >= 10),
+counts AS (SELECT lang, source, term, count(*) AS c FROM t JOIN (SELECT lang, term FROM kept) USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*)::HUGEINT AS v, sum(c)::HUGEINT AS n FROM kept GROUP BY lang),
+g AS (SELECT lang, source, v, coalesce(n, 0)::HUGEINT AS n FROM (SELECT DISTINCT lang, source FROM d)
+  LEFT JOIN (SELECT lang, source, sum(c) AS n FROM counts GROUP BY ALL) USING (lang, source) LEFT JOIN v USING (lang)),
+p AS (SELECT lang, source, term, coalesce(counts.c, 0) AS c, 1 + (1000000000::HUGEINT * (coalesce(counts.c, 0) + 2)) // (g.n + 2 * g.v) AS p,
+    1 + (1000000000::HUGEINT * (kept.c + 2)) // (v.n + 2 * v.v) AS q
+  FROM g JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN counts USING (lang, source, term)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (SELECT g.lang, g.source, 'pair' AS part, o.source AS item, coalesce(value, 0) AS value
+  FROM g JOIN g o ON g.lang = o.lang AND g.source <> o.source
+  LEFT JOIN pairs ON pairs.lang = g.lang AND pairs.source = g.source AND pairs.item = o.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // (p + q) AS value FROM p WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM (FROM every UNION ALL FROM terms) QUALIFY part = 'pair' OR rank <= 10"""

@@ -11,6 +11,7 @@ from hemline.llm.contamination import op8_decontamination
 from hemline.llm.licenses import op3_license_scan
 from hemline.llm.line_dedup import op10_line_dedup
 from hemline.llm.pieces import op2_sentencepiece
+from hemline.llm.search import op11_ranked_search
 from hemline.llm.secret_scan import op1_secret_scan
 from hemline.llm.simhash import op9_simhash
 from hemline.llm.substrings import op5_substring_dedup
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
     "op10_line_dedup": op10_line_dedup,
+    "op11_ranked_search": op11_ranked_search,
 }
 
 ORACLES: dict[str, str] = {
@@ -36,4 +38,5 @@ ORACLES: dict[str, str] = {
     "op6_embedding_dedup": oracles.EMBEDDING_DEDUP,
     "op8_decontamination": oracles.DECONTAMINATION,
     "op10_line_dedup": oracles.LINE_DEDUP,
+    "op11_ranked_search": oracles.RANKED_SEARCH,
 }
