@@ -70,8 +70,8 @@ t AS (SELECT k, lang, source, unnest(w) AS term FROM d),
 kept AS (SELECT lang, term, count(*) AS c FROM t GROUP BY ALL HAVING count(DISTINCT k) >= 10),
 counts AS (SELECT lang, source, term, count(*) AS c FROM t JOIN (SELECT lang, term FROM kept) USING (lang, term) GROUP BY ALL),
 v AS (SELECT lang, count(*)::HUGEINT AS v, sum(c)::HUGEINT AS n FROM kept GROUP BY lang),
-g AS (SELECT lang, source, v, coalesce(n, 0)::HUGEINT AS n FROM (SELECT DISTINCT lang, source FROM d)
-  LEFT JOIN (SELECT lang, source, sum(c) AS n FROM counts GROUP BY ALL) USING (lang, source) LEFT JOIN v USING (lang)),
+g AS (SELECT lang, source, v, coalesce(s.n, 0)::HUGEINT AS n FROM (SELECT DISTINCT lang, source FROM d)
+  LEFT JOIN (SELECT lang, source, sum(c) AS n FROM counts GROUP BY ALL) s USING (lang, source) LEFT JOIN v USING (lang)),
 p AS (SELECT lang, source, term, coalesce(counts.c, 0) AS c, 1 + (1000000000::HUGEINT * (coalesce(counts.c, 0) + 2)) // (g.n + 2 * g.v) AS p,
     1 + (1000000000::HUGEINT * (kept.c + 2)) // (v.n + 2 * v.v) AS q
   FROM g JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN counts USING (lang, source, term)),

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hemline.llm import oracles
 from hemline.llm.contamination import op8_decontamination
+from hemline.llm.divergence import op13_source_divergence
 from hemline.llm.licenses import op3_license_scan
 from hemline.llm.line_dedup import op10_line_dedup
+from hemline.llm.personal import op12_personal_data
 from hemline.llm.pieces import op2_sentencepiece
 from hemline.llm.search import op11_ranked_search
 from hemline.llm.secret_scan import op1_secret_scan
@@ -31,6 +33,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_line_dedup": op10_line_dedup,
     "op11_ranked_search": op11_ranked_search,
+    "op12_personal_data": op12_personal_data,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLES: dict[str, str] = {
@@ -39,4 +43,5 @@ ORACLES: dict[str, str] = {
     "op8_decontamination": oracles.DECONTAMINATION,
     "op10_line_dedup": oracles.LINE_DEDUP,
     "op11_ranked_search": oracles.RANKED_SEARCH,
+    "op13_source_divergence": oracles.DIVERGENCE,
 }
