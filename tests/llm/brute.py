@@ -163,3 +163,98 @@ def vector_links(vectors, threshold):
     n = len(rows)
     roots = linked(n, near)
     return {rows[i][0]: (sum(near(i, j) for j in range(n) if j != i), rows[roots[i]][0]) for i in range(n)}
+
+
+PERSONAL = ["email", "ip", "card", "phone"]
+
+
+def luhn(digits):
+    total = 0
+    for i, d in enumerate(reversed([int(x) for x in digits])):
+        total += d if i % 2 == 0 else (2 * d if d < 5 else 2 * d - 9)
+    return total % 10 == 0
+
+
+def personal(text):
+    """(kind, start, end) of the base entities, by kind as listed and start."""
+
+    def n_digits(m):
+        return re.sub(r"[^0-9]", "", m[0])
+
+    rules = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        "ip": (
+            r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+            lambda m: all(int(x) <= 255 for x in m[0].split(".")),
+        ),
+        "card": (r"[0-9]([\x20-]?[0-9])+", lambda m: 16 <= len(n_digits(m)) <= 19 and luhn(n_digits(m))),
+        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 8 <= len(n_digits(m)) <= 15),
+    }
+    return [(k, m.start(), m.end()) for k, (p, ok) in rules.items() for m in re.finditer(p, text, re.A) if ok(m)]
+
+
+def lowered(text):
+    return (text or "").translate({i: i + 32 for i in range(65, 91)})
+
+
+def search(docs, items, k=10):
+    """(item_id, rank, doc_id, score) of ranked search over rows (doc_id, text) and (item_id, text)."""
+    pattern = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    counts = [(d, Counter(re.findall(pattern, lowered(t)))) for d, t in docs]
+    counts = [(d, c) for d, c in counts if c]
+    n, total = len(counts), sum(sum(c.values()) for _, c in counts)
+    df = Counter(t for _, c in counts for t in c)
+    own = defaultdict(set)
+    for i, t in items:
+        own[i] |= set(re.findall(pattern, lowered(t)))
+    out = []
+    for i, terms in own.items():
+        scored = []
+        for d, c in counts:
+            m = 10 + (90 * sum(c.values()) * n) // total
+            score = sum(
+                math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * ((10**9 * c[t]) // (1000 * c[t] + 8 * m))
+                for t in terms
+                if c[t]
+            )
+            if score > 0:
+                scored.append((-score, rank(d), d))
+        out += [(i, r + 1, d, -s) for r, (s, _, d) in enumerate(sorted(scored)[:k])]
+    return out
+
+
+def divergence(docs, least=10, top=10):
+    """(lang, source, part, item, value, rank) over rows (text, lang, source)."""
+    pattern = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+    counts, df = defaultdict(Counter), defaultdict(Counter)
+    for text, lang, source in docs:
+        own = Counter(re.findall(pattern, lowered(text)))
+        counts[lang or "", source or ""].update(own)
+        df[lang or ""].update(own.keys())
+
+    out = []
+    for lang in df:
+        kept = {t for t, n in df[lang].items() if n >= least}
+        v = len(kept)
+        whole = Counter()
+        for (g, _), c in counts.items():
+            if g == lang:
+                whole.update({t: c[t] for t in kept if c[t]})
+
+        def shares(c):
+            n = sum(c[t] for t in kept)
+            return {t: 1 + 10**9 * (c[t] + 2) // (n + 2 * v) for t in kept}
+
+        def f(p, q):
+            return (p - q) ** 2 // (p + q)
+
+        sources = sorted(s for g, s in counts if g == lang)
+        made = {s: shares(counts[lang, s]) for s in sources}
+        q = shares(whole)
+        for s in sources:
+            p = made[s]
+            pairs = [(-sum(f(p[t], made[o][t]) for t in kept), o.encode()) for o in sources if o != s]
+            terms = [(-f(p[t], q[t]), t.encode()) for t in kept if counts[lang, s][t] and p[t] > q[t]]
+            for part, rows in (("pair", sorted(pairs)), ("term", sorted(terms)[:top])):
+                out += [(lang, s, part, o.decode(), -x, r + 1) for r, (x, o) in enumerate(rows)]
+    return out

@@ -1,0 +1,183 @@
+"""Ranked search, personal data and the source audit against plain versions."""
+
+import random
+import time
+
+import numpy as np
+import pytest
+
+from hemline.llm import divergence, personal, search
+from tests.llm import brute
+from tests.llm.conftest import SF
+
+
+def texts(n, rnd, size=40):
+    pool = ["Alpha", "beta", "GAMMA", "δelta", "x1", "x2", "éa", "zu", "42", "r2d2", "end", "İx"]
+    return [" ".join(rnd.choice(pool) + rnd.choice(["", ",", ".", "-y", "\n"]) for _ in range(rnd.randrange(size))) for _ in range(n)]
+
+
+def ranked(df):
+    return sorted((tuple(r) for r in df.select("item_id", "rank", "doc_id", "score").collect()), key=str)
+
+
+# Ranked search
+
+
+@pytest.mark.parametrize("most", [500_000, 7])
+def test_search_equals_brute_force_in_one_block_and_in_many(spark, frame, odd_rows, most):
+    rnd = random.Random(3)
+    rows = [(i % 50, t) for i, t in enumerate(texts(60, rnd))] + [(i + 100, "tie tie beta") for i in range(25)] + odd_rows
+    items = [(i, t) for i, t in enumerate(texts(8, rnd, 9))] + [(3, "x1 more"), (None, "beta"), (None, "zu"), (20, None), (21, "!"), (22, "nowhere")]
+    docs = frame(rows, "item", "rank", "score").repartition(5)
+    made = search.search(docs, spark.createDataFrame(items, "item_id long, text string"), most_postings=most)
+    assert made.columns == ["item_id", "rank", "doc_id", "score"]
+    want = sorted(brute.search(rows, items), key=str)
+    assert ranked(made) == want
+    # The sides are told apart by a result that has ties, rows of one id, and a null id.
+    assert any(r[0] is None for r in want) and len({r[3] for r in want}) < len(want)
+
+
+def test_search_of_empty_tables(spark, frame):
+    items = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    for docs, asked in ((frame([]), items), (frame([(1, None), (2, "")]), items), (frame([(1, "a")]), items.filter("false"))):
+        assert search.search(docs, asked).collect() == []
+
+
+def test_search_keeps_string_item_ids_and_scores_beyond_32_bits(spark, frame):
+    rows = [(i, "common " * 3000 + f"rare{i} odd{i} last{i}") for i in range(30)]
+    items = [("a", "rare7 odd7 last7 rare3"), ("b", "common")]
+    made = search.search(frame(rows), spark.createDataFrame(items, "item_id string, text string"))
+    assert ranked(made) == sorted(brute.search(rows, items), key=str)
+    assert max(r[3] for r in ranked(made)) > 1 << 32
+
+
+def test_heaps_keep_the_smaller_document_of_equal_scores():
+    rnd = np.random.default_rng(1)
+    scores, docs = rnd.integers(0, 4, (500, 3)), rnd.permutation(500)
+    heaps = search.Heaps(3, 10)
+    for low in range(0, 500, 7):
+        heaps.take(scores[low : low + 7], docs[low : low + 7])
+    got = sorted(zip(*heaps.rows(), strict=True))
+    want = []
+    for i in range(3):
+        best = sorted((-s, d) for s, d in zip(scores[:, i].tolist(), docs.tolist(), strict=True) if s > 0)[:10]
+        want += [(i, d, -s) for s, d in best]
+    assert got == sorted(want)
+
+
+# Source audit
+
+
+def audited(df):
+    return sorted(tuple(r) for r in df.select("lang", "source", "part", "item", "value", "rank").collect())
+
+
+@pytest.mark.parametrize(("chunk", "block"), [(8192, 64), (3, 2), (1, 1)])
+def test_audit_equals_brute_force_whatever_the_chunks_and_blocks(spark, chunk, block):
+    rnd = random.Random(8)
+    rows = [(t, rnd.choice(["en", "de", None, ""]), rnd.choice(["a", "b", "ç", "d", None, "B"])) for t in texts(160, rnd)]
+    rows += [(None, "en", "quiet"), ("", "lonely", "x"), ("only few words", "small", "p"), (None, "small", "q"), ("!!", "small", "r")]
+    rows += [rows[0]] * 4
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "text string, lang string, source string, term string, n int").repartition(4)
+    want = sorted(brute.divergence(rows))
+    assert audited(divergence.audit_sources(docs, chunk=chunk, block=block)) == want
+    assert any(r[2] == "term" for r in want) and any(r[4] == 0 and r[0] == "small" for r in want)
+
+
+def test_audit_of_an_empty_table(spark):
+    docs = spark.createDataFrame([], "text string, lang string, source string")
+    assert divergence.audit_sources(docs).collect() == []
+
+
+def test_forest_shares_nodes_and_prices_pairs_once():
+    counts = np.zeros((3, 1024), np.int64)
+    counts[0, :3], counts[1, :3], counts[2, 5] = [7, 3, 3], [7, 3, 3], 1
+    counts[:, 1000:] = divergence.NO_TERM
+    forest = divergence.Forest.grown(counts)
+    assert forest.roots[0] == forest.roots[1] != forest.roots[2]
+    assert max(len(x) for x in forest.levels) <= 8
+    priced = []
+
+    def price(x, y):
+        priced.append(len(x))
+        return (x - y) ** 2 + 1
+
+    for a, b in ((0, 1), (0, 2), (2, 0)):
+        assert forest.compared(a, b, price) == ((counts[a, :1000] - counts[b, :1000]) ** 2 + 1).sum()
+    assert max(priced) <= 6
+
+
+def test_shares_are_exact_for_large_counts():
+    for count, total in ((10**13, 3 * 10**13), (0, 1), (5, 7), (2 * 10**14, 2 * 10**14 + 9), (123456789012, 210987654321098)):
+        assert divergence.share(np.array([count]), total)[0] == 1 + 10**9 * (count + 2) // total
+
+
+# Personal data
+
+PARTS = [
+    "a", "Z9", "@", ".", "-", "+", " ", "1", "255", "256", "0007", "4111111111111111", "4111 1111 1111 1111", "5500-0000-0000-0004",
+    "+1 (743) 555-3824", "bob.x", "mail", ".com", "é", "(", ")", "\n", "10.0.0.1", "1.2.3.4.5.6.7.8.9", "x@y.z", "_", "%",
+]
+
+
+def base(text):
+    raw = text.encode()
+    return [(personal.KINDS[k], len(raw[:a].decode()), len(raw[:b].decode())) for k, a, b in personal.base_entities(raw)]
+
+
+def test_base_entities_equal_plain_expressions():
+    rnd = random.Random(4)
+    for _ in range(20000):
+        text = "".join(rnd.choice(PARTS) for _ in range(rnd.randint(0, 14)))
+        assert base(text) == brute.personal(text), text
+
+
+def test_time_follows_the_text_for_long_runs():
+    n = 1_000_000
+    for text in ("a" * n, "1" * n, "1." * (n // 2), "a@" * (n // 2), "+1" + " " * n, "1 " * (n // 2), "a." * (n // 2) + "@"):
+        began = time.perf_counter()
+        data = np.frombuffer(text.encode(), np.uint8)
+        personal._scan(data, np.array([0, len(data)]))
+        assert time.perf_counter() - began < 20, text[:9]
+
+
+def test_query_on_whole_table(spark, sample):
+    got = {r["doc_id"]: r for r in personal.op12_personal_data(spark, SF).collect()}
+    assert len(got) == len(sample)
+    for d, t in sample:
+        spans = brute.personal(t or "")
+        assert [got[d][f"n_{k}"] for k in brute.PERSONAL] == [sum(s[0] == k for s in spans) for k in brute.PERSONAL]
+        assert got[d]["base_sha256"] == brute.digest(",".join(f"{k}:{a}:{b}" for k, a, b in spans))
+        assert got[d]["spans"].startswith(",".join(f"{k}:{a}:{b}" for k, a, b in spans))
+
+
+def test_contexts_of_seeds_discover_other_forms_in_rounds(spark, frame):
+    rows = [(i, f"please write to mailbox: user{i}@example.org today") for i in range(6)]
+    # Found by the pattern of the seeds, in the first round; their other context finds the next in the second.
+    rows += [(10 + i, f"é mailbox: agent-{1000 + i} waits") for i in range(4)]
+    rows += [(20 + i, f"the deskname: agent-{1000 + i} again") for i in range(4)]
+    rows += [(30, "ask deskname: bureau/7744, thanks")]
+    # Before ordinary words too, or with one spelling only: no pattern.
+    rows += [(40 + i, f"the room {i} and the card is the code 5555-{i}") for i in range(9)]
+    rows += [(60 + i, "lonely 4111111111111111 or lonely 99887766") for i in range(9)]
+    rows += [(70, None), (71, ""), (72, "mailbox: "), (73, "mailbox:\nagent-1002x9"), (30, "ask deskname: bureau/7744, thanks")]
+    docs = frame(rows, "mentions", "row", "spans", "n_card", "pattern")
+    made = personal.find_personal_data(docs.repartition(4))
+    assert made.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"] and {"mentions", "row", "pattern"} <= set(made.columns)
+    got = sorted(((r["doc_id"], r["text"], r["spans"], r["n_found"]) for r in made.collect()), key=str)
+    assert len(got) == len(rows)
+    for d, t, spans, n in got:
+        found = [x.split(":") for x in spans.split(",") if x.startswith("like_")]
+        cut = [(k, (t or "")[int(a) : int(b)]) for k, a, b in found]
+        want = []
+        if d in range(10, 30):
+            want = [("like_email", f"agent-{1000 + d % 10}")]
+        if d == 30:
+            want = [("like_email", "bureau/7744")]
+        assert cut == want and n == len(want), (d, t, spans)
+    one_round = personal.find_personal_data(docs, rounds=1)
+    assert {r["doc_id"] for r in one_round.filter("n_found > 0").collect()} == {*range(10, 14), *range(20, 24)}
+
+
+def test_personal_data_of_an_empty_table(spark, frame):
+    assert personal.find_personal_data(frame([])).collect() == []
