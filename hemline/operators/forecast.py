@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from hemline.operators import conformal, encoding, series
+from hemline.operators import backtest, boosting, conformal, encoding, series
 from hemline.session import written
 
 # The columns of the model.
@@ -54,7 +54,7 @@ MISSING = -1
 TWEEDIE_POWER = 1.3596343351145384
 TREE_PARAMS = {"maxIter": 250, "maxDepth": 11, "stepSize": 0.07, "subsamplingRate": 0.7413694185041535}
 SEED = 7113
-# One row in so many decides when trees stop growing, and the relative gain that goes on.
+# In a back-test of squared-loss trees one row in so many decides when they stop growing, and the relative gain that goes on.
 HELD_EVERY = 10
 EARLY_STOP_GAIN = 0.001
 N_WINDOWS = 10
@@ -70,6 +70,19 @@ TWEEDIE_SPACE = {
     "maxIter": (10, 50, "int"),
     "fitIntercept": (0, 1, "flag"),
 }
+BOOSTED_SPACE = {
+    "power": (1.1, 1.499, "log"),
+    "l1": (1e-8, 10.0, "log"),
+    "l2": (1e-8, 10.0, "log"),
+    "leaves": (2, 30, "int"),
+    "depth": (2, 25, "int"),
+    "feature_share": (0.4, 1.0, "float"),
+    "row_share": (0.4, 1.0, "float"),
+    "rows_every": (1, 7, "int"),
+    "least_rows": (1, 3, "int"),
+}
+# Step size of the trees of a search.
+SEARCH_RATE = 0.10
 TREE_SPACE = {
     "stepSize": (0.05, 0.1, "log"),
     "maxDepth": (2, 25, "int"),
@@ -183,17 +196,17 @@ def tweedie_regressor(params: dict | None = None) -> GeneralizedLinearRegression
     )
 
 
-def tree_regressor(params: dict | None = None) -> GBTRegressor:
-    """Boosted trees with squared loss. Growing stops early where the held rows (``_held``) gain no more."""
+def tree_regressor(params: dict | None = None, early_stop: bool = False) -> GBTRegressor:
+    """Boosted trees with squared loss. With ``early_stop`` growing ends where the held rows (``_held``) gain no more."""
     settings = {**TREE_PARAMS, "seed": SEED, "maxBins": 64, **(params or {})}
-    return GBTRegressor(
-        featuresCol="features",
-        labelCol="y0",
-        predictionCol="forecast",
-        validationIndicatorCol="_held",
-        validationTol=EARLY_STOP_GAIN,
-        **settings,
-    )
+    if early_stop:
+        settings |= {"validationIndicatorCol": "_held", "validationTol": EARLY_STOP_GAIN}
+    return GBTRegressor(featuresCol="features", labelCol="y0", predictionCol="forecast", **settings)
+
+
+def label_inputs(numeric: list[str]) -> set[int]:
+    """Places of the category codes among the inputs."""
+    return set(range(len(numeric), len(numeric) + len(CATEGORICAL)))
 
 
 def with_held_rows(rows: DataFrame) -> DataFrame:
@@ -212,13 +225,17 @@ class DemandModel:
         return self.regressor.transform(self.preparation.transform(frame)).drop("features")
 
     def save(self, path: str) -> None:
-        prep = self.preparation
-        PipelineModel(stages=[prep.model, self.regressor]).write().overwrite().save(f"{path}/model")
+        prep, boosted = self.preparation, isinstance(self.regressor, boosting.Forest)
+        stages = [prep.model] if boosted else [prep.model, self.regressor]
+        PipelineModel(stages=stages).write().overwrite().save(f"{path}/model")
+        if boosted:
+            self.regressor.save(prep.codes.sparkSession, f"{path}/trees")
         prep.codes.withColumn("used", F.lit(prep.code)).write.mode("overwrite").parquet(f"{path}/labels")
 
 
 def load_model(spark: SparkSession, path: str, numeric: list[str], embed: str | None = None) -> DemandModel:
-    prepared, regressor = PipelineModel.load(f"{path}/model").stages
+    prepared, *rest = PipelineModel.load(f"{path}/model").stages
+    regressor = rest[0] if rest else boosting.load_forest(spark, f"{path}/trees")
     labels = spark.read.parquet(f"{path}/labels")
     used = labels.first()["used"]
     return DemandModel(Preparation(numeric, labels.drop("used"), used, prepared, embed), regressor)
@@ -232,17 +249,31 @@ def train(
     embed: str | None = None,
     preparation: Preparation | None = None,
 ) -> DemandModel:
-    """Fit on ``frame`` (see :func:`model_frame`). The vectors are written once; the fit reads nothing else."""
+    """Fit on all rows of ``frame`` (see :func:`model_frame`). The vectors are written once; the fit reads nothing else.
+
+    ``kind``: "tweedie", a linear model with Tweedie loss; "boosted", trees with Tweedie loss (``params`` as in
+    ``boosting.TreeParams``); "tree", trees with squared loss.
+    """
     linear = kind == "tweedie"
     known = frame.filter(F.col("y0").isNotNull())
     prep = preparation or fit_preparation(known, numeric, linear, embed)
-    rows = written(with_held_rows(prep.transform(known).select("features", "y0")), "training")
-    regressor = (tweedie_regressor if linear else tree_regressor)(params)
-    return DemandModel(prep, regressor.fit(rows), dict(params or {}))
+    rows = written(prep.transform(known).select("features", "y0"), "training")
+    if kind == "boosted":
+        fitted = boosting.fit(rows, label_inputs(numeric), boosting.TreeParams(**(params or {})))
+    else:
+        fitted = (tweedie_regressor if linear else tree_regressor)(params).fit(rows)
+    return DemandModel(prep, fitted, dict(params or {}))
 
 
 def register_predict(spark: SparkSession, model: DemandModel, name: str = "predict") -> Callable:
-    """A SQL function from the feature vector (as an array) to the forecast of a Tweedie model."""
+    """A SQL function from the feature vector (as an array) to the forecast of a Tweedie model, linear or boosted.
+
+    Rows of an Arrow batch are worked on together: a product for a linear model, one descent of all rows per tree for trees.
+    """
+    if isinstance(model.regressor, boosting.Forest):
+        predict = model.regressor.function()
+        spark.udf.register(name, predict)
+        return predict
     weights = np.asarray(model.regressor.coefficients.toArray())
     intercept = float(model.regressor.intercept)
 
@@ -297,6 +328,9 @@ def root_mean_square(y: str, forecast: str) -> Column:
     return F.sqrt(F.avg(error * error))
 
 
+_SCORES = "trial int, params map<string,string>, window int, n bigint, score double"
+
+
 def rolling_origin(
     frame: DataFrame,
     numeric: list[str],
@@ -313,9 +347,14 @@ def rolling_origin(
     """Back-test: for window w, train on all but the last w rows of every series, test on the next row.
 
     Returns (trial, params, window, n, score); ``metric`` is an aggregate of the names of target and forecast. Scaling
-    and label numbers are fitted on the rows before all test windows. With ``patience`` a trial stops when its mean
-    score has been worse than the best trial's for so many windows in a row. The prepared vectors are written once;
+    and label numbers are fitted on the rows before all test windows. The prepared vectors are written once;
     a fit reads only vectors and labels.
+
+    Models of the kinds "tweedie" and "boosted" are fitted together, all trials and windows in as many jobs as one fit has steps
+    (see ``backtest``). Boosted trees stop on the mean score of their windows: every ``backtest.EVALUATE_EVERY`` trees, after
+    ``patience`` looks without a gain (``backtest.PATIENCE`` if not given), at ``backtest.MOST_TREES`` or a trial's own ``trees``.
+    For the others ``patience`` makes a trial stop when its mean score has been worse than the best trial's for so many
+    windows in a row; then, and for the kind "tree", every fit is a job of its own.
     """
     spark = frame.sparkSession
     ranked = written(series.steps_from_end(frame.filter(F.col("y0").isNotNull()), key, steps=steps), "ranked")
@@ -326,8 +365,23 @@ def rolling_origin(
     sizes = {r["back"]: r["n"] for r in data.groupBy("back").agg(F.count("*").alias("n")).filter(
         F.col("back") <= n_windows + 1
     ).collect()}
-    make = tweedie_regressor if kind == "tweedie" else tree_regressor
     usable = [w for w in range(1, n_windows + 1) if sizes.get(w) and sizes.get(w + 1)]
+    joint = None
+    if kind == "boosted":
+        params = [boosting.TreeParams(**{"learning_rate": SEARCH_RATE, **t}) for t in trials]
+        most = max((t.get("trees", backtest.MOST_TREES) for t in trials), default=0)
+        looks = backtest.PATIENCE if patience is None else patience
+        joint = backtest.boosted_folds(data, params, usable, label_inputs(numeric), metric, most, patience=looks)
+    elif kind == "tweedie" and patience is None:
+        full = [{"variancePower": TWEEDIE_POWER, "regParam": 1e-3, "maxIter": 25, "fitIntercept": True, **t} for t in trials]
+        joint = backtest.linear_folds(data, full, usable, metric)
+    if joint is not None:
+        texts = [{k: str(v) for k, v in t.items()} for t in trials]
+        rows = [(i, texts[i], w, n, score) for i, w, n, score, *_ in joint]
+        return spark.createDataFrame(rows, _SCORES)
+
+    def make(params: dict):
+        return tweedie_regressor(params) if kind == "tweedie" else tree_regressor(params, early_stop=True)
 
     def scored(i: int, w: int) -> tuple:
         past, test = data.filter(F.col("back") > w), data.filter(F.col("back") == w)
@@ -352,9 +406,7 @@ def rolling_origin(
                     break
             else:
                 best = min(best, sum(scores) / len(scores)) if scores else best
-    return spark.createDataFrame(
-        rows, "trial int, params map<string,string>, window int, n bigint, score double"
-    )
+    return spark.createDataFrame(rows, _SCORES)
 
 
 def _with_unseen(codes: DataFrame, frame: DataFrame) -> DataFrame:
@@ -401,7 +453,7 @@ def search(
     steps: str,
 ) -> DataFrame:
     """Mean score per trial, best first; a trial that was stopped early has fewer windows."""
-    space = space or (TWEEDIE_SPACE if kind == "tweedie" else TREE_SPACE)
+    space = space or {"tweedie": TWEEDIE_SPACE, "boosted": BOOSTED_SPACE, "tree": TREE_SPACE}[kind]
     trials = sample_params(space, n_trials)
     scores = rolling_origin(frame, numeric, trials, n_windows, kind, metric, key, patience, steps=steps)
     return (

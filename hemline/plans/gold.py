@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hemline.functions import calendar as cal
@@ -79,14 +79,17 @@ def gold_inventory(
 
 
 def gold_image_features(
-    silver_images: DataFrame, encoder_factory: Callable[[], Callable] | None = None
+    silver_images: DataFrame,
+    encoder_factory: Callable[[], Callable] | None = None,
+    check: Callable[[str], Column] = images.is_png,
 ) -> DataFrame:
     """Category, file name and image path of the valid images, with an embedding.
 
+    ``check`` says what is valid: a header (``images.is_png``), or a file whole to its last checksum (``images.is_whole_png``).
     ``encoder_factory`` is called once per task and returns a function from a series of byte strings to
     a sequence of float vectors. Without it the table has no embedding column.
     """
-    valid = silver_images.filter(F.col("content").isNotNull() & images.is_png("content")).select(
+    valid = silver_images.filter(F.col("content").isNotNull() & check("content")).select(
         "category", "file_name", text.image_path().alias("img_path"), "content"
     )
     if encoder_factory is None:

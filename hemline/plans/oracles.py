@@ -360,7 +360,8 @@ oracle("embedding_join", f"""SELECT page_id, CAST(page_id % 10 AS VARCHAR) || '/
   {_ELEMENTS} FROM pages LEFT JOIN embeddings ON vec_id = page_id AND label = page_id % 10""")
 oracle("feature_embedding_join", f"""SELECT external_code, img_path, n, y, {_ELEMENTS} FROM (
   SELECT external_code, img_path, count(*) AS n, CAST(sum(y) AS BIGINT) AS y FROM sales_rows GROUP BY ALL)
-  LEFT JOIN embeddings ON vec_id = CAST(external_code AS BIGINT) % 100""")
+  LEFT JOIN embeddings ON vec_id = CAST('0x' || left(md5(img_path), 8) AS BIGINT)
+    % (SELECT max(vec_id) - min(vec_id) + 1 FROM embeddings) + (SELECT min(vec_id) FROM embeddings)""")
 oracle("id_list_split", """SELECT unique_id, ds, y, CASE WHEN release_year >= 2000 THEN 'test' ELSE 'train' END AS side
   FROM sales_rows""")
 oracle("series_semi_join", "SELECT unique_id, ds, y, retail FROM sales_rows WHERE release_year >= 2000")
@@ -536,14 +537,30 @@ oracle("gold_image_features", f"""SELECT split_part({_IMAGE_TAIL}, '/', 1) AS ca
 oracle("image_embeddings", f"""SELECT {_IMAGE_TAIL} AS img_path, {', '.join(
     f'CAST((page_id // {256 ** (3 - i)}) % 256 AS DOUBLE) AS embed_{i + 1}' for i in range(4))}
   FROM pages WHERE length(html) % 2 = 0""")
+_FILE = "'feed/p' || (page_id % 10) || '/' || page_id || '.png'"
+oracle("image_faults", f"""SELECT {_FILE} AS path, CASE page_id % 7 WHEN 1 THEN 'truncated' WHEN 2 THEN 'checksum' WHEN 3 THEN 'checksum'
+  WHEN 4 THEN 'no data' WHEN 5 THEN 'signature' END AS fault FROM pages""")
+oracle("verified_images", """SELECT 'p' || (page_id % 10) AS category, page_id || '.png' AS file_name,
+  'p' || (page_id % 10) || '/' || page_id || '.png' AS img_path FROM pages WHERE page_id % 7 IN (0, 6)""")
+oracle("stream_ingest_clothes", """SELECT 'p' || (page_id % 10) AS category, page_id || '.png' AS file_name,
+  CAST(8 + 25 + 12 * 3 + strlen(html) AS BIGINT) AS length, CAST(length(html) AS INTEGER) AS width, CAST(page_id AS INTEGER) AS height
+  FROM pages""")
 _LATE_ROWS = """SELECT unique_id, ds, greatest(y, 0) AS y0 FROM (
   SELECT *, lag(y) OVER (PARTITION BY external_code, retail, release_year, release_month, release_day ORDER BY ds) AS lag1
   FROM features) WHERE lag1 IS NOT NULL AND release_year >= 2000"""
 oracle("forecast_stored", _LATE_ROWS)
 oracle("tweedie_checks", f"""SELECT 'tweedie' AS model, count(*) AS n_rows, true AS bounds_are_twice_the_quantile,
-  true AS covers, true AS intercept_is_optimal FROM ({_LATE_ROWS})""")
-oracle("tree_checks", f"""SELECT 'tree' AS model, count(*) AS n_rows, true AS bounds_are_twice_the_quantile,
-  true AS covers FROM ({_LATE_ROWS})""")
+  true AS covers, true AS beats_constant, true AS intercept_is_optimal FROM ({_LATE_ROWS})""")
+oracle("tree_checks", f"""SELECT 'boosted' AS model, count(*) AS n_rows, true AS bounds_are_twice_the_quantile,
+  true AS covers, true AS beats_constant, true AS leaves_balance, true AS beats_linear FROM ({_LATE_ROWS})""")
+oracle("sql_predict", f"SELECT *, true AS same FROM ({_LATE_ROWS})")
+_WINDOWS = """SELECT window, count(*) AS n FROM (SELECT row_number() OVER (
+    PARTITION BY external_code, retail, release_year, release_month, release_day ORDER BY ds DESC) AS window
+  FROM (SELECT *, lag(y) OVER (PARTITION BY external_code, retail, release_year, release_month, release_day ORDER BY ds) AS lag1
+    FROM features) WHERE lag1 IS NOT NULL) WHERE window <= 10 GROUP BY window"""
+for _name, _trials in (("tweedie_backtest", 5), ("tree_backtest", 2)):
+    oracle(_name, f"""SELECT CAST(trial AS INTEGER) AS trial, CAST(w.window AS INTEGER) AS window, n, true AS beats_mean
+      FROM ({_WINDOWS}) w, range({_trials}) t(trial)""")
 oracle("stream_table", "SELECT * FROM silver_restock")
 oracle("table_refresh", "SELECT * FROM silver_trends")
 oracle("stream_ingest_sales", "SELECT * FROM silver_sales")
@@ -555,6 +572,9 @@ oracle("stream_ingest_weather", "SELECT n_name AS locality, strftime(o_orderdate
     + " FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL")
 oracle("stream_quarantine", """SELECT external_code || ',' || retail || ',' || week || ',' || year || ',' || qty || 'x' AS line
   FROM silver_restock WHERE retail % 2 = 1""")
+oracle("stream_fields", """SELECT external_code, retail, week, year, CASE WHEN retail % 4 <> 1 THEN qty END AS qty,
+  CASE WHEN retail % 2 = 1 THEN 's' || retail END AS source, retail % 4 <> 1 AS fits, true AS has_file,
+  CASE WHEN retail % 4 = 1 THEN 'qty' END AS field, CASE WHEN retail % 4 = 1 THEN qty || 'x' END AS value FROM silver_restock""")
 oracle("stream_new_column", """SELECT *, CASE WHEN retail % 2 = 1 THEN 's' || retail END AS source FROM silver_restock""")
 oracle("stream_ingest_customer", "SELECT * FROM silver_customer")
 oracle("stream_micro_batches", "SELECT * FROM silver_restock")

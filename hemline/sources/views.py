@@ -280,10 +280,15 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def release_embeddings(spark: SparkSession, sf_dir: str, wide: DataFrame) -> DataFrame:
-    """A vector per image of the releases in ``wide`` (the sales feed): the one whose id is the item code modulo 100."""
-    paths = wide.select(F.col("image_path").alias("img_path"), "external_code").distinct()
+    """A vector per image of the releases in ``wide`` (the sales feed), dealt over all ids of the vectors by a hash of the path."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("embed"))
-    return paths.join(vectors, F.col("external_code").cast("bigint") % 100 == F.col("vec_id")).select("img_path", "embed")
+    ids = vectors.agg(F.min("vec_id").alias("low"), F.max("vec_id").alias("high")).first()
+    if ids["low"] is None:
+        return vectors.select(F.lit("").alias("img_path"), "embed")
+    hashed = F.conv(F.substring(F.md5("image_path"), 1, 8), 16, 10).cast("bigint")
+    dealt = hashed % (ids["high"] - ids["low"] + 1) + ids["low"]
+    paths = wide.select(F.col("image_path").alias("img_path"), dealt.alias("vec_id")).distinct()
+    return paths.join(vectors, "vec_id").select("img_path", "embed")
 
 
 def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -305,3 +310,52 @@ def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(path, F.lit(".png")).alias("path"),
         F.when(size % 2 == 0, png).otherwise(F.col("html").cast("binary")).alias("content"),
     )
+
+
+def _bytes_of(c: Column, n: int = 4) -> Column:
+    return F.unhex(F.lpad(F.hex(c.cast("bigint")), 2 * n, "0"))
+
+
+def _chunk(name: str, data: Column) -> Column:
+    """A PNG chunk: length, name, data and the checksum of the last two."""
+    own = F.concat(F.lit(name).cast("binary"), data)
+    return F.concat(_bytes_of(F.octet_length(data)), own, _bytes_of(F.crc32(own)))
+
+
+def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole PNG files in the shape of an image feed, one per page: length of the page and page id as width and height, the page's
+    text as image data in two chunks."""
+    size = F.length("html")
+    raw = F.col("html").cast("binary")
+    half = F.floor(F.octet_length(raw) / 2).cast("int")
+    header = F.concat(_bytes_of(size), _bytes_of(F.col("page_id")), F.unhex(F.lit("0800000000")))
+    content = F.concat(
+        F.unhex(F.lit("89504E470D0A1A0A")),
+        _chunk("IHDR", header),
+        _chunk("IDAT", F.substr(raw, F.lit(1), half)),
+        _chunk("IDAT", F.substr(raw, half + 1)),
+        _chunk("IEND", F.lit("").cast("binary")),
+    )
+    folder = F.concat(F.lit("p"), (F.col("page_id") % 10).cast("string"))
+    path = F.concat_ws("/", F.lit("feed"), folder, F.concat(F.col("page_id").cast("string"), F.lit(".png")))
+    return table(spark, sf_dir, "pages").select("page_id", path.alias("path"), content.alias("content"))
+
+
+def damaged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The image files, of which five in seven are cut, changed, without an end, without image data or no image."""
+    content, kind = F.col("content"), F.col("page_id") % 7
+    size = F.octet_length(content)
+
+    def flipped(at: Column) -> Column:
+        other = F.unhex(F.lpad(F.hex(255 - F.conv(F.hex(F.substr(content, at, F.lit(1))), 16, 10).cast("bigint")), 2, "0"))
+        return F.concat(F.substr(content, F.lit(1), at - 1), other, F.substr(content, at + 1))
+
+    damaged = (
+        F.when(kind == 1, F.substr(content, F.lit(1), size - 14))
+        .when(kind == 2, flipped(size - 20))
+        .when(kind == 3, flipped(F.lit(30)))
+        .when(kind == 4, F.concat(F.substr(content, F.lit(1), F.lit(33)), F.substr(content, size - 11)))
+        .when(kind == 5, F.concat(F.lit("GIF89a").cast("binary"), content))
+        .otherwise(content)
+    )
+    return image_files(spark, sf_dir).select("page_id", "path", damaged.alias("content"))

@@ -9,11 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from hemline.operators import silver
-from hemline.sources import files, schemas
+from hemline.sources import fields, files, schemas
 from hemline.streaming import sinks
 
 
@@ -91,6 +92,38 @@ def ingest_growing(
     sinks.each_batch(names, write, f"{state}/growing", timeout)
 
 
+def ingest_fields(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    state: str,
+    schema: T.StructType,
+    grow: bool = True,
+    pattern: str = "*.csv",
+    files_per_batch: int = files.FILES_PER_BATCH,
+    timeout: float | None = None,
+) -> None:
+    """Append the new CSV files of a feed field by field (see ``sources.fields``).
+
+    Columns come by the header of each file, whatever their order. A field that does not fit its declared type is rescued by name, its
+    row keeps the others. With ``grow`` columns that the schema lacks are added as texts, without it they are rescued too. No
+    file is opened by the driver. Read the result with ``sinks.read_merged``.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        lines = batch.persist(StorageLevel.DISK_ONLY)
+        parsed = fields.fields_by_header(lines)
+        own = schema
+        if grow:
+            more = [n for n in fields.column_names(parsed) if n not in set(schema.names)]
+            own = T.StructType([*schema.fields, *[T.StructField(n, T.StringType()) for n in more]])
+        sinks.write_batch(fields.typed_rows(parsed, own), batch_id, target)
+        lines.unpersist()
+
+    lines = fields.stream_lines(spark, source, pattern, files_per_batch)
+    sinks.each_batch(lines, write, f"{state}/fields", timeout)
+
+
 def quarantine(
     spark: SparkSession, name: str, bronze: str, target: str, state: str, timeout: float | None = None
 ) -> None:
@@ -107,11 +140,12 @@ def stream_files(spark: SparkSession, path: str, files_per_batch: int = files.FI
 def refresh_silver(
     spark: SparkSession, name: str, bronze: str, target: str, state: str, timeout: float | None = None
 ) -> None:
-    """Append the silver form of the new bronze rows."""
+    """Append the silver form of the new bronze rows that fit their schema; the others go to :func:`quarantine` only."""
     transform = FEEDS[name].to_silver
     if transform is None:
         raise ValueError(f"feed {name} has no silver table")
-    stream = transform(stream_files(spark, bronze))
+    rows = stream_files(spark, bronze)
+    stream = transform(files.good_rows(rows) if silver.RESCUED in rows.columns else rows)
     sinks.append_files(stream, target, f"{state}/{name}/silver", timeout)
 
 
