@@ -543,8 +543,8 @@ oracle("image_faults", f"""SELECT {_FILE} AS path, CASE page_id % 7 WHEN 1 THEN
 oracle("verified_images", """SELECT 'p' || (page_id % 10) AS category, page_id || '.png' AS file_name,
   'p' || (page_id % 10) || '/' || page_id || '.png' AS img_path FROM pages WHERE page_id % 7 IN (0, 6)""")
 oracle("stream_ingest_clothes", """SELECT 'p' || (page_id % 10) AS category, page_id || '.png' AS file_name,
-  CAST(8 + 25 + 12 * 3 + strlen(html) AS BIGINT) AS length, CAST(length(html) AS INTEGER) AS width, CAST(page_id AS INTEGER) AS height
-  FROM pages""")
+  CAST(8 + 25 + 12 * 3 + strlen(html) AS BIGINT) AS length, CAST(length(html) AS INTEGER) AS width, CAST(page_id AS INTEGER) AS height,
+  true AS whole FROM pages""")
 _LATE_ROWS = """SELECT unique_id, ds, greatest(y, 0) AS y0 FROM (
   SELECT *, lag(y) OVER (PARTITION BY external_code, retail, release_year, release_month, release_day ORDER BY ds) AS lag1
   FROM features) WHERE lag1 IS NOT NULL AND release_year >= 2000"""
@@ -554,12 +554,12 @@ oracle("tweedie_checks", f"""SELECT 'tweedie' AS model, count(*) AS n_rows, true
 oracle("tree_checks", f"""SELECT 'boosted' AS model, count(*) AS n_rows, true AS bounds_are_twice_the_quantile,
   true AS covers, true AS beats_constant, true AS leaves_balance, true AS beats_linear FROM ({_LATE_ROWS})""")
 oracle("sql_predict", f"SELECT *, true AS same FROM ({_LATE_ROWS})")
-_WINDOWS = """SELECT window, count(*) AS n FROM (SELECT row_number() OVER (
-    PARTITION BY external_code, retail, release_year, release_month, release_day ORDER BY ds DESC) AS window
+_WINDOWS = """SELECT back, count(*) AS n FROM (SELECT row_number() OVER (
+    PARTITION BY external_code, retail, release_year, release_month, release_day ORDER BY ds DESC) AS back
   FROM (SELECT *, lag(y) OVER (PARTITION BY external_code, retail, release_year, release_month, release_day ORDER BY ds) AS lag1
-    FROM features) WHERE lag1 IS NOT NULL) WHERE window <= 10 GROUP BY window"""
+    FROM features) WHERE lag1 IS NOT NULL) WHERE back <= 10 GROUP BY back"""
 for _name, _trials in (("tweedie_backtest", 5), ("tree_backtest", 2)):
-    oracle(_name, f"""SELECT CAST(trial AS INTEGER) AS trial, CAST(w.window AS INTEGER) AS window, n, true AS beats_mean
+    oracle(_name, f"""SELECT CAST(trial AS INTEGER) AS trial, CAST(w.back AS INTEGER) AS "window", n, true AS beats_mean
       FROM ({_WINDOWS}) w, range({_trials}) t(trial)""")
 oracle("stream_table", "SELECT * FROM silver_restock")
 oracle("table_refresh", "SELECT * FROM silver_trends")

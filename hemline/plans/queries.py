@@ -1034,7 +1034,7 @@ def stream_ingest_clothes(spark: SparkSession, d: str) -> DataFrame:
         jobs.ingest_bronze(spark, "clothes", f"{base}/source/part-*/*", f"{base}/bronze", f"{base}/state")
         jobs.refresh_silver(spark, "clothes", f"{base}/bronze", f"{base}/silver", f"{base}/state")
     images_in = spark.read.parquet(f"{base}/silver")
-    return images_in.select("category", "file_name", "length", "size.width", "size.height", F.crc32("content").alias("checksum"))
+    return images_in.select("category", "file_name", "length", "size.width", "size.height", images.is_whole_png("content").alias("whole"))
 
 
 @query
