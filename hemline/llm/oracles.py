@@ -38,11 +38,13 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
   sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)"""
 
-LINE_DEDUP = """WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+LINE_DEDUP = r"""WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
 runs AS (SELECT doc_id, i, row_number() OVER (PARTITION BY l[i], l[i + 1] ORDER BY doc_id, i) AS n
   FROM (SELECT doc_id, l, unnest(range(1, len(l))) AS i FROM d)),
-hit AS (SELECT DISTINCT doc_id, unnest(range(i, i + 2)) AS p FROM runs WHERE n > 1),
 lines AS (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS p FROM d),
+single AS (SELECT doc_id, p, row_number() OVER (PARTITION BY line ORDER BY doc_id, p) AS n FROM lines
+  WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 5),
+hit AS (SELECT doc_id, unnest(range(i, i + 2)) AS p FROM runs WHERE n > 1 UNION SELECT doc_id, p FROM single WHERE n > 1),
 kept AS (SELECT doc_id, count(*) AS n, string_agg(line, chr(10) ORDER BY p) AS t FROM lines ANTI JOIN hit USING (doc_id, p) GROUP BY 1)
 SELECT doc_id, len(l) AS n_lines, len(l) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)"""

@@ -22,13 +22,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hemline.llm.common import Rolling, Workspace, free_names, mixed, run_hashes, text_pieces
+from hemline.llm.common import Rolling, Workspace, free_names, mixed, run_hashes, text_pieces, words
 
 #: Bits of the largest sketch, 16 MB; a smaller one has 16 bits for each key.
 FILTER_BITS = 1 << 27
@@ -40,13 +41,14 @@ _PLACE = (1 << 30) - 1
 
 @dataclass(frozen=True)
 class Runs:
-    """What a repeated run is: how texts become tokens, the threshold, the seed's length, and whether a document
-    can repeat itself."""
+    """What a repeated run is: how texts become tokens, the threshold, the seed's length, whether a document can repeat itself, and the
+    words that a window has at least."""
 
     tokens: Callable
     window: int
     anchor: int
     within: bool
+    least_words: int = 0
 
     def __post_init__(self):
         if not 1 <= self.anchor <= self.window:
@@ -90,7 +92,12 @@ def find_units(data: np.ndarray, offsets: np.ndarray, runs: Runs) -> Units | Non
     keys = (seeds & ~np.uint64(_PLACE)) | at.astype(np.uint64)
     place = (sliding_min(keys, runs.window - runs.anchor + 1) & np.uint64(_PLACE)).astype(np.int64)
     text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    valid = np.flatnonzero(text[: n - runs.window + 1] == text[runs.window - 1 :])
+    whole_windows = text[: n - runs.window + 1] == text[runs.window - 1 :]
+    if runs.least_words:
+        begun = words(data, offsets)[0]
+        n_words = np.searchsorted(begun, ends[runs.window - 1 :]) - np.searchsorted(begun, starts[: n - runs.window + 1])
+        whole_windows &= n_words >= runs.least_words
+    valid = np.flatnonzero(whole_windows)
     if not len(valid):
         return None
     new = np.ones(len(valid), bool)
@@ -236,21 +243,32 @@ def repeated_ranges(docs: DataFrame, runs: Runs, work: Workspace) -> DataFrame:
     return made
 
 
-def without_repeats(docs: DataFrame, runs: Runs, split: bytes | None, join: bytes, id_column: str, text: str) -> DataFrame:
-    """``docs`` with ``n_tokens``, ``n_removed`` and ``kept_text``: the tokens left, joined by ``join``.
+def without_repeats(
+    docs: DataFrame,
+    kinds: list[Runs],
+    split: bytes | None,
+    join: bytes,
+    id_column: str,
+    text: str,
+    results: tuple[str, str, str] = ("n_tokens", "n_removed", "kept_text"),
+) -> DataFrame:
+    """``docs`` with ``results``: the number of tokens, of those removed, and those left, joined by ``join``.
 
-    Rows of equal id and text are one document. Null ids come after all others and are equal to each other.
+    A token goes if a repeated run of any of the ``kinds`` covers it. Rows of equal id and text are one document. Null ids come
+    after all others and are equal to each other. Columns with the names of results are replaced, all others stay.
     """
-    names = [c for c in docs.columns if c not in ("n_tokens", "n_removed", "kept_text")]
+    names = [c for c in docs.columns if c not in results]
     rank, key, marks = free_names(docs, "_rank", "_text_key", "_ranges")
     keyed = docs.withColumns({rank: F.coalesce(F.col(id_column).cast("long"), F.lit(LAST)), key: F.xxhash64(text)})
     narrow = keyed.filter(F.col(text).isNotNull()).select(
         F.col(rank).alias("rank"), F.col(key).alias("text_key"), F.col(text).alias("text")
     )
-    work = Workspace(docs.sparkSession, "runs")
-    found = repeated_ranges(narrow, runs, work).select(
-        F.col("rank").alias(rank), F.col("text_key").alias(key), F.col("ranges").alias(marks)
-    )
+    parts = [repeated_ranges(narrow, runs, Workspace(docs.sparkSession, "runs")) for runs in kinds]
+    found = parts[0]
+    if len(parts) > 1:
+        every = reduce(DataFrame.unionByName, parts).groupBy("rank", "text_key")
+        found = every.agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    found = found.select(F.col("rank").alias(rank), F.col("text_key").alias(key), F.col("ranges").alias(marks))
     # A merge join at every size: with few ranges a broadcast would do, but then its cost jumps as the corpus grows.
     joined = keyed.join(found.hint("merge"), [rank, key], "left").select(*[F.col(f"`{c}`") for c in names], marks)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in names)
@@ -276,6 +294,7 @@ def without_repeats(docs: DataFrame, runs: Runs, split: bytes | None, join: byte
                 kept.append(join.join(tokens).decode())
             columns = [rows.column(rows.schema.get_field_index(n)) for n in names]
             made = [pa.array(n_tokens, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())]
-            yield pa.RecordBatch.from_arrays([*columns, *made], [*names, "n_tokens", "n_removed", "kept_text"])
+            yield pa.RecordBatch.from_arrays([*columns, *made], [*names, *results])
 
-    return joined.mapInArrow(run, f"{fields}, n_tokens long, n_removed long, kept_text string")
+    added = "`{}` long, `{}` long, `{}` string".format(*results)
+    return joined.mapInArrow(run, f"{fields}, {added}" if fields else added)

@@ -24,7 +24,7 @@ def drop_repeated_words(
 ) -> DataFrame:
     """``docs`` with ``n_tokens`` (words), ``n_removed`` and ``kept_text``."""
     runs = Runs(words, window, anchor, within=False)
-    return without_repeats(docs, runs, None, b" ", id_column, text)
+    return without_repeats(docs, [runs], None, b" ", id_column, text)
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

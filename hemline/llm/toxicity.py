@@ -29,11 +29,13 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hemline.llm.common import Workspace, append_columns, read_table, text_pieces, texts_of
+from hemline.llm.common import (
+    Rolling, Workspace, append_columns, free_names, read_table, run_hashes, text_pieces, texts_of, words,
+)
+from hemline.llm.terms import LOWER
 
 SAMPLE = 40_000
 THRESHOLD = 0.3
-MOST_TERMS = 4_000
 STEMS = (4, 5, 6)
 LEAST_DOCS = 5
 FOLDS = 4
@@ -41,6 +43,8 @@ LEAST_ODDS = 3.0
 NEAR = 4
 MOST_TOKENS = 300_000
 HELD_TERMS = 400_000
+#: Words of the runs by which near copies are told.
+COPY_WORDS = 4
 
 # Insults in common use, second-person words, and characters that stand for letters.
 INSULTS = [
@@ -62,10 +66,12 @@ FEATURES = [
 ]
 
 _WORD = re.compile(r"[^\s.,;:?\"()\[\]{}<>|/\\]+")
-_DISGUISED = re.compile(r"[^\W\d_]+[0-9@$*!]+[^\W\d_]+|[@$0-9]+[^\W\d_]{2,}")
+# Runs are taken whole and only from their start, so a token costs time in proportion to its length.
+_DISGUISED = re.compile(r"(?<![^\W\d_])[^\W\d_]++[0-9@$*!]++[^\W\d_]++|(?<![@$0-9])[@$0-9]++[^\W\d_]{2,}")
 _PLAIN = str.maketrans(DISGUISES)
 _KNOWN, _PERSON = frozenset(INSULTS), frozenset(SECOND_PERSON)
 _held: dict[str, object] = {}
+_COPIES = Rolling(51)
 
 
 # What a token can be, as bits.
@@ -145,6 +151,7 @@ def text_features(data: np.ndarray, offsets: np.ndarray, known_tokens: Tokens) -
     mark = _MARKS[data]
     same = np.zeros(len(data), bool)
     same[1:] = mark[1:] & (data[1:] == data[:-1])
+    same[offsets[:-1][offsets[:-1] < len(data)]] = False
     third = np.zeros(len(data), bool)
     third[2:] = same[2:] & same[1:-1]
     first_third = third.copy()
@@ -182,8 +189,10 @@ def text_features(data: np.ndarray, offsets: np.ndarray, known_tokens: Tokens) -
     )
 
 
-def with_features(docs: DataFrame, terms: Terms, text: str = "text", keep_text: bool = True) -> DataFrame:
-    """``docs`` with ``tox_features`` (array of double, in the order of ``FEATURES``)."""
+def with_features(
+    docs: DataFrame, terms: Terms, text: str = "text", keep_text: bool = True, name: str = "tox_features"
+) -> DataFrame:
+    """``docs`` with ``name`` (array of double, in the order of ``FEATURES``); a column of that name is replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(terms)
 
     def make(data, offsets):
@@ -191,27 +200,26 @@ def with_features(docs: DataFrame, terms: Terms, text: str = "text", keep_text:
             _held.update(terms=shared.value, tokens=Tokens(shared.value))
         rows = text_features(data, offsets, _held["tokens"])
         ends = np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32)
-        return {"tox_features": pa.ListArray.from_arrays(pa.array(ends), pa.array(rows.ravel()))}
+        return {name: pa.ListArray.from_arrays(pa.array(ends), pa.array(rows.ravel()))}
 
-    return append_columns(docs, text, {"tox_features": "array<double>"}, make, keep_text)
+    return append_columns(docs, text, {name: "array<double>"}, make, keep_text)
 
 
 def learn_terms(sample: DataFrame, folds: int = FOLDS) -> list[Terms]:
     """Terms from (text, toxic, fold): for each fold those of all other folds, and last those of all rows.
 
-    Document counts per class with smoothed odds; near copies with the same longest words count once per task.
+    Document counts per class with smoothed odds; every term whose odds reach ``LEAST_ODDS`` in ``LEAST_DOCS`` documents is taken, so
+    their number is bounded by the sample alone.
     """
 
     def run(batches):
-        leaders, total, seen = set(), defaultdict(Counter), Counter()
+        total, seen = defaultdict(Counter), Counter()
         for rows, data, offsets in text_pieces(batches, "text"):
             toxic, fold = (rows.column(rows.schema.get_field_index(c)).to_pylist() for c in ("toxic", "fold"))
             for t, y, f in zip(texts_of(data, offsets), toxic, fold, strict=True):
                 words = set(_words(t.decode()))
-                leader = (y, tuple(sorted(words, key=lambda w: (-len(w), w))[:3]))
-                if not words or leader in leaders:
+                if not words:
                     continue
-                leaders.add(leader)
                 total[f, y].update(words)
                 total[f, y].update({f"{w[:k]}*" for w in words for k in STEMS if len(w) >= k})
                 seen[f, y] += 1
@@ -238,8 +246,7 @@ def learn_terms(sample: DataFrame, folds: int = FOLDS) -> list[Terms]:
             .groupBy("term")
             .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
             .filter((F.col("toxic") >= LEAST_DOCS) & (odds >= LEAST_ODDS))
-            .orderBy(F.desc("toxic"), "term")
-            .limit(MOST_TERMS)
+            .select("term")
             .collect()
         )
         terms = [r["term"] for r in picked]
@@ -252,6 +259,34 @@ def learn_terms(sample: DataFrame, folds: int = FOLDS) -> list[Terms]:
     return found
 
 
+def copy_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The smallest hash of the runs of ``COPY_WORDS`` lower-cased words of each text, of all its words if they are fewer.
+
+    Two texts have the same one as likely as the share of such runs that they have in common, whatever they have in one place.
+    """
+    lower = LOWER[data]
+    starts, ends, first = words(lower, offsets)
+    hashes = run_hashes(lower, starts, ends)
+    n, most = np.diff(first), len(hashes)
+    prefix, at = _COPIES.prefix(hashes), np.arange(most)
+    last = np.repeat(first[1:], n)
+    short = np.repeat(n, n) < COPY_WORDS
+    runs = _COPIES.ranges(prefix, np.where(short, np.repeat(first[:-1], n), at), np.where(short, last, np.minimum(at + COPY_WORDS, last)))
+    whole = short | (at + COPY_WORDS <= last)
+    out = np.zeros(len(n), np.uint64)
+    filled = np.flatnonzero(n)
+    if len(filled):
+        out[filled] = np.minimum.reduceat(np.where(whole, runs, np.uint64(0xFFFFFFFFFFFFFFFF)), first[filled])
+    return out.view(np.int64)
+
+
+def without_copies(rows: DataFrame) -> DataFrame:
+    """(text, toxic, fold) of one text of each group of likely near copies of a class, the same one however rows fall into tasks."""
+    keyed = append_columns(rows.select("text", "toxic", "fold"), "text", {"copy": "long"}, lambda data, offsets: {"copy": copy_keys(data, offsets)})
+    first = keyed.groupBy("toxic", "copy").agg(F.min(F.struct("fold", "text")).alias("first"))
+    return first.select("first.text", "toxic", "first.fold")
+
+
 def _counted(total: dict[tuple[int, int], Counter]) -> pa.RecordBatch:
     terms = sorted({(f, t) for (f, _), own in total.items() for t in own})
     made = pa.RecordBatch.from_pydict(
@@ -275,19 +310,23 @@ class ToxicityModel:
     trees: GBTClassificationModel | None = None
     calibration: IsotonicRegressionModel | None = None
 
-    def score(self, docs: DataFrame, text: str = "text", keep_text: bool = True) -> DataFrame:
-        """``docs`` with ``tox_score``, 0 to 1."""
+    def score(self, docs: DataFrame, text: str = "text", keep_text: bool = True, name: str = "tox_score") -> DataFrame:
+        """``docs`` with ``name``, 0 to 1; a column of that name is replaced, all others stay, whatever they are called."""
         if self.trees is None:
             out = docs if keep_text else docs.drop(text)
-            return out.withColumn("tox_score", F.lit(float(self.share)))
-        made = with_features(docs, self.terms, text, keep_text)
-        kept = [c for c in made.columns if c not in ("tox_features", "tox_score")]
-        margin = self.trees.transform(made.withColumn("_tox_vector", array_to_vector("tox_features"))).withColumn(
-            "_tox_margin", vector_to_array("_tox_raw")[1]
+            return out.withColumn(name, F.lit(float(self.share)))
+        features, vector, raw, probability, class_, margin, calibrated = free_names(
+            docs, "features", "vector", "raw", "probability", "class", "margin", "calibrated"
         )
-        scored = self.calibration.transform(margin)
-        score = F.least(F.greatest(F.col("_tox_calibrated"), F.lit(0.0)), F.lit(1.0))
-        return scored.select(*[F.col(f"`{c}`") for c in kept], score.alias("tox_score"))
+        made = with_features(docs, self.terms, text, keep_text, features)
+        kept = [c for c in made.columns if c not in (features, name)]
+        trees = self.trees.copy().setFeaturesCol(vector).setRawPredictionCol(raw)
+        trees = trees.setProbabilityCol(probability).setPredictionCol(class_)
+        scored = trees.transform(made.withColumn(vector, array_to_vector(F.col(f"`{features}`"))))
+        scored = scored.withColumn(margin, vector_to_array(F.col(f"`{raw}`"))[1])
+        scored = self.calibration.copy().setFeaturesCol(margin).setPredictionCol(calibrated).transform(scored)
+        score = F.least(F.greatest(F.col(f"`{calibrated}`"), F.lit(0.0)), F.lit(1.0))
+        return scored.select(*[F.col(f"`{c}`") for c in kept], score.alias(name))
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE, seed: int = 5) -> ToxicityModel:
@@ -300,7 +339,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, seed: int = 5) -> ToxicityMod
         ),
         "rows",
     )
-    *others, terms = learn_terms(rows.select("text", "toxic", "fold"))
+    *others, terms = learn_terms(without_copies(rows))
     parts = [with_features(rows.filter(F.col("fold") == i), t, keep_text=False) for i, t in enumerate(others)]
     made = work.write(reduce(DataFrame.unionByName, parts), "features").withColumn(
         "_tox_vector", array_to_vector("tox_features")
@@ -345,10 +384,15 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
 
 
 def score_documents(
-    docs: DataFrame, labelled_docs: DataFrame, labels: DataFrame, keep_text: bool = True, sample: int = SAMPLE
+    docs: DataFrame,
+    labelled_docs: DataFrame,
+    labels: DataFrame,
+    keep_text: bool = True,
+    sample: int = SAMPLE,
+    name: str = "tox_score",
 ) -> DataFrame:
-    """``docs`` with ``tox_score``; the model is learned from ``labelled_docs`` and ``labels``."""
-    return fit(training_rows(labelled_docs, labels, sample), sample).score(docs, keep_text=keep_text)
+    """``docs`` with ``name``; the model is learned from ``labelled_docs`` and ``labels``."""
+    return fit(training_rows(labelled_docs, labels, sample), sample).score(docs, keep_text=keep_text, name=name)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

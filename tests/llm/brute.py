@@ -85,8 +85,8 @@ def without_words(docs, window):
     return out
 
 
-def without_lines(docs, window):
-    """{(doc_id, text): (n_lines, n_removed, kept)}; ids must be distinct where texts differ."""
+def without_lines(docs, window, words=5):
+    """{(doc_id, text): (n_lines, n_removed, kept)}; ids must be distinct where texts differ. A line of so many words is a run too."""
     out, seen = {}, set()
     for d, t in sorted(set(docs), key=lambda r: rank(r[0])):
         if t is None:
@@ -98,6 +98,10 @@ def without_lines(docs, window):
             if key in seen:
                 hit[i : i + window] = [True] * window
             seen.add(key)
+        for i, line in enumerate(own):
+            if len(re.findall(r"[^\x20\x09-\x0D]+", line)) >= words:
+                hit[i] |= line in seen
+                seen.add(line)
         out[d, t] = (len(own), sum(hit), "\n".join(x for x, h in zip(own, hit, strict=True) if not h))
     return out
 
