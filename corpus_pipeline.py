@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hemline.llm.common import Workspace, read_table
+from hemline.llm.common import Workspace, free_names, read_table
 from hemline.llm.contamination import drop_contaminated
 from hemline.llm.line_dedup import drop_repeated_lines
 from hemline.llm.pieces import default_model, encode_digests
@@ -24,14 +24,16 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is under the threshold."""
-    scored = score_documents(docs, docs, read_table(spark, sf_dir, "labels"))
-    return scored.filter(F.col("tox_score") < THRESHOLD).select(*docs.columns)
+    score = free_names(docs, "tox_score")[0]
+    scored = score_documents(docs, docs, read_table(spark, sf_dir, "labels"), name=score)
+    return scored.filter(F.col(score) < THRESHOLD).select(*docs.columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without later repeats of runs of lines; ``n_chars`` follows the text."""
-    made = drop_repeated_lines(docs).withColumn("text", F.col("kept_text"))
-    changed = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    n_lines, n_removed, kept = free_names(docs, "n_lines", "n_removed", "kept_text")
+    made = drop_repeated_lines(docs, results=(n_lines, n_removed, kept)).withColumn("text", F.col(kept))
+    changed = F.when(F.col(n_removed) > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return made.withColumn("n_chars", changed).select(*docs.columns)
 
 
