@@ -15,8 +15,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hemline.functions import calendar as cal
+from hemline.operators.order_stats import running_counts
+from hemline.session import written
 
 ITEM_STORE = ["external_code", "retail"]
+MILLION = 1_000_000
 
 
 def sales_for_ledger(silver_sales: DataFrame) -> DataFrame:
@@ -144,6 +147,63 @@ def stock_ledger(sales: DataFrame, restock: DataFrame, calendar: str = "parity")
     return running_balance(matched, F.col("qty") - F.col("sales"), order, "accumulated_inventory")
 
 
+def unit_benefits(orders: DataFrame, key: list[str], value: Column | None = None) -> DataFrame:
+    """(key, benefit, n): how many units of each order have a benefit.
+
+    ``orders`` has one row per ``key`` with ``accumulated_inventory``, ``lo_ci`` and ``hi_ci`` in whole units. A unit lifts the stock by one,
+    up to the upper bound. The chance that it is needed is 1 up to the lower bound and falls evenly to the upper one; its benefit is that
+    chance in millionths, times ``value`` (a whole number), rounded down. Orders without bounds or need have no units.
+    """
+    balance, low, high = (F.col(c).cast("long") for c in ("accumulated_inventory", "lo_ci", "hi_ci"))
+    need = F.greatest(high - balance, F.lit(0))
+    width = F.greatest(high - low, F.lit(1))
+    # Units up to the lower bound are alike: one row for all of them, and one for each unit above.
+    sure = F.least(need, F.greatest(low - balance, F.lit(0)))
+    one = value if value is not None else F.lit(1)
+
+    def benefit(k: Column) -> Column:
+        left = F.least(width, high - balance - k + 1)
+        total = F.lit(MILLION).cast("long") * left * one
+        return ((total - F.pmod(total, width)) / width).cast("long")
+
+    rest = F.when(need > sure, F.transform(F.sequence(sure + 1, need), lambda k: F.struct(benefit(k).alias("benefit"), F.lit(1).cast("long").alias("n"))))
+    first = F.when(sure > 0, F.array(F.struct((F.lit(MILLION).cast("long") * one).cast("long").alias("benefit"), sure.alias("n"))))
+    none = F.array().cast("array<struct<benefit:bigint,n:bigint>>")
+    units = F.concat(F.coalesce(first, none), F.coalesce(rest, none))
+    rows = orders.select(*key, F.explode(units).alias("u")).select(*key, "u.benefit", "u.n")
+    return rows.groupBy(*key, "benefit").agg(F.sum("n").alias("n"))
+
+
+def deal_budget(units: DataFrame, key: list[str], budget: int) -> DataFrame:
+    """(key, granted): the ``budget`` units of highest benefit, equal ones in the order of ``key``.
+
+    ``units`` has (key, benefit, n). Benefits are counted and running sums taken over ranges of them, which gives the benefit at which the
+    budget ends; only the units of that one benefit are then dealt by running sums over ranges of the key. Two numbers reach the driver.
+    """
+    units = written(units.filter("n > 0"), "units")
+    counted = units.groupBy((-F.col("benefit")).alias("order")).agg(F.sum("n").alias("n"))
+    edge = running_counts(counted, [], "order", ["n"]).filter((F.col("cum_n") > budget) & (F.col("cum_n") - F.col("n") <= budget)).first()
+    if edge is None:
+        return units.groupBy(*key).agg(F.sum("n").alias("granted"))
+    limit, left = -edge["order"], budget - (edge["cum_n"] - edge["n"])
+    above = units.filter(F.col("benefit") > limit).select(*key, "n")
+    level = units.filter(F.col("benefit") == limit).select(F.struct(*key).alias("order"), "n")
+    ranked = running_counts(level, [], "order", ["n"])
+    rest = F.least(F.col("n"), F.greatest(F.lit(left) - (F.col("cum_n") - F.col("n")), F.lit(0)))
+    granted = above.unionByName(ranked.select("order.*", rest.alias("n")))
+    return granted.groupBy(*key).agg(F.sum("n").alias("granted")).filter("granted > 0")
+
+
+def reorder_budget(orders: DataFrame, budget: int, key: list[str] | None = None, value: Column | None = None) -> DataFrame:
+    """``orders`` with ``granted``: the units of a delivery budget that go to each, by marginal benefit (see :func:`unit_benefits`).
+
+    The sum of ``granted`` is the budget, or all that is needed if that is less.
+    """
+    key = key or [*ITEM_STORE]
+    granted = deal_budget(unit_benefits(orders, key, value), key, budget)
+    return orders.join(granted, key, "left").withColumn("granted", F.coalesce("granted", F.lit(0).cast("long")))
+
+
 def reorder_plan(ledger: DataFrame, forecast: DataFrame) -> DataFrame:
     """Projected stock after the forecast demand of the same item, store and date.
 

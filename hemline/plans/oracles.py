@@ -395,6 +395,14 @@ oracle("reorder_plan", """SELECT external_code, retail, b.date AS ds, accumulate
   CASE WHEN hi_ci IS NOT NULL THEN greatest(hi_ci - accumulated_inventory, 0) END AS order_qty
   FROM balance_iso b LEFT JOIN (SELECT external_code, retail, ds AS date, forecast, hi_ci FROM rounded) r
   USING (external_code, retail, date)""")
+CTES["last_orders"] = """SELECT external_code, retail, max_by(date, date) AS date, max_by(accumulated_inventory, date) AS b,
+    CAST(max_by(lo_ci, date) AS BIGINT) AS lo, CAST(max_by(hi_ci, date) AS BIGINT) AS hi
+  FROM balance_iso JOIN (SELECT external_code, retail, ds AS date, lo_ci, hi_ci FROM rounded) USING (external_code, retail, date) GROUP BY ALL"""
+CTES["order_units"] = """SELECT *, row_number() OVER (ORDER BY (1000000 * least(greatest(hi - lo, 1), hi - b - k + 1)) // greatest(hi - lo, 1) DESC,
+    external_code, retail, k) AS i FROM (SELECT *, unnest(range(1, greatest(hi - b, 0) + 1)) AS k FROM last_orders)"""
+oracle("reorder_budget", """SELECT external_code, retail, o.date, coalesce(n, 0) AS granted FROM last_orders o LEFT JOIN (
+  SELECT external_code, retail, count(*) AS n FROM order_units WHERE i <= (SELECT count(*) // 10 FROM order_units) GROUP BY ALL) g
+  USING (external_code, retail)""")
 
 # ---- series
 _SIGNALS = [*CUSTOMER, *TREND_NAMES]
@@ -483,6 +491,28 @@ oracle("drift_chi2", """SELECT col AS "column",
   count(*) FILTER (r > 0) - 1 AS dof, CAST(sum(CASE WHEN r = 0 THEN c ELSE 0 END) AS BIGINT) AS unseen
   FROM shares GROUP BY col""")
 oracle("drift_table", 'SELECT "column", method, round(statistic, 6) AS statistic, drifted FROM drift_found')
+oracle("drift_auto", 'SELECT "column", method, round(statistic, 6) AS statistic, drifted FROM drift_found')
+# The 95 % points of the three tests.
+oracle("drift_small", """WITH a AS (SELECT CAST(s_acctbal AS DOUBLE) AS b, s_nationkey AS k, 1 AS r, 0 AS c FROM supplier
+    UNION ALL SELECT CAST(c_acctbal AS DOUBLE), c_nationkey, 0, 1 FROM customer),
+  t AS (SELECT CAST(sum(r) AS DOUBLE) AS n, CAST(sum(c) AS DOUBLE) AS m FROM a),
+  ks AS (SELECT max(abs(x / n - y / m)) AS s FROM (SELECT sum(sum(r)) OVER (ORDER BY b) AS x, sum(sum(c)) OVER (ORDER BY b) AS y
+    FROM a GROUP BY b), t),
+  chi AS (SELECT sum(pow(c - r * m / n, 2) / (r * m / n)) FILTER (r > 0) AS s, count(*) FILTER (r > 0) - 1 AS dof,
+    coalesce(sum(c) FILTER (r = 0), 0) AS unseen FROM (SELECT k, sum(r) AS r, sum(c) AS c FROM a GROUP BY k), t),
+  z AS (SELECT abs(p - q) / sqrt((p * n + q * m) / (n + m) * (1 - (p * n + q * m) / (n + m)) * (1 / n + 1 / m)) AS s
+    FROM (SELECT sum(r) FILTER (b < 0) / n AS p, sum(c) FILTER (b < 0) / m AS q, n, m FROM a, t GROUP BY n, m))
+SELECT 'balance' AS "column", 'kolmogorov_smirnov' AS method, round(s, 6) AS statistic, s > 1.3581 * sqrt((n + m) / (n * m)) AS drifted FROM ks, t
+UNION ALL SELECT 'nation', 'chi_square', round(s, 6), unseen > 0 OR s > dof * pow(1 - 2 / (9.0 * dof) + 1.6448536 * sqrt(2 / (9.0 * dof)), 3) FROM chi
+UNION ALL SELECT 'debt', 'share', round(s, 6), s > 1.959964 FROM z""")
+_SIDES = ", ".join(f"""count({{c}}) FILTER ({w}) AS n_{s}, count(*) FILTER ({w}) - count({{c}}) FILTER ({w}) AS nulls_{s}"""
+    for s, w in (("ref", "release_year < 2000"), ("cur", "release_year >= 2000")))
+_MEANS = ", ".join(f"round(avg(CAST({{c}} AS DOUBLE)) FILTER ({w}), 4) AS mean_{s}" for s, w in (("ref", "release_year < 2000"), ("cur", "release_year >= 2000")))
+oracle("profile_drift", " UNION ALL ".join(
+    [f"""SELECT '{c}' AS "column", 'kolmogorov_smirnov' AS method, {_SIDES.format(c=c)}, true AS near, {_MEANS.format(c=c)} FROM features"""
+     for c in (*CUSTOMER, "price", "discount", "retail")]
+    + [f"""SELECT '{c}' AS "column", 'jensen_shannon' AS method, {_SIDES.format(c=c)}, true AS near, NULL AS mean_ref, NULL AS mean_cur FROM features"""
+       for c in ("category", "color", "fabric", "season_category")]))
 oracle("drift_share", """SELECT count(*) AS n_columns, count(*) FILTER (drifted) AS n_drifted,
   round(avg(CAST(drifted AS INTEGER)), 6) AS drift_share FROM drift_found""")
 oracle("missing_by_column", """SELECT "column", n_rows, n_missing, round(missing_share, 6) AS missing_share FROM missing""")

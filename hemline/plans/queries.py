@@ -27,6 +27,7 @@ from hemline.operators import (
     inventory,
     joins,
     metrics,
+    profiles,
     quality,
     reshape,
     runs,
@@ -503,6 +504,18 @@ def reorder_plan(spark: SparkSession, d: str) -> DataFrame:
     return inventory.reorder_plan(inventory_balance_iso(spark, d), scored)
 
 
+@query
+def reorder_budget(spark: SparkSession, d: str) -> DataFrame:
+    """A tenth of the units that the last orders of all series need, dealt by marginal benefit."""
+    bounds = conformal.rounded_forecast(calibrated(spark, d)).select(*ITEM_STORE, F.col("ds").alias("date"), "lo_ci", "hi_ci")
+    known = inventory_balance_iso(spark, d).join(bounds, [*ITEM_STORE, "date"])
+    last = known.groupBy(*ITEM_STORE).agg(F.max(F.struct("date", "accumulated_inventory", "lo_ci", "hi_ci")).alias("o"))
+    orders = written(last.select(*ITEM_STORE, "o.*"), "orders")
+    need = F.sum(F.greatest(F.col("hi_ci").cast("long") - F.col("accumulated_inventory"), F.lit(0)))
+    budget = (orders.agg(need.alias("n")).first()["n"] or 0) // 10
+    return inventory.reorder_budget(orders, budget).select(*ITEM_STORE, "date", "granted")
+
+
 # ---- series --------------------------------------------------------------------------------------
 
 
@@ -799,6 +812,46 @@ def _drift(reference: DataFrame, current: DataFrame) -> DataFrame:
     return drift.drift_table(reference, current, NUMERIC, CATEGORICAL)
 
 
+@query
+def drift_auto(spark: SparkSession, d: str) -> DataFrame:
+    """Drift by the method that fits each column's type, values and size."""
+    found = drift.drift_auto(*reference_and_current(spark, d), NUMERIC, CATEGORICAL)
+    return rounded(found.select("column", "method", "statistic", "drifted"), "statistic")
+
+
+@query
+def drift_small(spark: SparkSession, d: str) -> DataFrame:
+    """Accounts of suppliers against those of customers: a number, a category, and one of two values."""
+    def accounts(name: str, p: str) -> DataFrame:
+        balance = F.col(f"{p}_acctbal").cast("double")
+        return views.table(spark, d, name).select(
+            balance.alias("balance"), F.col(f"{p}_nationkey").cast("string").alias("nation"), (balance < 0).cast("string").alias("debt")
+        )
+
+    found = drift.drift_auto(accounts("supplier", "s"), accounts("customer", "c"), ["balance"], ["nation", "debt"])
+    return rounded(found.select("column", "method", "statistic", "drifted"), "statistic")
+
+
+@query
+def profile_drift(spark: SparkSession, d: str) -> DataFrame:
+    """Drift against stored profiles, one per month, merged without the rows; beside the exact statistics."""
+    frame = written(monitored(spark, d), "monitored")
+    stored = written(profiles.profiles(frame, ["release_year"], NUMERIC, CATEGORICAL), "profiles")
+    older = F.col("release_year") < SPLIT_YEAR
+    reference, current = (profiles.merged(stored.filter(side)) for side in (older, ~older))
+    found = profiles.compared(reference, current)
+    exact = written(
+        drift.drift_ks(frame.filter(older), frame.filter(~older), NUMERIC)
+        .select("column", "statistic")
+        .unionByName(drift.drift_js(frame.filter(older), frame.filter(~older), CATEGORICAL).select("column", "statistic")),
+        "exact",
+    )
+    near = F.abs(F.col("statistic") - F.col("exact")) <= F.col("bound")
+    return found.join(exact.withColumnRenamed("statistic", "exact"), "column").select(
+        "column", "method", "n_ref", "n_cur", "nulls_ref", "nulls_cur", near.alias("near"), rounded_mean("mean_ref"), rounded_mean("mean_cur")
+    )
+
+
 @query
 def stability_suite(spark: SparkSession, d: str) -> DataFrame:
     reference, current = reference_and_current(spark, d)
@@ -861,6 +914,10 @@ def image_embeddings(spark: SparkSession, d: str) -> DataFrame:
     return rounded(reshape.embedding_columns(out, ["img_path"], 4), *EMBED_COLUMNS[:4])
 
 
+def rounded_mean(c: str) -> Column:
+    return F.round(c, 4).alias(c)
+
+
 @dataclass
 class Trial:
     """A model with the rows it was trained on, calibrated on and is to forecast."""
