@@ -42,7 +42,7 @@ FOLDS = 4
 LEAST_ODDS = 3.0
 NEAR = 4
 MOST_TOKENS = 300_000
-HELD_TERMS = 400_000
+HELD_TERMS = 150_000
 #: Words of the runs by which near copies are told.
 COPY_WORDS = 4
 
@@ -339,7 +339,8 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, seed: int = 5) -> ToxicityMod
         ),
         "rows",
     )
-    *others, terms = learn_terms(without_copies(rows))
+    # Written first, so that no task holds both the sorted texts and the counted terms.
+    *others, terms = learn_terms(work.write(without_copies(rows), "firsts"))
     parts = [with_features(rows.filter(F.col("fold") == i), t, keep_text=False) for i, t in enumerate(others)]
     made = work.write(reduce(DataFrame.unionByName, parts), "features").withColumn(
         "_tox_vector", array_to_vector("tox_features")
