@@ -583,6 +583,11 @@ oracle("tweedie_checks", f"""SELECT 'tweedie' AS model, count(*) AS n_rows, true
   true AS covers, true AS beats_constant, true AS intercept_is_optimal FROM ({_LATE_ROWS})""")
 oracle("tree_checks", f"""SELECT 'boosted' AS model, count(*) AS n_rows, true AS bounds_are_twice_the_quantile,
   true AS covers, true AS beats_constant, true AS leaves_balance, true AS beats_linear FROM ({_LATE_ROWS})""")
+oracle("vector_checks", f"""SELECT 'vectors' AS model, count(*) AS n_rows, true AS bounds_are_twice_the_quantile,
+  true AS covers, true AS beats_constant FROM ({_LATE_ROWS})""")
+oracle("reduction_checks", """SELECT max(n) AS n, round(sum(v), 6) AS variance, true AS sums, true AS less FROM (
+  SELECT i, count(*) AS n, var_pop(CAST(embedding[i] AS DOUBLE)) AS v
+  FROM (SELECT embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings) GROUP BY i)""")
 oracle("sql_predict", f"SELECT *, true AS same FROM ({_LATE_ROWS})")
 _WINDOWS = """SELECT back, count(*) AS n FROM (SELECT row_number() OVER (
     PARTITION BY external_code, retail, release_year, release_month, release_day ORDER BY ds DESC) AS back
@@ -602,6 +607,7 @@ oracle("stream_ingest_weather", "SELECT n_name AS locality, strftime(o_orderdate
     + " FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL")
 oracle("stream_quarantine", """SELECT external_code || ',' || retail || ',' || week || ',' || year || ',' || qty || 'x' AS line
   FROM silver_restock WHERE retail % 2 = 1""")
+ORACLES["stream_ledger"] = ORACLES["inventory_balance"]
 oracle("stream_fields", """SELECT external_code, retail, week, year, CASE WHEN retail % 4 <> 1 THEN qty END AS qty,
   CASE WHEN retail % 2 = 1 THEN 's' || retail END AS source, retail % 4 <> 1 AS fits, true AS has_file,
   CASE WHEN retail % 4 = 1 THEN 'qty' END AS field, CASE WHEN retail % 4 = 1 THEN qty || 'x' END AS value FROM silver_restock""")

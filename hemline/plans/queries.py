@@ -29,6 +29,7 @@ from hemline.operators import (
     metrics,
     profiles,
     quality,
+    reduction,
     reshape,
     runs,
     series,
@@ -38,6 +39,7 @@ from hemline.plans import gold
 from hemline.session import fresh_path, written
 from hemline.sources import binary_files, fields, files, schemas, views
 from hemline.streaming import jobs, sinks
+from hemline.streaming import ledger as live
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,6 +54,7 @@ SPLIT_YEAR = 2000
 # Coverage that unused rows must reach where 0.85 is asked for, and the trees of the two queries that are about other things.
 COVERED = 0.8
 PREDICT_TREES = 20
+DIRECTIONS = 8
 BACKTEST_TREES = 20
 
 
@@ -928,15 +931,25 @@ class Trial:
     late: DataFrame
 
 
-def _trial(spark: SparkSession, d: str, kind: str, params: dict | None = None) -> Trial:
-    """Train on the older releases, calibrate on the year before the split, forecast the later ones."""
+def _trial(
+    spark: SparkSession, d: str, kind: str, params: dict | None = None, vectors: DataFrame | None = None
+) -> Trial:
+    """Train on the older releases, calibrate on the year before the split, forecast the later ones.
+
+    ``vectors`` (img_path, embed) are reduced and joined as inputs.
+    """
     numeric = forecast.numeric_columns(TRENDS)
-    needed = [*series.SERIES, "unique_id", "ds", "y0", *numeric, *CATEGORICAL]
+    needed = [*series.SERIES, "unique_id", "ds", "y0", *numeric, *CATEGORICAL, *(["img_path"] if vectors is not None else [])]
     rows = forecast.model_frame(features(spark, d), TRENDS, steps="unique").select(*dict.fromkeys(needed))
+    if vectors is not None:
+        reduced = reduction.fit_reduction(vectors, "embed", DIRECTIONS).transform(vectors, "embed")
+        none = F.array(*[F.lit(0.0)] * DIRECTIONS)
+        rows = joins.with_embedding(rows, reduced).withColumn("embed", F.coalesce("embed", none))
     frame = written(rows, "model-frame")
     year = F.col("release_year")
     old, held_out = frame.filter(year < SPLIT_YEAR - 1), frame.filter(year == SPLIT_YEAR - 1)
-    return Trial(forecast.train(old, numeric, kind, params), old, held_out, frame.filter(year >= SPLIT_YEAR))
+    model = forecast.train(old, numeric, kind, params, embed="embed" if vectors is not None else None)
+    return Trial(model, old, held_out, frame.filter(year >= SPLIT_YEAR))
 
 
 def _trained(spark: SparkSession, d: str, kind: str, params: dict | None = None) -> DataFrame:
@@ -1030,6 +1043,25 @@ def tree_backtest(spark: SparkSession, d: str) -> DataFrame:
     return _backtest(spark, d, "boosted", trials)
 
 
+@query
+def reduction_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Variance of the vectors, and whether what eight directions leave of it is what they leave of the vectors."""
+    vectors = views.table(spark, d, "embeddings")
+    made = reduction.fit_reduction(vectors, "embedding", DIRECTIONS)
+    left, total = made.residual(vectors, "embedding"), float(made.variances.sum())
+    sums = bool(abs(left - made.variances[DIRECTIONS:].sum()) <= 1e-9 * total)
+    return spark.createDataFrame([(made.rows, round(total, 6), sums, left < total)], "n long, variance double, sums boolean, less boolean")
+
+
+@query
+def vector_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Checks of a forecast that gets the image vectors, reduced to their leading directions, as inputs."""
+    vectors = views.release_embeddings(spark, d, written(views.wide_sales(spark, d), "sales-feed"))
+    trial = _trial(spark, d, "tweedie", vectors=written(vectors, "release-vectors"))
+    assert trial.model.preparation.embed == "embed"
+    return _checks(trial, "vectors")
+
+
 @query
 def forecast_stored(spark: SparkSession, d: str) -> DataFrame:
     """The forecast table saved as a table, and its rows that have a forecast within its bounds."""
@@ -1134,6 +1166,21 @@ def stream_ingest_weather(spark: SparkSession, d: str) -> DataFrame:
     return rounded(spark.read.parquet(f"{base}/bronze").drop(silver.RESCUED), *schemas.WEATHER_MEASURES)
 
 
+@query
+def stream_ledger(spark: SparkSession, d: str) -> DataFrame:
+    """The ledger kept live over three rounds of files; the last one brings the restock events of earlier weeks."""
+    base = fresh_path(spark, "live-ledger")
+    sales, restock = views.weekly_sales(spark, d), views.weekly_restock(spark, d)
+    half = F.pmod(F.col("week"), F.lit(2)) == 0
+    empty = F.lit(False)
+    for sold, events in ((half, empty), (~half, half), (empty, ~half)):
+        sales.filter(sold).write.mode("append").parquet(f"{base}/sales")
+        restock.filter(events).write.mode("append").parquet(f"{base}/restock")
+        streams = [jobs.stream_files(spark, f"{base}/{name}") for name in ("sales", "restock")]
+        live.run_live_ledger(*streams, f"{base}/balances", f"{base}/state")
+    return live.newest(sinks.read_merged(spark, f"{base}/balances"))
+
+
 @query
 def stream_fields(spark: SparkSession, d: str) -> DataFrame:
     """Restock files in two rounds. The later ones have their columns in another order and one more, and some quantities that are no
