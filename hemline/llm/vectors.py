@@ -81,6 +81,7 @@ def _links(tasks: DataFrame, threshold: float, bits: int, n_tables: int) -> Data
             node, copies = table.column("node").to_numpy(), table.column("copies").to_numpy()
             t, side = table.column("t").to_numpy(), table.column("side").to_numpy()
             sizes = table.column("size").to_numpy()
+            blocks, blocks_b = (table.column(c).to_numpy() for c in ("task_a", "task_b"))
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(task)) + 1, [len(task)]]).tolist()
             for low, high in zip(cuts, cuts[1:], strict=False):
                 own = table.slice(low, high - low)
@@ -91,7 +92,7 @@ def _links(tasks: DataFrame, threshold: float, bits: int, n_tables: int) -> Data
                 s, linked, a, b = side[low:high], np.zeros(high - low, np.int64), [], []
                 x = x / np.abs(x).max(axis=1, keepdims=True)
                 x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
-                two_blocks = s.min() != s.max()
+                two_blocks = blocks[low] != blocks_b[low]
                 for at in range(0, high - low, BLOCK):
                     i, j = np.nonzero(x[at : at + BLOCK] @ x.T >= threshold)
                     i = i + at
@@ -138,7 +139,7 @@ def near_vectors(
         able.groupBy("vector")
         .agg(F.min("vec_id").alias("low"), F.count("*").alias("copies"))
         .select(
-            F.coalesce("low", F.xxhash64("vector")).alias("node"),
+            F.xxhash64("vector").alias("node"),
             "low",
             "copies",
             F.size("vector").alias("size"),
