@@ -3,15 +3,16 @@ them.
 
 For each template length, windows of that length start every quarter of it. The bands are set so that a window
 at the least favourable place over a text that just passes the check shares a band with its template with
-probability ``RECALL``. A window shares a band only if it holds a shingle of some template, so others are not
-hashed; that loses nothing. A retrieved template matches if at least ``SIMILARITY`` of its distinct shingles
+probability ``RECALL``. Only windows are hashed that could pass the check at all: the places of shingles of a length's templates, in the
+window and the stride around it, are as many as the check asks for; that loses nothing. A window is worked out once per text piece
+whatever often its words come again. A retrieved template matches if at least ``SIMILARITY`` of its distinct shingles
 are, word for word, in the window and the stride around it. Matches of one template that overlap are one
 occurrence.
 
 Words are runs of digits, letters (A-Z in lower case) and characters beyond ASCII; shingles have five words,
 or all words of a template with fewer. Null and empty texts match nothing, and templates without words are
 ignored. Repeated rows repeat their result. Templates are few (at most ``MOST_TEMPLATES``) and go to the
-executors inside the task.
+executors inside the task. Those of the package are the notices below and the whole licenses in ``license_texts``.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -57,11 +59,21 @@ TEMPLATES = {
     "granted, provided that the above copyright notice and this permission notice appear in all copies.",
 }
 
+TEXTS = Path(__file__).parent / "license_texts"
+
 _LOWER = np.frombuffer(LOWER_ASCII, np.uint8)
 _INSIDE = np.array([b >= 0x80 or chr(b).isascii() and chr(b).isalnum() for b in range(256)])
 _SHINGLES = Rolling(31)
 
 
+def known_templates() -> dict[str, str]:
+    """The notices, and the files of ``license_texts`` under their names; a whole license is ``<name>-text`` where a notice has its name."""
+    made = dict(TEMPLATES)
+    for path in sorted(TEXTS.glob("*.txt")):
+        made[f"{path.stem}-text" if path.stem in made else path.stem] = path.read_text(encoding="utf-8")
+    return made
+
+
 @dataclass(frozen=True)
 class Template:
     name: str
@@ -118,11 +130,9 @@ class Library:
             for i, t in enumerate(own):
                 for key in self.keys(np.array(sorted(t.shingles), np.uint64), multipliers):
                     table[key].add(i)
-            self.classes.append((n, k, stride, multipliers, dict(table), own))
-        self.indexes = {
-            k: Index(np.unique(np.array([h for _, q, *_, own in self.classes if q == k for t in own for h in t.shingles], np.uint64)))
-            for k in {c[1] for c in self.classes}
-        }
+            index = Index(np.unique(np.array([h for t in own for h in t.shingles], np.uint64)))
+            least = min(math.ceil(similarity * len(t.words) - 1e-9) for t in own)
+            self.classes.append((n, k, stride, multipliers, dict(table), own, index, least))
 
     @staticmethod
     def keys(shingles: np.ndarray, multipliers: np.ndarray) -> list[tuple]:
@@ -134,35 +144,61 @@ class Library:
         lowered, starts, ends, first, tokens = _hashed(data, offsets)
         found = [defaultdict(list) for _ in range(len(first) - 1)]
         text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        hashes = {k: _shingle_hashes(tokens, k) for k in self.indexes}
-        spots = {}
-        for k, index in self.indexes.items():
-            at = np.flatnonzero(index.find(hashes[k]) >= 0)
-            spots[k] = at[text[at] == text[at + k - 1]]
-        for n, k, stride, multipliers, table, own in self.classes:
+        hashes = {k: _shingle_hashes(tokens, k) for k in {c[1] for c in self.classes}}
+        prefix = _SHINGLES.prefix(tokens)
+        for n, k, stride, multipliers, table, own, index, least in self.classes:
             m = n - k + 1
-            windows = set()
-            for p in spots[k].tolist():
-                d = int(text[p])
-                local = p - int(first[d])
-                for j in range(max(0, -(-(local - m + 1) // stride)), local // stride + 1):
-                    windows.add((d, j * stride))
-            for d, at in windows:
-                low, high = int(first[d]), int(first[d + 1])
-                a, b = low + at, min(low + at + m, high - k + 1)
-                picked = {i for key in self.keys(np.unique(hashes[k][a:b]), multipliers) for i in table.get(key, ())}
-                if picked:
-                    a, b = max(low, a - stride), min(b + stride, high - k + 1)
-                    words = [lowered[x:y].tobytes() for x, y in zip(starts[a : b + k - 1], ends[a : b + k - 1], strict=True)]
-                    here = [tuple(words[i : i + k]) for i in range(b - a)]
-                    for i in picked:
-                        hits = [p for p, s in enumerate(here) if s in own[i].words]
-                        share = len({here[p] for p in hits}) / len(own[i].words)
-                        if share >= self.similarity:
-                            found[d][own[i].name].append((a - low + hits[0], a - low + hits[-1] + k, share))
+            hit = index.find(hashes[k]) >= 0
+            hit &= text[: len(hit)] == text[k - 1 :][: len(hit)]
+            seen: dict[tuple[int, int], list] = {}
+            for d, a, b, low, high in _windows(hit, text, first, m, k, stride, least):
+                wide_a, wide_b = max(low, a - stride), min(b + stride, high - k + 1)
+                # Equal words around equal windows give equal results.
+                ends_at = np.array([wide_b + k - 1])
+                content = (int(_SHINGLES.ranges(prefix, np.array([wide_a]), ends_at)[0]), a - wide_a, b - wide_a, wide_b - wide_a)
+                if content not in seen:
+                    picked = {i for key in self.keys(np.unique(hashes[k][a:b]), multipliers) for i in table.get(key, ())}
+                    seen[content] = self._verified(picked, own, lowered, starts, ends, wide_a, wide_b, k)
+                for name, begin, end, share in seen[content]:
+                    found[d][name].append((wide_a - low + begin, wide_a - low + end, share))
         return [sorted(_merged(x), key=lambda r: (r[1], r[2], r[0])) for x in found]
 
 
+    def _verified(self, picked, own, lowered, starts, ends, a: int, b: int, k: int) -> list[tuple[str, int, int, float]]:
+        """(name, first word, one beyond the last, containment) of the picked templates, by words from a."""
+        if not picked:
+            return []
+        words = [lowered[x:y].tobytes() for x, y in zip(starts[a : b + k - 1], ends[a : b + k - 1], strict=True)]
+        here = [tuple(words[i : i + k]) for i in range(b - a)]
+        out = []
+        for i in sorted(picked):
+            hits = [p for p, s in enumerate(here) if s in own[i].words]
+            share = len({here[p] for p in hits}) / len(own[i].words)
+            if share >= self.similarity:
+                out.append((own[i].name, hits[0], hits[-1] + k, share))
+        return out
+
+
+def _windows(hit: np.ndarray, text: np.ndarray, first: np.ndarray, m: int, k: int, stride: int, least: int):
+    """(text, first and end shingle, the text's first and end word) of the windows that hold a hit and, with the stride on both sides,
+    ``least`` hits."""
+    at = np.flatnonzero(hit)
+    if not len(at):
+        return
+    local = at - first[text[at]]
+    j_low, j_high = np.maximum(0, -(-(local - m + 1) // stride)), local // stride
+    span = j_high - j_low + 1
+    j = np.repeat(j_low - np.cumsum(span) + span, span) + np.arange(span.sum())
+    pairs = np.unique(np.stack([np.repeat(text[at], span), j]), axis=1)
+    low, high = first[pairs[0]], first[pairs[0] + 1]
+    a = low + pairs[1] * stride
+    b = np.minimum(a + m, high - k + 1)
+    total = np.concatenate([[0], np.cumsum(hit)])
+    around = total[np.minimum(b + stride, high - k + 1)] - total[np.maximum(low, a - stride)]
+    for w in np.flatnonzero((around >= least) & (a < b)).tolist():
+        yield int(pairs[0][w]), int(a[w]), int(b[w]), int(low[w]), int(high[w])
+
+
 def _merged(found: dict[str, list[tuple[int, int, float]]]) -> list[tuple[str, int, int, float]]:
     """Occurrences of a template that share words are one."""
     out = []
@@ -188,7 +224,7 @@ def scan_licenses(
 
     A span is name:first:end in words, end exclusive, by first word. One pass, no shuffle.
     """
-    library = Library(TEMPLATES if templates is None else templates, size, similarity, recall)
+    library = Library(known_templates() if templates is None else templates, size, similarity, recall)
 
     def make(data, offsets):
         found = library.find(data, offsets)
