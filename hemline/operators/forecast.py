@@ -16,6 +16,7 @@ import random
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -60,6 +61,9 @@ EARLY_STOP_GAIN = 0.001
 N_WINDOWS = 10
 N_TRIALS = 5
 
+# Draws of which a led search takes one.
+CANDIDATES = 24
+
 # Rows that the mean target of a label is pulled to the overall mean by.
 PRIOR_ROWS = 20
 
@@ -439,6 +443,49 @@ def sample_params(space: dict, n_trials: int, seed: int = SEED) -> list[dict]:
     return [{name: draw(*limits) for name, limits in space.items()} for _ in range(n_trials)]
 
 
+def _unit(value, low: float, high: float, kind: str) -> float:
+    """A parameter's place in its range, 0 to 1."""
+    if kind == "log":
+        value, low, high = math.log(value), math.log(low), math.log(high)
+    return (float(value) - low) / (high - low) if high > low else 0.0
+
+
+def _from_unit(place: float, low: float, high: float, kind: str):
+    if kind == "log":
+        return math.exp(math.log(low) + place * (math.log(high) - math.log(low)))
+    value = low + place * (high - low)
+    if kind in ("int", "flag"):
+        return bool(round(value)) if kind == "flag" else round(value)
+    return value
+
+
+def proposed_params(space: dict, tried: list[tuple[dict, float]], n_trials: int, seed: int = SEED) -> list[dict]:
+    """Draws led by earlier trials (params, score): each parameter comes from around the better trials' values, and of some draws the one
+    is taken that is likeliest there against all others. Scores that are missing count as worst."""
+    rng = random.Random(f"{seed}-{len(tried)}")
+    order = sorted(tried, key=lambda t: (t[1] is None or math.isnan(t[1]), t[1] or 0.0))
+    n_good = max(2, math.ceil(len(order) / 4))
+    good, bad = order[:n_good], order[n_good:]
+    if len(order) < 4:
+        return sample_params(space, n_trials, rng.randrange(1 << 30))
+
+    def density(place: float, near: list[float], width: float) -> float:
+        peaks = sum(math.exp(-((place - c) ** 2) / (2 * width * width)) / (width * math.sqrt(2 * math.pi)) for c in near)
+        return (peaks + 1.0) / (len(near) + 1)
+
+    made = []
+    for _ in range(n_trials):
+        trial = {}
+        for name, limits in space.items():
+            ups, downs = ([_unit(p[name], *limits) for p, _ in side] for side in (good, bad))
+            width = max(0.05, 0.5 / len(ups))
+            draws = [min(1.0, max(0.0, rng.gauss(rng.choice(ups), width))) for _ in range(CANDIDATES)]
+            best = max(draws, key=lambda u: density(u, ups, width) / density(u, downs, width))
+            trial[name] = _from_unit(best, *limits)
+        made.append(trial)
+    return made
+
+
 def search(
     frame: DataFrame,
     numeric: list[str],
@@ -449,13 +496,29 @@ def search(
     metric: Callable[[str, str], Column] = root_mean_square,
     key: series.Key = series.SERIES,
     patience: int | None = None,
+    rounds: int = 1,
     *,
     steps: str,
 ) -> DataFrame:
-    """Mean score per trial, best first; a trial that was stopped early has fewer windows."""
+    """Mean score per trial, best first; a trial that was stopped early has fewer windows.
+
+    The trials come in ``rounds``: those of the first are seeded draws, those of later ones are led by the scores so far (see
+    :func:`proposed_params`). The trials of a round are fitted together where the kind allows it.
+    """
     space = space or {"tweedie": TWEEDIE_SPACE, "boosted": BOOSTED_SPACE, "tree": TREE_SPACE}[kind]
-    trials = sample_params(space, n_trials)
-    scores = rolling_origin(frame, numeric, trials, n_windows, kind, metric, key, patience, steps=steps)
+    tried: list[tuple[dict, float]] = []
+    parts = []
+    for i in range(rounds):
+        n = n_trials * (i + 1) // rounds - n_trials * i // rounds
+        trials = proposed_params(space, tried, n) if tried else sample_params(space, n)
+        found = rolling_origin(frame, numeric, trials, n_windows, kind, metric, key, patience, steps=steps)
+        if rounds > 1:
+            means = {r["trial"]: r["score"] for r in found.groupBy("trial").agg(F.avg("score").alias("score")).collect()}
+            parts.append(found.withColumn("trial", F.col("trial") + len(tried)))
+            tried += [(t, means.get(k)) for k, t in enumerate(trials)]
+        else:
+            parts.append(found)
+    scores = reduce(DataFrame.unionByName, parts)
     return (
         scores.groupBy("trial")
         .agg(

@@ -30,6 +30,13 @@ QUICK = [
     "drift_table",
     "stability_suite",
     "image_headers",
+    "image_faults",
+    "verified_images",
+    "stream_ingest_clothes",
+    "stream_fields",
+    "drift_small",
+    "reorder_budget",
+    "reduction_checks",
     "stream_ingest_customer",
 ]
 
