@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from hemline.functions import calendar as cal
 from hemline.functions import images, text
-from hemline.operators.reshape import N_WEEKS, unpivot_weeks
+from hemline.operators.reshape import N_WEEKS, unpivot_weeks, week_columns
 
 RESCUED = "_rescued_data"
 
@@ -30,9 +30,9 @@ SALES_IDS = [
 PRICE_IDS = ["external_code", "retail", "price"]
 
 
-def silver_sales(bronze: DataFrame, n_weeks: int = N_WEEKS) -> DataFrame:
+def silver_sales(bronze: DataFrame, n_weeks: int = N_WEEKS, more: list[str] | None = None) -> DataFrame:
     """One typed row per release, store and week. The id columns are parsed before the reshape, once
-    per wide row instead of once per week."""
+    per wide row instead of once per week. ``more`` names further columns to keep."""
     wide = bronze.drop(RESCUED).withColumns(
         {
             "retail": cal.text_to_int("retail"),
@@ -52,6 +52,7 @@ def silver_sales(bronze: DataFrame, n_weeks: int = N_WEEKS) -> DataFrame:
         "release_year",
         "release_week_of_year",
         "season_category",
+        *(more or []),
     ]
     week = F.col("week").cast("int")
     return unpivot_weeks(wide, ids, "sales", n_weeks=n_weeks).withColumns(
@@ -73,6 +74,22 @@ def silver_price(bronze: DataFrame, n_weeks: int = N_WEEKS) -> DataFrame:
     )
 
 
+def silver_priced_sales(sales: DataFrame, price: DataFrame, n_weeks: int = N_WEEKS) -> DataFrame:
+    """Silver sales with ``price`` and ``discount``, from both wide feeds.
+
+    Equal to joining the two silver tables by item, store and week, but the rows meet before they are reshaped: what is exchanged is one row
+    per item and store, the discounts of all weeks as an array.
+    """
+    discounts = F.array(*[cal.text_to_float(c) for c in week_columns(n_weeks)])
+    typed = price.select(
+        "external_code", cal.text_to_int("retail").alias("_retail"), cal.text_to_float("price").alias("price"), discounts.alias("_discounts")
+    )
+    same = (sales["external_code"] == typed["external_code"]) & (cal.text_to_int("retail") == F.col("_retail"))
+    wide = sales.join(typed, same, "left").drop(typed["external_code"], "_retail")
+    rows = silver_sales(wide, n_weeks, ["price", "_discounts"])
+    return rows.withColumn("discount", F.get("_discounts", F.col("week"))).drop("_discounts")
+
+
 def silver_customer(bronze: DataFrame) -> DataFrame:
     dated = bronze.drop(RESCUED).withColumns(
         {

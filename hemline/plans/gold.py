@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 
 from hemline.functions import calendar as cal
 from hemline.functions import images, text
-from hemline.operators import inventory, joins
+from hemline.operators import inventory, joins, silver
 from hemline.session import written
 
 
-def sales_rows(silver_sales: DataFrame) -> DataFrame:
-    """Series id, date, target and calendar columns of the feature table."""
+def sales_rows(silver_sales: DataFrame, *more: str) -> DataFrame:
+    """Series id, date, target and calendar columns of the feature table, and the columns ``more``."""
     day = F.col("current_date_of_week")
     return silver_sales.select(
         text.series_id().alias("unique_id"),
@@ -40,9 +40,18 @@ def sales_rows(silver_sales: DataFrame) -> DataFrame:
         "season_category",
         "external_code",
         F.col("image_path").alias("img_path"),
+        *more,
     )
 
 
+def gold_features_of_feeds(
+    sales: DataFrame, price: DataFrame, silver_customer: DataFrame, silver_trends: DataFrame, calendar: str = "parity"
+) -> DataFrame:
+    """:func:`gold_features` from the wide sales and price feeds, whose rows are joined before they are reshaped."""
+    rows = sales_rows(silver.silver_priced_sales(sales, price), "price", "discount")
+    return _with_weeks(rows, silver_customer, silver_trends, calendar)
+
+
 def gold_features(
     silver_sales: DataFrame,
     silver_price: DataFrame,
@@ -56,14 +65,15 @@ def gold_features(
     that cross a month or a year. The statistics are written first: Spark then knows their size and
     decides on a broadcast before it would shuffle the sales for the join.
     """
-    rows = sales_rows(silver_sales)
+    return _with_weeks(joins.with_price(sales_rows(silver_sales), silver_price), silver_customer, silver_trends, calendar)
+
+
+def _with_weeks(priced: DataFrame, silver_customer: DataFrame, silver_trends: DataFrame, calendar: str) -> DataFrame:
+    """Priced sales rows with the two weekly tables."""
     if calendar == "iso":
-        rows = rows.withColumn("week_start", cal.week_start("ds"))
+        priced = priced.withColumn("week_start", cal.week_start("ds"))
     stats = written(joins.customer_week_stats(silver_customer, calendar), "store-weeks")
-    priced = joins.with_price(rows, silver_price)
-    return joins.with_trends(
-        joins.with_customer_stats(priced, stats, calendar), silver_trends, calendar
-    )
+    return joins.with_trends(joins.with_customer_stats(priced, stats, calendar), silver_trends, calendar)
 
 
 def gold_restock(silver_sales: DataFrame, silver_restock: DataFrame) -> DataFrame:

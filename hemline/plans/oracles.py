@@ -453,6 +453,9 @@ oracle("error_by_store", f"SELECT retail, {_ALL_MEASURES} FROM errors GROUP BY r
 oracle("error_by_week", f"SELECT current_week_of_year, {_ALL_MEASURES} FROM errors GROUP BY 1")
 oracle("error_by_category", f"""SELECT category, {_ALL_MEASURES} FROM errors e
   LEFT JOIN item i ON e.external_code = i.brand GROUP BY category""")
+oracle("error_by_dimension", f"""SELECT 'store' AS dimension, CAST(retail AS VARCHAR) AS label, {_ALL_MEASURES} FROM errors GROUP BY retail
+  UNION ALL SELECT 'week', CAST(current_week_of_year AS VARCHAR), {_ALL_MEASURES} FROM errors GROUP BY current_week_of_year
+  UNION ALL SELECT 'category', category, {_ALL_MEASURES} FROM errors e LEFT JOIN item i ON e.external_code = i.brand GROUP BY category""")
 oracle("column_profile", "\nUNION ALL ".join(
     f"""SELECT '{c}' AS "column", CAST(min({c}) AS DOUBLE) AS min_value, CAST(max({c}) AS DOUBLE) AS max_value FROM lineitem"""
     for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber")))

@@ -110,16 +110,18 @@ def store_stats(spark: SparkSession, d: str) -> DataFrame:
 
 
 def features(spark: SparkSession, d: str, calendar: str = "parity") -> DataFrame:
-    sales, price = sales_and_price(spark, d)
-    return gold.gold_features(sales, price, customers(spark, d), trends(spark, d), calendar)
+    """The feature table from both wide feeds, which come from one stored copy of the releases."""
+    released = written(views.releases(spark, d), "releases")
+    feeds = views.wide_sales(spark, d, released), views.wide_price(spark, d, released)
+    return gold.gold_features_of_feeds(*feeds, customers(spark, d), trends(spark, d), calendar)
 
 
 def monitored(spark: SparkSession, d: str) -> DataFrame:
     """The monitored columns of the feature table; the trend join is not needed for them."""
     stats = store_stats(spark, d)
-    sales, price = sales_and_price(spark, d)
-    rows = joins.with_price(gold.sales_rows(sales), price)
-    return joins.with_customer_stats(rows, stats).select(*NUMERIC, *CATEGORICAL, "release_year")
+    released = written(views.releases(spark, d), "releases")
+    both = silver.silver_priced_sales(views.wide_sales(spark, d, released), views.wide_price(spark, d, released))
+    return joins.with_customer_stats(gold.sales_rows(both, "price", "discount"), stats).select(*NUMERIC, *CATEGORICAL, "release_year")
 
 
 def reference_and_current(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -640,6 +642,16 @@ def error_by_category(spark: SparkSession, d: str) -> DataFrame:
     return rounded(out, *[c for c in out.columns if c not in ("category", "n")])
 
 
+@query
+def error_by_dimension(spark: SparkSession, d: str) -> DataFrame:
+    """Forecast error by store, week and category in one pass."""
+    items = views.items(spark, d).select(F.col("brand").alias("external_code"), "category")
+    rows = naive(spark, d).join(items, "external_code", "left")
+    dimensions = {"store": F.col("retail"), "week": F.col("current_week_of_year"), "category": F.col("category")}
+    out = metrics.evaluation_by_dimensions(rows, dimensions)
+    return rounded(out, *[c for c in out.columns if c not in ("dimension", "label", "n")])
+
+
 @query
 def column_profile(spark: SparkSession, d: str) -> DataFrame:
     columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]

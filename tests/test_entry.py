@@ -26,6 +26,7 @@ QUICK = [
     "exog_lags",
     "lag_join",
     "error_by_store",
+    "error_by_dimension",
     "conformal_by_store",
     "drift_table",
     "stability_suite",

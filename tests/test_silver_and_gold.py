@@ -194,3 +194,16 @@ def test_every_sale_is_in_a_week(spark):
     total = wide.selectExpr("sum(qty) AS a", f"sum({' + '.join(f'w{i}' for i in range(12))}) AS b").first()
     sold = views.lines(spark, folder, inflow=False).selectExpr("sum(qty)").first()[0]
     assert total.a == total.b == sold
+
+
+def test_feeds_joined_before_the_reshape_equal_the_joined_silver_tables(spark, wide):
+    prices = [("5198", "100", "9.5", *["0.1"] * 11, None), ("1425", "10", "x", *[str(i / 10) for i in range(12)]), ("9", "1", "1", *["0"] * 12)]
+    names = ["external_code", "retail", "price", *[str(i) for i in range(12)]]
+    price = spark.createDataFrame(prices, ", ".join(f"`{n}` string" for n in names))
+    want = joins.with_price(silver.silver_sales(wide), silver.silver_price(price))
+    got = silver.silver_priced_sales(wide, price)
+    assert sorted(got.columns) == sorted(want.columns)
+    assert got.select(want.columns).exceptAll(want).count() == 0 and got.count() == want.count() > 0
+    assert got.filter("discount IS NOT NULL").count() > 0
+    plan = silver.silver_priced_sales(wide.repartition(3), price.repartition(3))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Expand") == 1
