@@ -90,10 +90,12 @@ class SeriesBalance(StatefulProcessor):
                 figures = [None if x is None else int(x) for x in figures]
                 held[place] = [_least(a, b) for a, b in zip(held.get(place, [None] * 3), figures, strict=True)]
         self._state.update((json.dumps([[list(k), v] for k, v in held.items()]),))
-        made = balances(held, all(k is not None for k in key))
+        series = json.loads(key[0])
+        own = [series.get(c) for c in ITEM_STORE]
+        made = balances(held, None not in own)
         out = pd.DataFrame(made, columns=["week", "year", "date", "sales", "qty", "accumulated_inventory"], dtype=object)
         out["date"] = pd.to_datetime(out["date"]).dt.date
-        out["external_code"], out["retail"], out["row"] = key[0], key[1], 1
+        out["external_code"], out["retail"], out["row"] = *own, 1
         yield out[[c.split()[0] for c in BALANCES.split(", ")]]
 
     def close(self) -> None:
@@ -111,7 +113,9 @@ def live_ledger(sales: DataFrame, restock: DataFrame) -> DataFrame:
     )
     kinds = {"retail": "int", "week": "int", "year": "int", "date": "date", "sales": "long", "restock": "long", "event_qty": "long"}
     rows = sold.unionByName(events).withColumns({c: F.col(c).cast(k) for c, k in kinds.items()})
-    return rows.groupBy(*ITEM_STORE).transformWithStateInPandas(SeriesBalance(), BALANCES, "Update", "None")
+    # One text that is never null names a series: null parts of a grouping key are not told apart by the state.
+    named = rows.withColumn("series", F.to_json(F.struct(*ITEM_STORE))).drop(*ITEM_STORE)
+    return named.groupBy("series").transformWithStateInPandas(SeriesBalance(), BALANCES, "Update", "None")
 
 
 def run_live_ledger(sales: DataFrame, restock: DataFrame, target: str, checkpoint: str, timeout: float | None = None) -> None:

@@ -22,7 +22,7 @@ def series(rnd, code, retail):
         day = dt.date(2019, 12, 2) + dt.timedelta(7 * w)
         for _ in range(rnd.choice([0, 1, 1, 2])):
             week = rnd.choice([w + 40, w + 40, None])
-            sales.append((code, retail, week, rnd.choice([day.year, day.year, None]), rnd.choice([day] * 6 + [None]), rnd.choice([None, 0, 3, 5]), rnd.choice([None, 7, 20])))
+            sales.append((code, retail, week, day.year if week else None, rnd.choice([day] * 6 + [None]), rnd.choice([None, 0, 3, 5]), rnd.choice([None, 7, 20])))
         for _ in range(rnd.choice([0, 0, 1, 2])):
             events.append((code, retail, w + 40, day.year, rnd.choice([None, 1, 4, 9])))
     return sales, events
