@@ -207,3 +207,44 @@ def test_feeds_joined_before_the_reshape_equal_the_joined_silver_tables(spark, w
     assert got.filter("discount IS NOT NULL").count() > 0
     plan = silver.silver_priced_sales(wide.repartition(3), price.repartition(3))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Expand") == 1
+
+
+@pytest.fixture
+def store_feeds(spark, wide):
+    """Wide feeds and customers; two prices of one item and store, an unknown store, a row without a date and one without a store."""
+    names = ["external_code", "retail", "price", *WEEKS]
+    prices = [("5198", "100", "9.5", *["0.1"] * 11, None), ("5198", "100", "9", *["0.3"] * 12), ("1425", "10", "x", *["0.2"] * 12)]
+    price = spark.createDataFrame(prices, ", ".join(f"`{n}` string" for n in names))
+    bought = [("2019-05-07 09:00:00", "100", "4"), ("2019-05-20 09:00:00", "100", None), ("2018-12-31 09:00:00", "10", "2")]
+    bought += [("2018-12-10 09:00:00", "10", "7"), (None, "10", "3"), ("2018-12-10 09:00:00", None, "1")]
+    customer = silver.silver_customer(spark.createDataFrame(bought, schemas.CUSTOMER))
+    return wide.union(spark.createDataFrame([sales_row("8", None)], schemas.SALES)), price, customer
+
+
+@pytest.mark.parametrize("calendar", ["parity", "iso"])
+def test_store_statistics_joined_before_the_reshape_equal_those_joined_after(store_feeds, calendar):
+    sales, price, customer = store_feeds
+    stats = joins.customer_week_stats(customer, calendar)
+    rows = gold.sales_rows(silver.silver_priced_sales(sales, price), "price", "discount")
+    if calendar == "iso":
+        rows = rows.withColumn("week_start", F.date_trunc("week", "ds").cast("date"))
+    want = joins.with_customer_stats(rows, stats, calendar)
+    got = gold.store_rows(sales, price, joins.stats_by_store(stats, calendar), calendar)
+    assert got.columns == want.columns and got.dtypes == want.dtypes
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count() == 60
+    assert got.filter("retail_total_sales_qty IS NOT NULL").count() >= 3
+
+
+def test_rows_of_a_week_are_not_exchanged_for_statistics_or_lags(spark, store_feeds):
+    from hemline.operators import forecast
+
+    sales, price, customer = store_feeds
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        by_store = joins.stats_by_store(joins.customer_week_stats(customer))
+        rows = gold.store_rows(sales.repartition(3), price.repartition(3), by_store.repartition(3))
+        frame = forecast.model_frame(rows, [], steps="unique")
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Window" in plan and "Exchange" not in plan.split("Generate inline")[0], plan
