@@ -248,3 +248,12 @@ def test_rows_of_a_week_are_not_exchanged_for_statistics_or_lags(spark, store_fe
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Window" in plan and "Exchange" not in plan.split("Generate inline")[0], plan
+
+
+def test_id_lists_meet_the_wide_rows(spark):
+    from hemline.plans import queries
+
+    plan = queries.QUERIES["id_list_split"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    sides = plan.split("Expand")
+    assert len(sides) == 3 and "LeftSemi" not in sides[0]
+    assert all(s.count("LeftSemi") == 1 for s in sides[1:]), plan
