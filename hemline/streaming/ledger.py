@@ -5,13 +5,18 @@ date and week with the smallest figures, so it is bounded by the calendar and no
 late, its state takes them in and all its balances are given out again; readers keep the newest ones (:func:`newest`).
 Equal to ``inventory.stock_ledger`` of all rows that have come.
 
+Series are dealt to ``BUCKETS`` by a hash, and a call of the processor takes the new rows of a bucket: its fixed cost, many times that of one
+series' balances, is paid per bucket. The state of a bucket is a map with an entry per series, of which only those with new rows are touched.
+
 Needs Spark's RocksDB state store, whose state survives lost executors in the checkpoint (``state_settings``).
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from collections.abc import Iterator
+from itertools import batched
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +28,10 @@ from hemline.streaming.sinks import BATCH_COLUMN, each_batch, write_batch
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 BALANCES = "external_code string, retail int, week int, year int, date date, sales long, qty long, row int, accumulated_inventory long"
-_EVENTS = ["is_sale", "week", "year", "date", "sales", "restock", "event_qty"]
+BUCKETS = 1024
+#: Series whose balances make one frame.
+SERIES_A_FRAME = 2000
+_EVENTS = ["series", "is_sale", "week", "year", "date", "sales", "restock", "event_qty"]
 
 
 def state_settings(spark: SparkSession) -> None:
@@ -34,6 +42,11 @@ def _least(a, b):
     return b if a is None else a if b is None else min(a, b)
 
 
+def _taken(held: dict[tuple, list], place: tuple, figures: list) -> None:
+    """Takes figures into the reduced rows of a series."""
+    held[place] = [_least(a, b) for a, b in zip(held.get(place, [None] * 3), figures, strict=True)]
+
+
 def _nulls_last(*values) -> tuple:
     return tuple((v is None, v if v is not None else 0) for v in values)
 
@@ -74,29 +87,35 @@ def balances(rows: dict[tuple, list], known_series: bool) -> list[tuple]:
 
 
 class SeriesBalance(StatefulProcessor):
-    """Keeps the reduced rows of one item and store."""
+    """Keeps the reduced rows of the items and stores of a bucket."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._state = handle.getValueState("rows", "rows string")
+        self._state = handle.getMapState("series", "series string", "rows string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = {}
-        if self._state.exists():
-            held = {tuple(k): v for k, v in json.loads(self._state.get()[0])}
+        came: dict[str, dict[tuple, list]] = {}
         for frame in rows:
             plain = frame[_EVENTS].astype(object).where(frame[_EVENTS].notna(), None)
-            for is_sale, week, year, date, *figures in plain.itertuples(index=False):
+            for name, is_sale, week, year, date, *figures in plain.itertuples(index=False):
                 place = (bool(is_sale), *(None if x is None else int(x) for x in (week, year)), None if date is None else str(date)[:10])
-                figures = [None if x is None else int(x) for x in figures]
-                held[place] = [_least(a, b) for a, b in zip(held.get(place, [None] * 3), figures, strict=True)]
-        self._state.update((json.dumps([[list(k), v] for k, v in held.items()]),))
-        series = json.loads(key[0])
+                _taken(came.setdefault(name, {}), place, [None if x is None else int(x) for x in figures])
+        for names in batched([*came], SERIES_A_FRAME):
+            made = [row for name in names for row in self._balances(name, came.pop(name))]
+            out = pd.DataFrame(made, columns=[c.split()[0] for c in BALANCES.split(", ")], dtype=object)
+            if len(out):
+                yield out
+
+    def _balances(self, name: str, came: dict[tuple, list]) -> Iterator[tuple]:
+        """Takes the new rows of a series into its state and gives all its balances."""
+        known = self._state.getValue((name,))
+        held = {tuple(k): v for k, v in json.loads(known[0])} if known else {}
+        for place, figures in came.items():
+            _taken(held, place, figures)
+        self._state.updateValue((name,), (json.dumps([[list(k), v] for k, v in held.items()]),))
+        series = json.loads(name)
         own = [series.get(c) for c in ITEM_STORE]
-        made = balances(held, None not in own)
-        out = pd.DataFrame(made, columns=["week", "year", "date", "sales", "qty", "accumulated_inventory"], dtype=object)
-        out["date"] = pd.to_datetime(out["date"]).dt.date
-        out["external_code"], out["retail"], out["row"] = *own, 1
-        yield out[[c.split()[0] for c in BALANCES.split(", ")]]
+        for week, year, date, sales, qty, total in balances(held, None not in own):
+            yield *own, week, year, None if date is None else dt.date.fromisoformat(date), sales, qty, 1, total
 
     def close(self) -> None:
         pass
@@ -115,7 +134,8 @@ def live_ledger(sales: DataFrame, restock: DataFrame) -> DataFrame:
     rows = sold.unionByName(events).withColumns({c: F.col(c).cast(k) for c, k in kinds.items()})
     # One text that is never null names a series: null parts of a grouping key are not told apart by the state.
     named = rows.withColumn("series", F.to_json(F.struct(*ITEM_STORE))).drop(*ITEM_STORE)
-    return named.groupBy("series").transformWithStateInPandas(SeriesBalance(), BALANCES, "Update", "None")
+    dealt = named.withColumn("bucket", F.pmod(F.xxhash64("series"), F.lit(BUCKETS)).cast("int"))
+    return dealt.groupBy("bucket").transformWithStateInPandas(SeriesBalance(), BALANCES, "Update", "None")
 
 
 def run_live_ledger(sales: DataFrame, restock: DataFrame, target: str, checkpoint: str, timeout: float | None = None) -> None:

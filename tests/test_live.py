@@ -1,9 +1,11 @@
 """The live ledger against the batch one, and vectors reduced to their leading directions."""
 
 import datetime as dt
+import json
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,6 +69,34 @@ def test_a_series_without_sales_has_no_balance():
     assert ledger.balances(one, False) == [(40, 2019, "2019-10-01", 2, 0, -2)]
 
 
+def test_one_call_takes_the_rows_of_many_series(monkeypatch):
+    class State(dict):
+        def getValue(self, key):
+            return self.get(key)
+
+        def updateValue(self, key, value):
+            self[key] = value
+
+    class Handle:
+        def getMapState(self, *_):
+            return state
+
+    state = State()
+    monkeypatch.setattr(ledger, "SERIES_A_FRAME", 2)
+    processor = ledger.SeriesBalance()
+    processor.init(Handle())
+    names = [json.dumps({"external_code": "a", "retail": i}) for i in range(3)]
+    sold = [(n, True, 40, 2019, dt.date(2019, 10, 1), 2 + i, 9, None) for i, n in enumerate(names)]
+    came = [(names[1], False, 40, 2019, None, None, None, 5)]
+    first = list(processor.handleInputRows((7,), iter([pd.DataFrame(sold[:2], columns=ledger._EVENTS), pd.DataFrame(sold[2:], columns=ledger._EVENTS)]), None))
+    assert [len(f) for f in first] == [2, 1] and set(state) == {(n,) for n in names}
+    assert [tuple(r) for f in first for r in f.itertuples(index=False)] == [("a", i, 40, 2019, dt.date(2019, 10, 1), 2 + i, 9, 1, 7 - i) for i in range(3)]
+    kept = dict(state)
+    (later,) = processor.handleInputRows((7,), iter([pd.DataFrame(came, columns=ledger._EVENTS)]), None)
+    assert [tuple(r) for r in later.itertuples(index=False)] == [("a", 1, 40, 2019, dt.date(2019, 10, 1), 3, 5, 1, 2)]
+    assert {n for n in state if state[n] != kept[n]} == {(names[1],)}
+
+
 def test_directions_equal_an_eigendecomposition(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(300, 3)) @ rng.normal(size=(3, 6)) + rng.normal(scale=0.01, size=(300, 6)) + 5
