@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from hemline.operators import joins, reshape, silver
 from hemline.plans import gold
-from hemline.sources import schemas
+from hemline.sources import schemas, views
 from tests.test_calendar_and_text import png
 
 WEEKS = [str(w) for w in range(12)]
@@ -257,3 +257,25 @@ def test_id_lists_meet_the_wide_rows(spark):
     sides = plan.split("Expand")
     assert len(sides) == 3 and "LeftSemi" not in sides[0]
     assert all(s.count("LeftSemi") == 1 for s in sides[1:]), plan
+
+
+def test_releases_are_not_exchanged_by_brand(spark, tmp_path):
+    """The brands of a large part table are few: they are sent to the releases, which stay where they are."""
+    part = spark.range(5000).selectExpr(
+        "id AS p_partkey", "concat('Brand#', 11 + id % 3) AS p_brand", "md5(cast(id AS string)) AS p_type", "concat(md5(cast(id AS string)), ' b c') AS p_name"
+    )
+    lines = spark.range(40).selectExpr(
+        "id AS l_partkey", "id % 4 AS l_suppkey", "'N' AS l_returnflag", "timestamp '1998-01-05' AS l_shipdate",
+        "1.0D AS l_quantity", "2.0D AS l_extendedprice", "0.1D AS l_discount",
+    )
+    part.write.parquet(f"{tmp_path}/part.parquet")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 20_000)
+    try:
+        released = views.releases(spark, str(tmp_path))
+        released.write.parquet(f"{tmp_path}/released")
+        wide = views.wide_sales(spark, str(tmp_path), spark.read.parquet(f"{tmp_path}/released"))
+        assert "hashpartitioning(brand" not in wide._jdf.queryExecution().executedPlan().toString()
+        assert wide.select("fabric").distinct().collect()[0][0] == "b" and wide.count() == released.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
