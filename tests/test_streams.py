@@ -172,3 +172,22 @@ def test_price_feed(spark, tmp_path):
     jobs.ingest_bronze(spark, "price", f"{tmp_path}/in", f"{tmp_path}/b", f"{tmp_path}/s", timeout=120)
     jobs.refresh_silver(spark, "price", f"{tmp_path}/b", f"{tmp_path}/v", f"{tmp_path}/s", timeout=120)
     assert spark.read.parquet(f"{tmp_path}/v").count() == 12
+
+
+def test_a_stream_lists_its_files_in_few_tasks(spark, tmp_path):
+    from hemline.sources import files
+    from hemline.streaming import sinks
+
+    (tmp_path / "in").mkdir()
+    for i in range(40):
+        (tmp_path / "in" / f"{i}.png").write_bytes(b"x")
+    before = spark.conf.get(sinks.LISTING_TASKS)
+    seen = []
+    sinks.each_batch(
+        files.stream_binary(spark, str(tmp_path / "in")),
+        lambda batch, i: seen.append((batch.count(), int(spark.conf.get(sinks.LISTING_TASKS)))),
+        str(tmp_path / "state"),
+    )
+    # A task per file reported to the driver before.
+    assert seen == [(40, spark.sparkContext.defaultParallelism)]
+    assert spark.conf.get(sinks.LISTING_TASKS) == before
