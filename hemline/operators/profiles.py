@@ -11,10 +11,13 @@ grid it is looked for on. ``compared`` says so in its column ``bound``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hemline.operators.drift import DISTANCE_LIMIT, KS_P_LIMIT, number
+from hemline.operators.joins import null_safe_join
 from hemline.functions.tails import ks_tail
 
 K = 1000
@@ -29,38 +32,66 @@ def rank_error(k: int = K) -> float:
     return 2.3 / k**0.9
 
 
-def profiles(df: DataFrame, by: list[str], numeric: list[str], categorical: list[str], k: int = K) -> DataFrame:
+def counted(df: DataFrame, by: list[str], numeric: list[str], categorical: list[str]) -> DataFrame:
+    """(by, column, kind, value, label, rows): how many rows of a batch have each number (or label), NULL among them; NaN is NULL.
+
+    A column is read and counted on its own, without a row per column: for a stored table of columns that is one reading in all.
+    """
+    parts = []
+    for c in [*numeric, *categorical]:
+        own = c in numeric
+        value, label = (number(c), F.lit(None).cast("string")) if own else (F.lit(None).cast("double"), F.col(c).cast("string"))
+        named = df.select(*by, (value if own else label).alias("_own")).groupBy(*by, "_own").agg(F.count("*").alias("rows"))
+        value, label = (F.col("_own"), label) if own else (value, F.col("_own"))
+        kind = F.lit(NUMBERS if own else LABELS)
+        parts.append(named.select(*by, F.lit(c).alias("column"), kind.alias("kind"), value.alias("value"), label.alias("label"), "rows"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def sides(counts: DataFrame, older: Column, kind: str) -> DataFrame:
+    """(column, value, ref, cur) of :func:`counted`, as ``drift.value_counts`` has them: batches that are ``older`` are the reference, those
+    that are not the current side, and those of which that is not known neither."""
+    value = "value" if kind == NUMBERS else "label"
+    known = counts.filter((F.col("kind") == kind) & F.col(value).isNotNull() & older.isNotNull())
+    ref, cur = (F.sum(F.when(side, F.col("rows")).otherwise(0)).alias(name) for name, side in (("ref", older), ("cur", ~older)))
+    return known.groupBy("column", F.col(value).alias("value")).agg(ref, cur)
+
+
+def profiles(
+    df: DataFrame, by: list[str], numeric: list[str], categorical: list[str], k: int = K, counts: DataFrame | None = None
+) -> DataFrame:
     """One row per batch and column, for categories one per label: (by, column, kind, label, n, nulls, total, squares, low, high,
     quantiles, distinct).
 
-    NaN counts as missing. ``by`` names the batch.
+    NaN counts as missing. ``by`` names the batch. ``counts`` is :func:`counted` of the same columns, given where it is stored already. The
+    sketches of quantiles take every row, those of all columns in one pass; the sums and the sketches of distinct values follow from the counts.
     """
     empty = F.lit(None)
-    nums = df.select(*by, *[number(c).alias(c) for c in numeric]).unpivot(by, numeric, "column", "value") if numeric else None
+    counts = counted(df, by, numeric, categorical) if counts is None else counts
     parts = []
-    if nums is not None:
-        value = F.col("value")
+    if numeric:
+        value, rows = F.col("value"), F.col("rows")
+        known = F.when(value.isNotNull(), rows).otherwise(0)
+        sums = counts.filter(F.col("kind") == NUMBERS).groupBy(*by, "column").agg(
+            F.sum(known).alias("n"),
+            F.sum(rows - known).alias("nulls"),
+            F.sum(value * rows).alias("total"),
+            F.sum(value * value * rows).alias("squares"),
+            F.min(value).alias("low"),
+            F.max(value).alias("high"),
+            F.hll_sketch_agg(value.cast("string")).alias("distinct"),
+        )
+        sketched = df.groupBy(*by).agg(*[F.kll_sketch_agg_double(number(c), k).alias(c) for c in numeric]).unpivot(by, numeric, "column", "quantiles")
         parts.append(
-            nums.groupBy(*by, "column").agg(
-                F.count(value).alias("n"),
-                F.count_if(value.isNull()).alias("nulls"),
-                F.sum(value).alias("total"),
-                F.sum(value * value).alias("squares"),
-                F.min(value).alias("low"),
-                F.max(value).alias("high"),
-                F.kll_sketch_agg_double(value, k).alias("quantiles"),
-                F.hll_sketch_agg(value.cast("string")).alias("distinct"),
-            )
-            .withColumns({"kind": F.lit(NUMBERS), "label": empty.cast("string")})
+            null_safe_join(sums, sketched, [*by, "column"], "inner").withColumns({"kind": F.lit(NUMBERS), "label": empty.cast("string")})
         )
     if categorical:
-        labels = df.select(*by, *[F.col(c).cast("string").alias(c) for c in categorical]).unpivot(by, categorical, "column", "label")
         missing = F.col("label").isNull()
-        counted = labels.groupBy(*by, "column", "label").agg(F.count("*").alias("rows")).select(
+        labels = counts.filter(F.col("kind") == LABELS).select(
             *by, "column", "label", F.when(missing, 0).otherwise(F.col("rows")).alias("n"), F.when(missing, F.col("rows")).otherwise(0).alias("nulls")
         )
         none = {c: empty.cast("double") for c in ("total", "squares", "low", "high")} | {c: empty.cast("binary") for c in ("quantiles", "distinct")}
-        parts.append(counted.withColumns({"kind": F.lit(LABELS), **none}))
+        parts.append(labels.withColumns({"kind": F.lit(LABELS), **none}))
     out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return out.select(*by, "column", "kind", "label", "n", "nulls", "total", "squares", "low", "high", "quantiles", "distinct")
 

@@ -109,6 +109,22 @@ def test_profiles_merge_and_compare_like_the_rows(spark):
     assert all(r.drifted and r.statistic is None for r in empty)
 
 
+def test_profiles_follow_from_counted_values(spark):
+    rows = [(d, v, c) for d in (1, 2, None) for v, c in ((1.5, "a"), (1.5, None), (float("nan"), "b"), (None, "b"), (4.0, "a"))]
+    df = spark.createDataFrame(rows, "day int, x double, c string")
+    counts = profiles.counted(df, ["day"], ["x"], ["c"])
+    assert "Expand" not in counts._jdf.queryExecution().executedPlan().toString()
+    stored = profiles.profiles(df, ["day"], ["x"], ["c"], counts=counts)
+    x = {r.day: (r.n, r.nulls, r.total, r.squares, r.low, r.high) for r in stored.filter("column = 'x'").collect()}
+    assert x == {d: (3, 2, 7.0, 20.5, 1.5, 4.0) for d in (1, 2, None)}
+    labels = {(r.day, r.label): (r.n, r.nulls) for r in stored.filter("column = 'c'").collect()}
+    assert labels == {(d, c): n for d in (1, 2, None) for c, n in (("a", (2, 0)), ("b", (2, 0)), (None, (0, 1)))}
+    older = F.col("day") < 2
+    for kind, column, dtype in ((profiles.NUMBERS, "x", "double"), (profiles.LABELS, "c", "string")):
+        want = drift.value_counts(df.filter(older), df.filter(~older), [column], dtype)
+        assert sorted(map(tuple, profiles.sides(counts, older, kind).collect())) == sorted(map(tuple, want.collect()))
+
+
 @pytest.mark.parametrize("budget", [0, 1, 17, 60, 10_000])
 def test_budget_goes_to_the_most_useful_units(spark, budget):
     rnd = random.Random(3)
